@@ -29,18 +29,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     return kept.select(*df.columns)
 
 
-def fill_salary(members: DataFrame) -> DataFrame:
+def member_statistics(members: DataFrame) -> DataFrame:
+    """One row: the quantiles the member columns are built with."""
+    return quantile_row(members, {"salary_median": ("salary", 0.5), "high_clv": ("clv", 0.75)})
+
+
+def fill_salary(members: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
     """Flag missing salaries, then put the median (taken before any fix) where the salary is
     missing or negative."""
-    median = quantile_row(members, {"_median": ("salary", 0.5)})
-    salary = F.col("salary")
+    if statistics is None:
+        statistics = member_statistics(members)
+    salary, median = F.col("salary"), F.col("salary_median")
     return (
-        attach(members, median)
+        attach(members, statistics.select("salary_median"))
         .withColumns({
             "salary_missing": flag(salary.isNull()),
-            "salary": F.when(salary.isNull() | (salary < 0), F.col("_median")).otherwise(salary),
+            "salary": F.when(salary.isNull() | (salary < 0), median).otherwise(salary),
         })
-        .drop("_median")
+        .drop("salary_median")
     )
 
 

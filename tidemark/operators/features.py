@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import EPSILON, at_least, attach, clip, flag, lookup, months_since_zero
-from tidemark.functions.ranks import quantile_row
 from tidemark.functions.stats import minmax, ranges
+from tidemark.operators.cleaning import member_statistics
 from tidemark.operators.labels import ID, activity_date, prediction_date
+from tidemark.session import cut_lineage
 from tidemark.settings import Settings
 
 DAYS_PER_MONTH = 30.44
@@ -78,13 +79,16 @@ def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def member_features(members: DataFrame, settings: Settings) -> DataFrame:
+def member_features(
+    members: DataFrame, settings: Settings, statistics: DataFrame | None = None
+) -> DataFrame:
     """Encoded demographics, tenure and value flags."""
     year, month = map(int, settings.prediction_date.split("-")[:2])
     enrolled = months_since_zero(F.col("enrollment_year"), F.col("enrollment_month"))
-    threshold = quantile_row(members, {"_high_clv": ("clv", 0.75)})
+    if statistics is None:
+        statistics = member_statistics(members)
     return (
-        attach(members, threshold)
+        attach(members, statistics.select("high_clv"))
         .withColumns({
             "tenure_months": at_least(F.lit(year * 12 + month) - enrolled, 0),
             "tier_numeric": lookup(F.col("loyalty_card"), settings.tier_levels, 1),
@@ -92,14 +96,14 @@ def member_features(members: DataFrame, settings: Settings) -> DataFrame:
             "is_female": flag(F.lower("gender") == "female"),
             "is_married": flag(F.lower("marital_status") == "married"),
             "is_promo_enrollment": flag(F.lower("enrollment_type") == settings.promo_label.lower()),
-            "has_high_clv": flag(F.col("clv") > F.col("_high_clv")),
+            "has_high_clv": flag(F.col("clv") > F.col("high_clv")),
             "clv_log": F.log1p("clv"),
             "is_early_member": flag(F.col("enrollment_year") <= settings.early_member_year),
             "is_recent_member": flag(F.col("enrollment_year") >= settings.recent_member_year),
             "province_code": lookup(F.col("province"), settings.province_codes, 0),
             **{name: flag(F.col("province") == p) for name, p in settings.province_flags.items()},
         })
-        .drop("_high_clv")
+        .drop("high_clv")
     )
 
 
@@ -149,13 +153,16 @@ def engagement_additive(features: DataFrame, name: str = "engagement_score") ->
     return features.withColumn(name, clip(score, 0, 100))
 
 
-def feature_matrix(labelled: DataFrame, activity: DataFrame, settings: Settings) -> DataFrame:
+def feature_matrix(
+    labelled: DataFrame, activity: DataFrame, settings: Settings, statistics: DataFrame | None = None
+) -> DataFrame:
     """One row per member: labels, demographics, activity features (0 where the year is empty)
-    and the engagement score."""
+    and the engagement score. The score needs the range of its parts over all members, so the
+    matrix is written once and scored from the table."""
     behaviour = activity_features(activity, settings)
     measured = [c for c in behaviour.columns if c != ID]
-    joined = member_features(labelled, settings).join(behaviour, ID, "left").fillna(0, subset=measured)
-    return engagement_minmax(joined)
+    joined = member_features(labelled, settings, statistics).join(behaviour, ID, "left")
+    return engagement_minmax(cut_lineage(joined.fillna(0, subset=measured)))
 
 
 # --- features up to a date: recency, momentum, volatility, season, points, trajectory -----------

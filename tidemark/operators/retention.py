@@ -114,12 +114,17 @@ def filter_actions(
 
 
 def clv_estimate(df: DataFrame, column: str | None = "clv", default: float = 5000.0) -> DataFrame:
-    """`clv_estimate`: CLV, taken back from log scale where the largest value is under 20."""
+    """`clv_estimate` and `clv_top`, its largest value. CLV is taken back from log scale where
+    its largest value is under 20."""
     if column is None or column not in df.columns:
-        return df.withColumn("clv_estimate", F.lit(default))
-    largest = df.agg(F.max(column).alias("_largest"))
-    plain = F.when(F.col("_largest") < 20, F.expm1(column)).otherwise(F.col(column))
-    return attach(df, largest).withColumn("clv_estimate", plain).drop("_largest")
+        return df.withColumns({"clv_estimate": F.lit(default), "clv_top": F.lit(default)})
+    largest = df.agg(F.max(column).cast("double").alias("_largest"))
+
+    def plain(x: Column) -> Column:
+        return F.when(F.col("_largest") < 20, F.expm1(x)).otherwise(x)
+
+    estimates = {"clv_estimate": plain(F.col(column)), "clv_top": plain(F.col("_largest"))}
+    return attach(df, largest).withColumns(estimates).drop("_largest")
 
 
 def staged_recommendations(scored: DataFrame) -> DataFrame:
@@ -127,7 +132,7 @@ def staged_recommendations(scored: DataFrame) -> DataFrame:
     spark = scored.sparkSession
     p = F.col("churn_probability")
     named = {"Low Risk": "low", "Medium Risk": "medium", "High Risk": "high"}
-    keyed = scored.withColumns({
+    keyed = clv_estimate(scored).withColumns({
         "risk_level": risk_level(p, STAGED_CUTS, STAGED_BANDS),
         "seg_name": F.coalesce("segment_name", F.lit("DEFAULT")),
     }).withColumn("risk_key", lookup(F.col("risk_level"), named, "medium"))
@@ -139,16 +144,13 @@ def staged_recommendations(scored: DataFrame) -> DataFrame:
         "channel": "recommended_channel", "timing": "intervention_timing",
     })
     lifted = expected_lift(offered)
-    priced = clv_estimate(lifted)
-    top = priced.agg(F.max("clv_estimate").alias("_top"))
-    rar = revenue_at_risk(p, F.col("clv_estimate"))
-    priority = 0.4 * p + 0.4 * (F.col("clv_estimate") / F.col("_top")) + 0.2 * F.col("lift")
+    rar = revenue_at_risk(F.col("clv_estimate"), p)
+    priority = 0.4 * p + 0.4 * (F.col("clv_estimate") / F.col("clv_top")) + 0.2 * F.col("lift")
     return (
-        attach(priced, top)
-        .withColumn("revenue_at_risk", rar)
+        lifted.withColumn("revenue_at_risk", rar)
         .withColumn("potential_save", saved(F.col("revenue_at_risk"), F.col("lift")))
         .withColumn("priority_score", F.round(priority, 4))
-        .drop("_top")
+        .drop("clv_top")
     )
 
 
@@ -164,19 +166,18 @@ def module_recommendations(scored: DataFrame) -> DataFrame:
     """The 7 x 3 library with one lift per risk; unknown risk takes the high offer."""
     spark = scored.sparkSession
     p = F.col("churn_probability")
-    graded = scored.withColumn("risk_level", risk_level(p, STAGED_CUTS, dims.RISK_LEVELS))
+    top = scored.agg(F.greatest(F.max("clv"), F.lit(1.0)).alias("_top"))
+    graded = attach(scored, top).withColumn("risk_level", risk_level(p, STAGED_CUTS, dims.RISK_LEVELS))
     risk = F.lower("risk_level")
     offered = assign_offers(
         graded, dims.module_offers(spark), dims.MODULE_OFFERS, "Silent Drifters",
         F.col("segment_name"), risk, "high",
     )
     lifted = offered.withColumn("lift", lookup(risk, dims.RISK_LIFT, 0.18))
-    top = lifted.agg(F.greatest(F.max("clv"), F.lit(1.0)).alias("_top"))
     share = F.col("clv") / F.col("_top")
     priority = 0.4 * p + 0.4 * share + 0.2 * (F.col("lift") / dims.RISK_LIFT["high"])
     return (
-        attach(lifted, top)
-        .withColumn("revenue_at_risk", revenue_at_risk(F.col("clv"), p))
+        lifted.withColumn("revenue_at_risk", revenue_at_risk(F.col("clv"), p))
         .withColumn("potential_save", saved(F.col("revenue_at_risk"), F.col("lift")))
         .withColumn("priority_score", F.round(priority, 4))
         .drop("_top")

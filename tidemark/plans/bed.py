@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +48,9 @@ class Bed:
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.feature_matrix(
-            cleaning.fill_salary(self.labels), self.activity, self.settings
-        )
+        statistics = cleaning.member_statistics(self.members)
+        filled = cleaning.fill_salary(self.labels, statistics)
+        return features.feature_matrix(filled, self.activity, self.settings, statistics)
 
     def _score(self, names: list[str]) -> DataFrame:
         risk = F.round(clip(1 - F.col("engagement_health_score") / 100, 0, 1), 4)
@@ -73,18 +73,13 @@ class Bed:
 def tidy(df: DataFrame, *columns: str) -> DataFrame:
     """Output form shared with the check: whole numbers as BIGINT, other numbers as DOUBLE to six
     places, dates as text."""
-    def shown(field: T.StructField) -> Column:
-        x = F.col(f"`{field.name}`")
-        kind = field.dataType
+    def shown(field: T.StructField) -> str:
+        x, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, (T.IntegralType, T.BooleanType)):
-            out = x.cast("long")
-        elif isinstance(kind, (T.FractionalType, T.DecimalType)):
-            out = F.round(x.cast("double"), 6) + 0.0
-        elif isinstance(kind, T.DateType):
-            out = x.cast("string")
-        else:
-            out = x
-        return out.alias(field.name)
+            return f"bigint({x}) AS {x}"
+        if isinstance(kind, (T.FractionalType, T.DecimalType)):
+            return f"round(double({x}), 6) + 0.0D AS {x}"
+        return f"string({x}) AS {x}" if isinstance(kind, T.DateType) else x
 
     chosen = df.select(*columns) if columns else df
-    return chosen.select(*[shown(f) for f in chosen.schema.fields])
+    return chosen.selectExpr(*[shown(f) for f in chosen.schema.fields])

@@ -830,8 +830,8 @@ _SELECTS = {
         "revenue_at_risk", "potential_save", "engagement_health_score")} FROM scored WHERE risk_level = 'High'
         ORDER BY scored.revenue_at_risk DESC, loyalty_number LIMIT 15""",
     "display_formats": """SELECT loyalty_number, printf('%.1f%%', churn_probability * 100) AS probability,
-        CASE WHEN revenue_at_risk >= 1e6 THEN printf('$%.1fM', revenue_at_risk / 1e6)
-             WHEN revenue_at_risk >= 1e3 THEN printf('$%.1fK', revenue_at_risk / 1e3)
+        CASE WHEN revenue_at_risk >= 1e6 THEN printf('$%.1fM', CAST(round(CAST(revenue_at_risk AS DECIMAL(18,2)) * 0.000001, 1) AS DOUBLE))
+             WHEN revenue_at_risk >= 1e3 THEN printf('$%.1fK', CAST(round(CAST(revenue_at_risk AS DECIMAL(18,2)) * 0.001, 1) AS DOUBLE))
              ELSE printf('$%.0f', revenue_at_risk) END AS revenue FROM scored""",
     "first_n": "SELECT loyalty_number, loyalty_card FROM member ORDER BY loyalty_number LIMIT 100",
     "playbook": f"""WITH s AS (SELECT seg_name AS segment, count(*) AS size, avg(churn_probability) AS p,

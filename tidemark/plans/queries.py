@@ -711,7 +711,7 @@ def offers_module(b: Bed) -> DataFrame:
 def clv_delog(b: Bed) -> DataFrame:
     logged = b.members.select(ID, F.log1p("clv").alias("clv_log"), F.col("clv"))
     plain = retention.clv_estimate(logged, "clv").withColumnRenamed("clv_estimate", "from_plain")
-    both = retention.clv_estimate(plain, "clv_log").withColumnRenamed("clv_estimate", "from_log")
+    both = retention.clv_estimate(plain.drop("clv_top"), "clv_log").withColumnRenamed("clv_estimate", "from_log")
     rounded = both.withColumn("from_log", F.round("from_log", 2))
     return tidy(retention.clv_estimate(rounded, None), ID, "from_plain", "from_log", "clv_estimate")
 

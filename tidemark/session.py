@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,10 +26,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and go on from the files.
+    """Write the frame as a table in the checkpoint folder and go on from the table.
 
-    Iterative fits read the same rows many times; from files a lost executor costs one
-    re-read and not the whole upstream plan.
+    Used where the same rows are read several times (global statistics, iterative fits): the plan
+    above runs once, later readers take only their columns, and a lost executor costs a re-read.
+    The folder's owner decides how long the tables stay.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

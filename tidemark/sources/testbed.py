@@ -6,105 +6,91 @@ demographic columns the order tables lack are derived from the key; they exercis
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.settings import Settings
 
 
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def members(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
-    key = F.col("c_custkey")
-    first = F.col("first_date")
-    history = _table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.min("o_orderdate").alias("first_date"),
-        F.sum(
-            F.when(
-                F.col("o_orderdate") <= F.lit(settings.prediction_date).cast("date"),
-                F.col("o_totalprice").cast("decimal(12,2)"),
-            )
-        ).alias("spent"),
-    )
-    places = _table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("province")
-    )
-    card = (
-        F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "Star")
-        .when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"), "Nova")
-        .otherwise("Aurora")
+    history = _table(spark, folder, "orders").groupBy(F.expr("o_custkey AS c_custkey")).agg(
+        F.expr("min(o_orderdate) AS first_date"),
+        F.expr(f"""sum(CASE WHEN o_orderdate <= DATE '{settings.prediction_date}'
+                       THEN CAST(o_totalprice AS DECIMAL(12,2)) END) AS spent"""),
     )
-    levels = list(settings.education_levels)
-    degree = F.element_at(F.array(*[F.lit(x) for x in levels]), (key % 5 + 1).cast("int"))
+    places = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS province")
+    year = settings.label_year
     return (
         _table(spark, folder, "customer")
         .join(places, "c_nationkey", "left")
         .join(history, "c_custkey", "left")
-        .select(
-            key.alias("loyalty_number"),
+        .selectExpr(
+            "c_custkey AS loyalty_number",
             "province",
-            F.when(key % 2 == 0, "Female").otherwise("Male").alias("gender"),
-            degree.alias("education"),
-            F.when(key % 4 != 0, F.col("c_acctbal") * 10).alias("salary"),
-            F.when(key % 3 == 0, "Married").when(key % 3 == 1, "Single").otherwise("Divorced")
-            .alias("marital_status"),
-            card.alias("loyalty_card"),
-            F.coalesce(F.col("spent").cast("double"), F.lit(0.0)).alias("clv"),
-            F.when(key % 17 == 0, "Promotion").otherwise("Standard").alias("enrollment_type"),
-            F.year(first).alias("enrollment_year"),
-            F.month(first).alias("enrollment_month"),
-            F.when(key % 26 == 0, settings.label_year).alias("cancellation_year"),
-            F.when(key % 26 == 0, (key % 7 + 1).cast("int")).alias("cancellation_month"),
+            "if(c_custkey % 2 = 0, 'Female', 'Male') AS gender",
+            "element_at(array('High School or Below', 'College', 'Bachelor', 'Master', 'Doctor'), "
+            "int(c_custkey % 5) + 1) AS education",
+            "CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal * 10 END AS salary",
+            "element_at(array('Married', 'Single', 'Divorced'), int(c_custkey % 3) + 1) AS marital_status",
+            "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Star' "
+            "WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'Nova' ELSE 'Aurora' END AS loyalty_card",
+            "coalesce(double(spent), 0.0D) AS clv",
+            "if(c_custkey % 17 = 0, 'Promotion', 'Standard') AS enrollment_type",
+            "year(first_date) AS enrollment_year",
+            "month(first_date) AS enrollment_month",
+            f"CASE WHEN c_custkey % 26 = 0 THEN {year} END AS cancellation_year",
+            "CASE WHEN c_custkey % 26 = 0 THEN int(c_custkey % 7) + 1 END AS cancellation_month",
         )
     )
 
 
+MEASURES = ("distance", "points_accumulated", "points_redeemed", "dollar_cost_points_redeemed")
+
+
 def activity_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order, so a member may have several rows in a month."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-
-    def cents(total: Column) -> Column:
-        return F.round(F.sum(total), 2).cast("double")
-
-    lines = _table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum("l_quantity").alias("distance"),
-        cents(price).alias("points_accumulated"),
-        cents(price * discount).alias("points_redeemed"),
-        cents(price * discount * tax).alias("dollar_cost_points_redeemed"),
+    """One row per order, so a member may have several rows in a month. Lines are summed per order
+    before the join, which keeps an order with very many lines from being one large join group."""
+    price, discount = "CAST(l_extendedprice AS DECIMAL(12,2))", "CAST(l_discount AS DECIMAL(4,2))"
+    tax = "CAST(l_tax AS DECIMAL(4,2))"
+    lines = _table(spark, folder, "lineitem").groupBy(F.expr("l_orderkey AS o_orderkey")).agg(
+        F.expr("sum(l_quantity) AS distance"),
+        F.expr(f"double(round(sum({price}), 2)) AS points_accumulated"),
+        F.expr(f"double(round(sum({price} * {discount}), 2)) AS points_redeemed"),
+        F.expr(f"double(round(sum({price} * {discount} * {tax}), 2)) AS dollar_cost_points_redeemed"),
     )
-    measures = [c for c in lines.columns if c != "o_orderkey"]
     return (
         _table(spark, folder, "orders")
         .join(lines, "o_orderkey", "left")
-        .select(
-            F.col("o_orderkey").alias("record_id"),
-            F.col("o_custkey").alias("loyalty_number"),
-            F.year("o_orderdate").alias("year"),
-            F.month("o_orderdate").alias("month"),
-            F.lit(1).alias("total_flights"),
-            *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in measures],
+        .selectExpr(
+            "o_orderkey AS record_id", "o_custkey AS loyalty_number", "year(o_orderdate) AS year",
+            "month(o_orderdate) AS month", "1 AS total_flights",
+            *[f"coalesce({m}, 0.0D) AS {m}" for m in MEASURES],
         )
     )
 
 
 def activity(spark: SparkSession, folder: str) -> DataFrame:
     """Member x month: the records of a month summed."""
-    return (
-        activity_raw(spark, folder)
-        .groupBy("loyalty_number", "year", "month")
-        .agg(
-            F.sum("total_flights").cast("int").alias("total_flights"),
-            *[
-                F.sum(m).alias(m)
-                for m in ("distance", "points_accumulated", "points_redeemed", "dollar_cost_points_redeemed")
-            ],
-        )
+    sums = [F.expr(f"sum({m}) AS {m}") for m in MEASURES]
+    return activity_raw(spark, folder).groupBy("loyalty_number", "year", "month").agg(
+        F.expr("int(sum(total_flights)) AS total_flights"), *sums
     )
 
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+    return _table(spark, folder, "orders").selectExpr("date(o_orderdate) AS date").distinct()
