@@ -46,7 +46,7 @@ def order_statistics(
     )
     brackets = F.array(*[
         F.struct(
-            F.lit(p).alias("prob"),
+            F.lit(i).alias("which"),
             _edge(F.col("around")[2 * i], p - MARGIN > 0, "-Infinity").alias("low"),
             _edge(F.col("around")[2 * i + 1], p + MARGIN < 1, "Infinity").alias("high"),
         )
@@ -61,16 +61,17 @@ def order_statistics(
     near = (
         (rows.join(size_checked(keyed), same_group) if by else rows.crossJoin(F.broadcast(targets)))
         .where(F.col(value) <= F.col("high"))
-        .groupBy(*by, "prob", "n", slot.otherwise(F.col(value)).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(*by, "which", slot.otherwise(F.col(value)).alias("slot"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"))
     )
-    running = F.sum("rows").over(Window.partitionBy(*by, "prob").orderBy("slot"))
-    at = position(F.col("n"), F.col("prob"))
+    running = F.sum("rows").over(Window.partitionBy(*by, "which").orderBy("slot"))
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("which") + 1)
     picked = (
-        near.withColumn("running", running)
-        .withColumn("at", at.cast("double"))
-        .groupBy(*by, "prob", "n", "at")
+        near.withColumns({"running": running, "prob": prob})
+        .withColumn("at", position(F.col("n"), F.col("prob")).cast("double"))
+        .groupBy(*by, "which")
         .agg(
+            F.max("prob").alias("prob"), F.max("n").alias("n"), F.max("at").alias("at"),
             F.min(F.when(F.col("running") > F.floor("at"), F.col("slot"))).alias("lower"),
             F.min(F.when(F.col("running") > F.ceil("at"), F.col("slot"))).alias("upper"),
         )

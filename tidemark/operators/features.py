@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import EPSILON, at_least, attach, clip, flag, lookup, months_since_zero
 from tidemark.functions.stats import minmax, ranges
-from tidemark.operators.cleaning import member_statistics
+from tidemark.operators.cleaning import fill_salary, member_statistics
 from tidemark.operators.labels import ID, activity_date, prediction_date
 from tidemark.session import cut_lineage
 from tidemark.settings import Settings
@@ -79,32 +79,35 @@ def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def member_features(
-    members: DataFrame, settings: Settings, statistics: DataFrame | None = None
-) -> DataFrame:
-    """Encoded demographics, tenure and value flags."""
+def encode_members(members: DataFrame, settings: Settings) -> DataFrame:
+    """Encoded demographics and tenure: everything that needs the member's own row only."""
     year, month = map(int, settings.prediction_date.split("-")[:2])
     enrolled = months_since_zero(F.col("enrollment_year"), F.col("enrollment_month"))
+    return members.withColumns({
+        "tenure_months": at_least(F.lit(year * 12 + month) - enrolled, 0),
+        "tier_numeric": lookup(F.col("loyalty_card"), settings.tier_levels, 1),
+        "education_numeric": lookup(F.col("education"), settings.education_levels, 2),
+        "is_female": flag(F.lower("gender") == "female"),
+        "is_married": flag(F.lower("marital_status") == "married"),
+        "is_promo_enrollment": flag(F.lower("enrollment_type") == settings.promo_label.lower()),
+        "clv_log": F.log1p("clv"),
+        "is_early_member": flag(F.col("enrollment_year") <= settings.early_member_year),
+        "is_recent_member": flag(F.col("enrollment_year") >= settings.recent_member_year),
+        "province_code": lookup(F.col("province"), settings.province_codes, 0),
+        **{name: flag(F.col("province") == p) for name, p in settings.province_flags.items()},
+    })
+
+
+def flag_high_clv(members: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
+    """`has_high_clv`: above the 75th percentile of all members."""
     if statistics is None:
         statistics = member_statistics(members)
-    return (
-        attach(members, statistics.select("high_clv"))
-        .withColumns({
-            "tenure_months": at_least(F.lit(year * 12 + month) - enrolled, 0),
-            "tier_numeric": lookup(F.col("loyalty_card"), settings.tier_levels, 1),
-            "education_numeric": lookup(F.col("education"), settings.education_levels, 2),
-            "is_female": flag(F.lower("gender") == "female"),
-            "is_married": flag(F.lower("marital_status") == "married"),
-            "is_promo_enrollment": flag(F.lower("enrollment_type") == settings.promo_label.lower()),
-            "has_high_clv": flag(F.col("clv") > F.col("high_clv")),
-            "clv_log": F.log1p("clv"),
-            "is_early_member": flag(F.col("enrollment_year") <= settings.early_member_year),
-            "is_recent_member": flag(F.col("enrollment_year") >= settings.recent_member_year),
-            "province_code": lookup(F.col("province"), settings.province_codes, 0),
-            **{name: flag(F.col("province") == p) for name, p in settings.province_flags.items()},
-        })
-        .drop("high_clv")
-    )
+    above = flag(F.col("clv") > F.col("high_clv"))
+    return attach(members, statistics.select("high_clv")).withColumn("has_high_clv", above).drop("high_clv")
+
+
+def member_features(members: DataFrame, settings: Settings) -> DataFrame:
+    return flag_high_clv(encode_members(members, settings))
 
 
 ENGAGEMENT_PARTS = (
@@ -153,16 +156,19 @@ def engagement_additive(features: DataFrame, name: str = "engagement_score") ->
     return features.withColumn(name, clip(score, 0, 100))
 
 
-def feature_matrix(
-    labelled: DataFrame, activity: DataFrame, settings: Settings, statistics: DataFrame | None = None
-) -> DataFrame:
+def feature_matrix(labelled: DataFrame, activity: DataFrame, settings: Settings) -> DataFrame:
     """One row per member: labels, demographics, activity features (0 where the year is empty)
-    and the engagement score. The score needs the range of its parts over all members, so the
-    matrix is written once and scored from the table."""
+    and the engagement score.
+
+    The raw tables are read once: their join is written, and the figures over all members
+    (salary median, CLV quantile, ranges of the score's parts) are taken from that table.
+    """
     behaviour = activity_features(activity, settings)
     measured = [c for c in behaviour.columns if c != ID]
-    joined = member_features(labelled, settings, statistics).join(behaviour, ID, "left")
-    return engagement_minmax(cut_lineage(joined.fillna(0, subset=measured)))
+    joined = cut_lineage(labelled.join(behaviour, ID, "left").fillna(0, subset=measured))
+    scored = engagement_minmax(encode_members(joined, settings))
+    statistics = member_statistics(joined)
+    return flag_high_clv(fill_salary(scored, statistics), statistics)
 
 
 # --- features up to a date: recency, momentum, volatility, season, points, trajectory -----------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import clip, lookup
-from tidemark.operators import cleaning, features, labels, retention
+from tidemark.operators import features, labels, retention
 from tidemark.settings import Settings
 from tidemark.sources import testbed
 
@@ -48,9 +48,7 @@ class Bed:
 
     @cached_property
     def features(self) -> DataFrame:
-        statistics = cleaning.member_statistics(self.members)
-        filled = cleaning.fill_salary(self.labels, statistics)
-        return features.feature_matrix(filled, self.activity, self.settings, statistics)
+        return features.feature_matrix(self.labels, self.activity, self.settings)
 
     def _score(self, names: list[str]) -> DataFrame:
         risk = F.round(clip(1 - F.col("engagement_health_score") / 100, 0, 1), 4)

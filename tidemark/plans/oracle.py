@@ -847,6 +847,23 @@ _SELECTS = {
         {num("sum(CAST(revenue_at_risk AS DECIMAL(18,2)))", "revenue_at_risk")}, {num("sum(CAST(potential_save AS DECIMAL(18,2)))", "potential_save")},
         {num("count(*) FILTER (risk_level IN ('High Risk', 'Medium Risk')) / count(*)", "at_risk_share")} FROM staged""",
     "recommendation_summary": _profile("risk_level") + " UNION ALL " + _profile("seg_name"),
+    # files and splits
+    "csv_roundtrip": f"""SELECT {ints("loyalty_number", "year", "month", "total_flights")}, {nums("distance",
+        "points_accumulated", "points_redeemed", "dollar_cost_points_redeemed")} FROM activity""",
+    "source_fallback": f"""SELECT loyalty_number, province, gender, education, {nums("salary", "clv")}, marital_status,
+        loyalty_card, enrollment_type, {ints("enrollment_year", "enrollment_month", "cancellation_year",
+        "cancellation_month")}, {integer("0", "missing_rows")} FROM member""",
+    "json_roundtrip": f"""SELECT segment_name, {ints("members")}, {nums("churn_rate", "avg_clv", "avg_revenue_at_risk")},
+        {num("members / sum(members) OVER ()", "share")}, {num("members * avg_revenue_at_risk", "revenue_at_risk")}
+        FROM segment_groups""",
+    "stratified_split": f"""SELECT {ints("churned")}, {integer("count(*)", "members")},
+        {integer("floor(count(*) * 0.2 + 0.5)", "test_members")} FROM labelled GROUP BY labelled.churned""",
+    "stratified_folds": f"""WITH n AS (SELECT churned, count(*) AS n FROM labelled GROUP BY 1)
+        SELECT {ints("churned")}, {integer("f", "fold")}, {integer("""floor(n * CAST((f + 1) / 5 AS DOUBLE) + 0.5)
+        - floor(n * CAST(f / 5 AS DOUBLE) + 0.5)""", "members")} FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)""",
+    "smote_balance": f"""SELECT {num("label", "label")}, {integer("synthetic", "synthetic")}, {integer("n", "members")} FROM (
+        SELECT churned AS label, 0 AS synthetic, count(*) AS n FROM labelled GROUP BY 1
+        UNION ALL SELECT 1, 1, sum(1 - 2 * churned) FROM labelled)""",
     # reports
     "segment_heatmap": "WITH g AS (SELECT segment_name, " + ", ".join(f"avg({c}) AS {c}" for c in _HEAT)
         + " FROM scored GROUP BY 1) SELECT segment_name, " + ", ".join(
