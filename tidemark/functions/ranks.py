@@ -1,115 +1,93 @@
 """Exact order statistics without putting a table, or a large group, into one task.
 
-`percentile` keeps a value -> count map of the whole group in one reducer and a window with no
-partition sorts everything in one task. Here a sketch narrows the search first, and only the
-values near the wanted position are shuffled; the answer is exact.
+`percentile` keeps a value -> count map of its whole group, and a window with no partition sorts
+everything in one task. Here a sketch narrows the search first and the exact step sees only the
+values near the wanted position.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import size_checked
+from tidemark.functions.exprs import attach, size_checked
 
 # percentile_approx is off by at most n / ACCURACY ranks
-ACCURACY = 10_000
-MARGIN = 4.0 / ACCURACY
+ACCURACY = 50_000
+MARGIN = 3.0 / ACCURACY
 # groups up to this size are searched whole
-SMALL_GROUP = 20_000
+SMALL_GROUP = 200_000
 BUCKETS = 256
 
 
-def _interpolated(n: Column, prob: Column) -> Column:
-    return prob * (n - 1)
-
-
-def order_statistics(
-    long: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    position: Callable[[Column, Column], Column] = _interpolated,
+def quantiles(
+    df: DataFrame, wanted: Mapping[str, tuple[str, float]], by: Sequence[str] = ()
 ) -> DataFrame:
-    """`by..., prob, n, value`: the value at `position(n, prob)` (0-based) of each group, linear
-    between neighbours. `by` are dimension columns with few levels.
-    """
-    probs = sorted(set(float(p) for p in probs))
-    around = [p for q in probs for p in (max(q - MARGIN, 0.0), min(q + MARGIN, 1.0))]
-    rows = long.where(F.col(value).isNotNull() & ~F.isnan(value))
+    """A row per group (one row without `by`): `by...`, the wanted quantiles `{name: (column,
+    prob)}` and `<column>__n`, the number of values. Exact, linear between neighbours.
 
-    sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(value, around, ACCURACY).alias("around"),
-    )
-    brackets = F.array(*[
-        F.struct(
-            F.lit(i).alias("which"),
-            _edge(F.col("around")[2 * i], p - MARGIN > 0, "-Infinity").alias("low"),
-            _edge(F.col("around")[2 * i + 1], p + MARGIN < 1, "Infinity").alias("high"),
-        )
-        for i, p in enumerate(probs)
-    ])
-    targets = sketch.select(*by, "n", F.inline(brackets))
-
-    keyed = targets.withColumnsRenamed({c: f"_{c}" for c in by})
-    same_group = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    # rows under the bracket collapse into one slot per task before the shuffle
-    slot = F.when(F.col(value) < F.col("low"), F.lit("-Infinity").cast("double"))
-    near = (
-        (rows.join(size_checked(keyed), same_group) if by else rows.crossJoin(F.broadcast(targets)))
-        .where(F.col(value) <= F.col("high"))
-        .groupBy(*by, "which", slot.otherwise(F.col(value)).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"))
-    )
-    running = F.sum("rows").over(Window.partitionBy(*by, "which").orderBy("slot"))
-    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("which") + 1)
-    picked = (
-        near.withColumns({"running": running, "prob": prob})
-        .withColumn("at", position(F.col("n"), F.col("prob")).cast("double"))
-        .groupBy(*by, "which")
-        .agg(
-            F.max("prob").alias("prob"), F.max("n").alias("n"), F.max("at").alias("at"),
-            F.min(F.when(F.col("running") > F.floor("at"), F.col("slot"))).alias("lower"),
-            F.min(F.when(F.col("running") > F.ceil("at"), F.col("slot"))).alias("upper"),
+    Two passes, both combined before the shuffle. The first finds values a few ranks to either
+    side of each position. The second is an exact percentile over values moved to -inf below and
+    +inf above those, which leaves the position where it was and the map about
+    2 x MARGIN x n entries long. `by` are dimension columns with few levels.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    # NaN is an absent value here
+    rows = df.select(*by, *[F.expr(f"nanvl(double(`{c}`), NULL) AS `{c}`") for c in columns])
+    probs = {c: sorted({p for name, p in wanted.values() if name == c}) for c in columns}
+
+    sketches = []
+    for c in columns:
+        around = ", ".join(f"{max(p - MARGIN, 0.0)!r}D, {min(p + MARGIN, 1.0)!r}D" for p in probs[c])
+        sketches.append(F.expr(f"count(`{c}`) AS `{c}__n`"))
+        sketches.append(F.expr(f"percentile_approx(`{c}`, array({around}), {ACCURACY}) AS `{c}__around`"))
+    sketch = rows.groupBy(*by).agg(*sketches)
+
+    def narrowed(c: str, p: float) -> str:
+        i = probs[c].index(p)
+        whole = f"`{c}__n` <= {SMALL_GROUP}"
+        below = f"`{c}` < `{c}__around`[{2 * i}]" if p > MARGIN else "false"
+        above = f"`{c}` > `{c}__around`[{2 * i + 1}]" if p < 1 - MARGIN else "false"
+        return (
+            f"CASE WHEN {whole} THEN `{c}` WHEN {below} THEN double('-inf') "
+            f"WHEN {above} THEN double('inf') ELSE `{c}` END"
         )
+
+    if by:
+        keyed = sketch.withColumnsRenamed({c: f"_{c}" for c in by})
+        near = rows.join(size_checked(keyed), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    else:
+        near = attach(rows, sketch)
+    exact = near.groupBy(*by).agg(
+        *[F.expr(f"percentile({narrowed(c, p)}, {p!r}D) AS `{name}`") for name, (c, p) in wanted.items()],
+        *[F.expr(f"count(`{c}`) AS `{c}__n`") for c in columns],
     )
-    missed = F.raise_error(F.lit("order statistic outside its bracket")).cast("double")
-    between = F.col("lower") + (F.col("upper") - F.col("lower")) * (F.col("at") - F.floor("at"))
-    found = F.when(F.col("lower").isNull() | (F.col("lower") == float("-inf")), missed)
-    return picked.select(
-        *by, "prob", "n",
-        found.when(F.col("upper").isNull(), missed).otherwise(between).alias("value"),
-    )
+    checked = [
+        f"CASE WHEN abs(`{n}`) < double('inf') THEN `{n}` WHEN `{c}__n` > 0 "
+        f"THEN raise_error('{n}: outside its bracket') END AS `{n}`"
+        for n, (c, _) in wanted.items()
+    ]
+    return exact.selectExpr(*[f"`{c}`" for c in by], *checked, *[f"`{c}__n`" for c in columns])
 
 
-def _edge(sketched: Column, narrows: bool, open_end: str) -> Column:
-    unbounded = F.lit(open_end).cast("double")
-    if not narrows:
-        return unbounded
-    return F.when(F.col("n") <= SMALL_GROUP, unbounded).otherwise(sketched)
+def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """One row with a column per wanted quantile: `{name: (column, prob)}`."""
+    return quantiles(df, wanted).select(*wanted)
 
 
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """`by..., column, prob, n, value` for several numeric columns in one pass over the table."""
-    casted = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = casted.unpivot(list(by), list(columns), "column", "value")
-    return order_statistics(long, [*by, "column"], "value", probs)
-
-
-def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """One row with a column per wanted quantile: `{name: (column, prob)}`."""
-    columns = sorted({c for c, _ in wanted.values()})
-    probs = sorted({p for _, p in wanted.values()})
-    table = quantile_table(df, columns, probs)
-    return table.agg(*[
-        F.max(F.when((F.col("column") == c) & (F.col("prob") == p), F.col("value"))).alias(name)
-        for name, (c, p) in wanted.items()
-    ])
+    """`by..., column, prob, n, value` for several numeric columns."""
+    named = {f"{c}__{i}": (c, float(p)) for c in columns for i, p in enumerate(probs)}
+    wide = quantiles(df, named, by)
+    entries = ", ".join(
+        f"struct('{c}' AS column, {p!r}D AS prob, `{c}__n` AS n, `{name}` AS value)"
+        for name, (c, p) in named.items()
+    )
+    return wide.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))")
 
 
 def running_totals(df: DataFrame, key: str, measures: Mapping[str, Column]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach, size_checked
-from tidemark.functions.ranks import quantile_row, quantile_table
+from tidemark.functions.ranks import quantile_row, quantiles
 
 
 def minmax(x: Column, low: Column, high: Column) -> Column:
@@ -91,21 +91,17 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
 
 def box_plot(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, whiskers (furthest value within 1.5 IQR) and outlier count per group."""
-    def at(p: float) -> Column:
-        return F.max(F.when(F.col("prob") == p, F.col("value")))
-
-    quartiles = quantile_table(df, [column], [0.25, 0.5, 0.75], [by]).groupBy(by).agg(
-        at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3")
-    )
+    wanted = {"q1": (column, 0.25), "median": (column, 0.5), "q3": (column, 0.75)}
+    quartiles = quantiles(df, wanted, [by]).select(F.col(by).alias("_by"), *wanted)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(column)
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    keyed = quartiles.withColumnRenamed(by, "_by")
     return (
         df.select(by, column)
-        .join(size_checked(keyed), F.col(by).eqNullSafe(F.col("_by")))
-        .groupBy(by, "q1", "median", "q3")
+        .join(size_checked(quartiles), F.col(by).eqNullSafe(F.col("_by")))
+        .groupBy(by)
         .agg(
+            *[F.first(q).alias(q) for q in wanted],
             F.min(F.when(inside, x)).alias("whisker_low"),
             F.max(F.when(inside, x)).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
@@ -136,20 +132,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max: one row per column."""
-    casted = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    basics = casted.unpivot([], list(columns), "column", "value").groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-
-    def at(p: float) -> Column:
-        return F.max(F.when(F.col("prob") == p, F.col("value")))
-
-    quartiles = quantile_table(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
-        at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75")
-    )
-    return basics.join(quartiles, "column", "left")
+    basics = df.agg(*[
+        F.expr(f"{fn}(double(`{c}`)) AS `{c}__{name}`")
+        for c in columns
+        for name, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+    ])
+    parts = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = quantiles(df, {f"{c}__{name}": (c, p) for c in columns for name, p in parts.items()})
+    shown = ["mean", "std", "min", "max", *parts]
+    entries = {c: (F.col(f"{c}__n"), *[F.col(f"{c}__{name}") for name in shown]) for c in columns}
+    return as_rows(attach(basics, quartiles), entries, ["column", "count", *shown])
 
 
 def null_profile(df: DataFrame) -> DataFrame:

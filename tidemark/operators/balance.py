@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
-from tidemark.functions.ranks import ACCURACY, BUCKETS, order_statistics
+from tidemark.functions.ranks import ACCURACY, BUCKETS, quantile_row
 from tidemark.operators.models import uniform
 from tidemark.session import cut_lineage
 
@@ -127,10 +127,8 @@ def oversample(
     u = uniform("id", seed)
     one_more = F.lit(0)
     if extra:
-        cut = order_statistics(
-            points.select(u.alias("u")), [], "u", [extra / minority], lambda n, p: F.lit(extra - 1)
-        ).select(F.col("value").alias("_cut"))
-        near = attach(near, cut)
+        # exactly `extra` points lie at or under this quantile
+        near = attach(near, quantile_row(points.select(u.alias("u")), {"_cut": ("u", extra / minority)}))
         one_more = (u <= F.col("_cut")).cast("int")
     drawn = near.withColumn("_draws", F.lit(each) + one_more).where("_draws > 0").withColumn(
         "draw", F.explode(F.sequence(F.lit(1), F.col("_draws")))

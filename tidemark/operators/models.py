@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach, size_checked
-from tidemark.functions.ranks import order_statistics, quantile_row
+from tidemark.functions.ranks import quantile_row, quantiles
 from tidemark.functions.stats import moments
 from tidemark.operators.evaluation import evaluate
 from tidemark.operators.offers import literal_table
+from tidemark.session import cut_lineage
 
 PROGRAMME_FEATURES = [
     "recency_months", "active_month_ratio", "avg_flights_per_month", "redemption_rate", "clv_log",
@@ -70,23 +71,18 @@ def uniform(id_column: str, seed: int) -> Column:
 
 
 def _strata_cuts(df: DataFrame, label: str, id_column: str, seed: int, shares: Sequence[float]) -> DataFrame:
-    """Per label value, the uniform number below which round(n x share) rows lie, for each share."""
+    """Per label value, the quantiles of the uniform number at `shares`: a share s has exactly
+    floor((n - 1) x s) + 1 of the n rows at or under its cut."""
     drawn = df.select(label, uniform(id_column, seed).alias("_u"))
-
-    def last_inside(n: Column, share: Column) -> Column:
-        return F.greatest(F.floor(n * share + 0.5) - 1, F.lit(0))
-
-    cuts = order_statistics(drawn, [label], "_u", shares, last_inside)
-    listed = F.sort_array(F.collect_list(F.struct("prob", "value")))
-    return cuts.groupBy(F.col(label).alias("_stratum")).agg(
-        F.transform(listed, lambda c: c["value"]).alias("_cuts")
-    )
+    names = {f"_cut_{i}": ("_u", share) for i, share in enumerate(shares)}
+    cuts = quantiles(drawn, names, [label])
+    return cuts.select(F.col(label).alias("_stratum"), F.array(*names).alias("_cuts"))
 
 
 def stratified_split(
     df: DataFrame, label: str, id_column: str = "loyalty_number", test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Add `is_test`: exactly round(n x share) rows of each class, without sorting a class."""
+    """Add `is_test`: the same share of each class to the row, without sorting a class."""
     cuts = _strata_cuts(df, label, id_column, seed, [test_share])
     joined = df.join(size_checked(cuts), F.col(label) == F.col("_stratum"))
     inside = uniform(id_column, seed) <= F.col("_cuts")[0]
@@ -209,7 +205,8 @@ def cross_validate(learner, prepared: PipelineModel, train: DataFrame, folds: in
         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
         numFolds=folds, foldCol="fold",
     )
-    scored = validator.fit(prepared.transform(folded).select("features", "label", "weight", "fold"))
+    table = cut_lineage(prepared.transform(folded).select("features", "label", "weight", "fold"))
+    scored = validator.fit(table)
     return float(scored.avgMetrics[0]), float(scored.stdMetrics[0])
 
 

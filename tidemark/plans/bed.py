@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import clip, lookup
 from tidemark.operators import features, labels, retention
+from tidemark.session import cut_lineage
 from tidemark.settings import Settings
 from tidemark.sources import testbed
 
@@ -48,7 +49,12 @@ class Bed:
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.feature_matrix(self.labels, self.activity, self.settings)
+        s = self.settings
+        years = (s.feature_year, s.label_year)
+        # derived from orders here, a stored table otherwise: derive it once for labels and features
+        staged = cut_lineage(self.activity.where(F.col("year").isin(*years)))
+        labelled = labels.churn_labels(self.members, staged, s)
+        return features.feature_matrix(labelled, staged, s)
 
     def _score(self, names: list[str]) -> DataFrame:
         risk = F.round(clip(1 - F.col("engagement_health_score") / 100, 0, 1), 4)

@@ -4,7 +4,6 @@ They have no SQL twin; tests check their properties."""
 from __future__ import annotations
 
 import uuid
-from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import stats
 from tidemark.operators import balance, models, offers, reports, retention, segments
+from tidemark.plans import training
 from tidemark.plans.bed import Bed, tidy
 from tidemark.plans.queries import ID, query
 from tidemark.session import cut_lineage, ensure_checkpoint_dir
@@ -21,40 +21,8 @@ from tidemark.sources import files, schemas
 QUICK = models.ModelSettings(forest_trees=20, forest_depth=6, boosted_trees=20, boosted_depth=4, max_iter=100)
 
 
-class Trainer:
-    """Split, preparation and the three learners over one feature table."""
-
-    def __init__(self, features: DataFrame, settings: models.ModelSettings, seed: int, test_share: float):
-        table = models.training_table(features, "churned", models.PROGRAMME_FEATURES)
-        self.settings = settings
-        self.split = cut_lineage(models.stratified_split(table, "label", ID, test_share, seed))
-        parts = models.split_parts(self.split)
-        self.train = cut_lineage(models.with_class_weight(parts["train"], "label"))
-        self.test = parts["test"]
-
-    @cached_property
-    def prepared(self) -> PipelineModel:
-        return models.fit_preparation(self.train, models.PROGRAMME_FEATURES)
-
-    @cached_property
-    def train_rows(self) -> int:
-        return self.train.count()
-
-    def learner(self, name: str):
-        if name == models.LOGISTIC:
-            return models.logistic(self.train_rows, self.settings)
-        return models.forest(self.settings) if name == models.FOREST else models.boosted(self.settings)
-
-    def fit(self, name: str) -> PipelineModel:
-        return models.fit(self.learner(name), self.prepared, self.train)
-
-    def scored_test(self, model: PipelineModel) -> DataFrame:
-        scored = models.score(model, self.test, models.PROGRAMME_FEATURES, "probability")
-        return scored.select(ID, "label", "probability")
-
-
-def trainer(b: Bed) -> Trainer:
-    return Trainer(b.features, QUICK, b.settings.seed, b.settings.test_share)
+def trainer(b: Bed) -> training.Trainer:
+    return training.Trainer(b.features, QUICK, b.settings.seed, b.settings.test_share)
 
 
 def _scratch(b: Bed) -> str:

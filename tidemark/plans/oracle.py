@@ -857,10 +857,10 @@ _SELECTS = {
         {num("members / sum(members) OVER ()", "share")}, {num("members * avg_revenue_at_risk", "revenue_at_risk")}
         FROM segment_groups""",
     "stratified_split": f"""SELECT {ints("churned")}, {integer("count(*)", "members")},
-        {integer("floor(count(*) * 0.2 + 0.5)", "test_members")} FROM labelled GROUP BY labelled.churned""",
+        {integer("floor((count(*) - 1) * CAST(0.2 AS DOUBLE)) + 1", "test_members")} FROM labelled GROUP BY labelled.churned""",
     "stratified_folds": f"""WITH n AS (SELECT churned, count(*) AS n FROM labelled GROUP BY 1)
-        SELECT {ints("churned")}, {integer("f", "fold")}, {integer("""floor(n * CAST((f + 1) / 5 AS DOUBLE) + 0.5)
-        - floor(n * CAST(f / 5 AS DOUBLE) + 0.5)""", "members")} FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)""",
+        SELECT {ints("churned")}, {integer("f", "fold")}, {integer("""CASE WHEN f = 4 THEN n ELSE floor((n - 1) * CAST((f + 1) / 5 AS DOUBLE)) + 1 END
+        - CASE WHEN f = 0 THEN 0 ELSE floor((n - 1) * CAST(f / 5 AS DOUBLE)) + 1 END""", "members")} FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)""",
     "smote_balance": f"""SELECT {num("label", "label")}, {integer("synthetic", "synthetic")}, {integer("n", "members")} FROM (
         SELECT churned AS label, 0 AS synthetic, count(*) AS n FROM labelled GROUP BY 1
         UNION ALL SELECT 1, 1, sum(1 - 2 * churned) FROM labelled)""",

@@ -65,13 +65,13 @@ MEASURES = ("distance", "points_accumulated", "points_redeemed", "dollar_cost_po
 def activity_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order, so a member may have several rows in a month. Lines are summed per order
     before the join, which keeps an order with very many lines from being one large join group."""
-    price, discount = "CAST(l_extendedprice AS DECIMAL(12,2))", "CAST(l_discount AS DECIMAL(4,2))"
-    tax = "CAST(l_tax AS DECIMAL(4,2))"
+    # whole cents and hundredths: exact like decimals, and summed as longs
+    cents, discount, tax = (f"bigint(round({c} * 100))" for c in ("l_extendedprice", "l_discount", "l_tax"))
     lines = _table(spark, folder, "lineitem").groupBy(F.expr("l_orderkey AS o_orderkey")).agg(
         F.expr("sum(l_quantity) AS distance"),
-        F.expr(f"double(round(sum({price}), 2)) AS points_accumulated"),
-        F.expr(f"double(round(sum({price} * {discount}), 2)) AS points_redeemed"),
-        F.expr(f"double(round(sum({price} * {discount} * {tax}), 2)) AS dollar_cost_points_redeemed"),
+        F.expr(f"sum({cents}) / 100 AS points_accumulated"),
+        F.expr(f"((sum({cents} * {discount}) + 50) DIV 100) / 100 AS points_redeemed"),
+        F.expr(f"((sum({cents} * {discount} * {tax}) + 5000) DIV 10000) / 100 AS dollar_cost_points_redeemed"),
     )
     return (
         _table(spark, folder, "orders")
