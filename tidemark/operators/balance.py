@@ -60,11 +60,13 @@ def projected_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame
     """`id, x, near` in linear work for any number of points: the k closest of those that lie
     next to a point on some of several random lines.
 
-    The neighbours are near ones and not proven nearest, which is all the interpolation needs;
-    every point gets its k. Lines are cut into ranges, and a range with many points (equal ones
-    included) is split by a hash, so no task gets an unbounded part.
+    The neighbours are near ones and not proven nearest, which is all the interpolation needs. No
+    point is left out: one that is alone in its range on every line is its own neighbour. Lines
+    are cut into ranges, and a range with many points (equal ones included) is split by a hash, so
+    no task gets an unbounded part.
     """
-    width = len(points.select("x").first()["x"])
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).first()
+    width, ranges = size["width"], max(1, min(BUCKETS, size["n"] // ROWS_PER_TASK))
     draw = random.Random(seed)
     per_line = None
     for line in range(PROJECTIONS):
@@ -72,7 +74,7 @@ def projected_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame
         on_line = F.aggregate(F.zip_with("x", direction, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
         placed = points.withColumn("at", on_line)
         cuts = placed.agg(
-            F.percentile_approx("at", [i / BUCKETS for i in range(1, BUCKETS)], ACCURACY).alias("cuts")
+            F.percentile_approx("at", [i / ranges for i in range(1, ranges)] or [1.0], ACCURACY).alias("cuts")
         )
         ranged = attach(placed, cuts).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("at"))))
         # at most BUCKETS rows
@@ -90,7 +92,8 @@ def projected_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame
         F.first("x").alias("x"), F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
     )
     best = F.slice(F.array_sort("near"), 1, k)
-    return merged.select("id", "x", F.transform(best, lambda c: c["x"]).alias("near"))
+    near = F.when(F.size(best) > 0, F.transform(best, lambda c: c["x"])).otherwise(F.array("x"))
+    return merged.select("id", "x", near.alias("near"))
 
 
 def _closest(candidates: Column, k: int) -> Column:
