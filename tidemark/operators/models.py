@@ -203,7 +203,7 @@ def cross_validate(learner, prepared: PipelineModel, train: DataFrame, folds: in
     validator = CrossValidator(
         estimator=learner, estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=folds, foldCol="fold",
+        numFolds=folds, foldCol="fold", parallelism=folds,
     )
     table = cut_lineage(prepared.transform(folded).select("features", "label", "weight", "fold"))
     scored = validator.fit(table)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -49,16 +50,20 @@ def assemble(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
     return cut_lineage(vectors)
 
 
+# independent fits submitted at a time; their small jobs fill the gaps of one another
+PARALLEL_FITS = 4
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> KMeansModel:
     """Best of several seeded starts by within-cluster cost."""
-    fits = (
-        KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector", predictionCol="segment_id")
-        .fit(vectors)
-        for i in range(restarts)
-    )
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    def start(i: int) -> KMeansModel:
+        means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector", predictionCol="segment_id")
+        return means.fit(vectors)
+
+    with ThreadPool(PARALLEL_FITS) as pool:
+        return min(pool.map(start, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
 @dataclass(frozen=True)
@@ -71,13 +76,14 @@ class KChoice:
 
 def try_k(vectors: DataFrame, ks: Sequence[int], restarts: int = 10, seed: int = 42) -> list[KChoice]:
     """Inertia and silhouette per k. The evaluator sums over partitions, so no sample is taken."""
-    judge = ClusteringEvaluator(featuresCol="vector", predictionCol="segment_id")
-    out = []
-    for k in ks:
+    def attempt(k: int) -> KChoice:
         model = fit_kmeans(vectors, k, restarts, seed)
+        judge = ClusteringEvaluator(featuresCol="vector", predictionCol="segment_id")
         score = judge.evaluate(model.transform(vectors))
-        out.append(KChoice(k, float(model.summary.trainingCost), float(score), model))
-    return out
+        return KChoice(k, float(model.summary.trainingCost), float(score), model)
+
+    with ThreadPool(PARALLEL_FITS) as pool:
+        return pool.map(attempt, ks)
 
 
 def best_k(tried: Sequence[KChoice]) -> KChoice:

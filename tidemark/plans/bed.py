@@ -50,9 +50,8 @@ class Bed:
     @cached_property
     def features(self) -> DataFrame:
         s = self.settings
-        years = (s.feature_year, s.label_year)
         # derived from orders here, a stored table otherwise: derive it once for labels and features
-        staged = cut_lineage(self.activity.where(F.col("year").isin(*years)))
+        staged = cut_lineage(testbed.activity(self.spark, self.folder, (s.feature_year, s.label_year)))
         labelled = labels.churn_labels(self.members, staged, s)
         return features.feature_matrix(labelled, staged, s)
 

@@ -166,7 +166,8 @@ def cv_auc(b: Bed) -> DataFrame:
 def model_comparison(b: Bed) -> DataFrame:
     t = trainer(b)
     names = (models.LOGISTIC, models.FOREST, models.BOOSTED)
-    rows = [models.comparison_row(n, cut_lineage(t.scored_test(t.fit(n)))) for n in names]
+    fitted = t.fit_all(names)
+    rows = [models.comparison_row(n, cut_lineage(t.scored_test(m))) for n, m in fitted.items()]
     chosen = models.choose_model(rows, pinned=None)
     return models.comparison_table(t.train, rows).withColumn("chosen", F.col("model") == chosen)
 

@@ -72,7 +72,7 @@ def run(
 
     trainer = Trainer(table, model_settings, settings.seed, settings.test_share)
     names = (models.LOGISTIC, models.FOREST, models.BOOSTED)
-    fitted = {name: trainer.fit(name) for name in names}
+    fitted = trainer.fit_all(names)
     rows = [models.comparison_row(n, cut_lineage(trainer.scored_test(m))) for n, m in fitted.items()]
     validated = {n: trainer.cross_validate(n, folds) for n in (models.LOGISTIC, models.BOOSTED)} if folds else {}
     production = models.choose_model(rows)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -43,6 +45,14 @@ class Trainer:
     def fit(self, name: str) -> PipelineModel:
         return models.fit(self.learner(name), self.prepared, self.train)
 
+    def fit_all(self, names: Sequence[str]) -> dict[str, PipelineModel]:
+        """The learners are independent, so their jobs are submitted together."""
+        prepared = self.prepared
+        learners = [self.learner(name) for name in names]
+        with ThreadPool(len(learners)) as pool:
+            fits = pool.map(lambda learner: models.fit(learner, prepared, self.train), learners)
+        return dict(zip(names, fits))
+
     def scored_test(self, model: PipelineModel) -> DataFrame:
         scored = models.score(model, self.test, models.PROGRAMME_FEATURES, "probability")
         return scored.select(ID, "label", "probability")

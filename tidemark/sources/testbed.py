@@ -33,7 +33,12 @@ def members(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
         F.expr(f"""sum(CASE WHEN o_orderdate <= DATE '{settings.prediction_date}'
                        THEN CAST(o_totalprice AS DECIMAL(12,2)) END) AS spent"""),
     )
-    places = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS province")
+    # one row per key, and said so: the join is dropped from plans that do not use the province
+    places = (
+        _table(spark, folder, "nation")
+        .selectExpr("n_nationkey AS c_nationkey", "n_name AS province")
+        .dropDuplicates(["c_nationkey"])
+    )
     year = settings.label_year
     return (
         _table(spark, folder, "customer")
@@ -62,9 +67,16 @@ def members(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
 MEASURES = ("distance", "points_accumulated", "points_redeemed", "dollar_cost_points_redeemed")
 
 
-def activity_raw(spark: SparkSession, folder: str) -> DataFrame:
+def activity_raw(spark: SparkSession, folder: str, years: tuple[int, int] | None = None) -> DataFrame:
     """One row per order, so a member may have several rows in a month. Lines are summed per order
-    before the join, which keeps an order with very many lines from being one large join group."""
+    before the join, which keeps an order with very many lines from being one large join group.
+    `years` (first, last) becomes a range on the order date, which the scan can skip by."""
+    orders = _table(spark, folder, "orders")
+    if years is not None:
+        first, last = years
+        orders = orders.where(
+            f"o_orderdate >= TIMESTAMP_NTZ '{first}-01-01' AND o_orderdate < TIMESTAMP_NTZ '{last + 1}-01-01'"
+        )
     # whole cents and hundredths: exact like decimals, and summed as longs
     cents, discount, tax = (f"bigint(round({c} * 100))" for c in ("l_extendedprice", "l_discount", "l_tax"))
     lines = _table(spark, folder, "lineitem").groupBy(F.expr("l_orderkey AS o_orderkey")).agg(
@@ -74,8 +86,7 @@ def activity_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.expr(f"((sum({cents} * {discount} * {tax}) + 5000) DIV 10000) / 100 AS dollar_cost_points_redeemed"),
     )
     return (
-        _table(spark, folder, "orders")
-        .join(lines, "o_orderkey", "left")
+        orders.join(lines, "o_orderkey", "left")
         .selectExpr(
             "o_orderkey AS record_id", "o_custkey AS loyalty_number", "year(o_orderdate) AS year",
             "month(o_orderdate) AS month", "1 AS total_flights",
@@ -84,10 +95,10 @@ def activity_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, folder: str) -> DataFrame:
+def activity(spark: SparkSession, folder: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Member x month: the records of a month summed."""
     sums = [F.expr(f"sum({m}) AS {m}") for m in MEASURES]
-    return activity_raw(spark, folder).groupBy("loyalty_number", "year", "month").agg(
+    return activity_raw(spark, folder, years).groupBy("loyalty_number", "year", "month").agg(
         F.expr("int(sum(total_flights)) AS total_flights"), *sums
     )
 
