@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding
+from tidemark.llm import sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,3 +25,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
