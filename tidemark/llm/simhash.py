@@ -45,6 +45,21 @@ def _normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, bytewise
     return text, bytewise.Spans(start, start + length, spans.row)
 
 
+def _bit_counts(hashes: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set in each run of hashes (runs are not empty).
+
+    Eight bits are counted at a time, in the bytes of one word; a run is cut so that no byte overflows.
+    """
+    cuts = (count + 254) // 255
+    first = np.cumsum(cuts) - cuts
+    piece = np.repeat(begin, cuts) + 255 * bytewise.ranges(np.zeros(len(cuts), np.int64), cuts)
+    out = np.empty((len(begin), 64), np.int64)
+    for k in range(8):
+        lanes = np.add.reduceat((hashes >> np.uint64(k)) & np.uint64(0x0101010101010101), piece)
+        out[:, k::8] = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
+    return out
+
+
 def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, seed: int = SEED) -> np.ndarray:
     """One 64-bit fingerprint per row."""
     n = len(offsets) - 1
@@ -62,10 +77,9 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, seed
         (digest(whole[a:b], seed) for a, b in zip(spans.start[at].tolist(), spans.end[last].tolist())), np.uint64, len(at)
     )
     some = np.flatnonzero(shingles)
-    begin = (np.cumsum(shingles) - shingles)[some]
-    for bit in range(64):
-        ones = np.add.reduceat(((hashes >> np.uint64(bit)) & np.uint64(1)).astype(np.int64), begin)
-        out[some] |= (2 * ones > shingles[some]).astype(np.uint64) << np.uint64(bit)
+    ones = _bit_counts(hashes, (np.cumsum(shingles) - shingles)[some], shingles[some])
+    set_bits = (2 * ones > shingles[some][:, None]).astype(np.uint64)
+    out[some] = (set_bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
     return out
 
 
