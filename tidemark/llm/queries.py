@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, simhash, topk, urlfilter
+from tidemark.llm import langid, packing, sharding, simhash, topk, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,18 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(count: int) -> Column:
+    """The row's remainder by which folds are told apart."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
+
+
+@query
+def op3_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
+    model = langid.train(docs, ~F.col("held_out"))
+    return langid.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 @query
 def op4_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
