@@ -31,6 +31,7 @@ PER_LANGUAGE = 400
 LANDMARKS = 96
 RIDGE = 0.1
 SHARPNESS = 4.0
+MOST_LANGUAGES = 500
 UNKNOWN = "und"
 GRAMS = 64 + 64**2 + 64**3
 FIRST = (0, 64, 64 + 64**2)  # where the codes of 1-, 2- and 3-grams begin
@@ -117,10 +118,15 @@ def sample(docs: DataFrame, learn: Column, key: str, text: str, lang: str, per_l
     rows = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).cast("string").alias("key")
     )
-    share = rows.groupBy("lang").agg((2.0 * per_language / F.count(F.lit(1))).alias("share"))
+    counts = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError("more labels than a one-versus-rest model is made for")
+    if not counts:
+        return []
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 2.0 * per_language / r["count"])])
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), F.xxhash64("text"))
     rows = (
-        rows.join(share, "lang").where(draw < F.col("share"))
+        rows.where(draw < share[F.col("lang")])
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
     )
     taken = rows.select("lang", "text").mapInArrow(task, "lang string, codes binary").collect()
