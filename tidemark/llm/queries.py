@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, sharding, simhash, topk, urlfilter
+from tidemark.llm import langid, packing, sharding, simhash, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,6 +58,13 @@ def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op7_subsequence_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(3) == 1, F.lit(False)))
+    machine = toxicity.train(docs, _table(spark, sf_dir, "labels"), fold(3) != 1)
+    return toxicity.score(docs, machine, ["doc_id", "held_out"])
+
+
 # The rules that pages are judged by
 URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
