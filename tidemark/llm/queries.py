@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, sharding, simhash, topk, toxicity, urlfilter
+from tidemark.llm import langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,6 +77,12 @@ def op8_digest_array_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op9_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixdedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
