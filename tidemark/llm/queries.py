@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
+from tidemark.llm import brown, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -52,6 +52,14 @@ def op4_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op5_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown.score(_table(spark, sf_dir, "documents"), F.coalesce(fold(7) != 2, F.lit(True)))
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 @query
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(_table(spark, sf_dir, "documents"))
