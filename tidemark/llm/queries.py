@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import brown, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
+from tidemark.llm import brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, _table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
