@@ -48,10 +48,11 @@ def powers(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
         with np.errstate(over="ignore"):
-            have = np.full(max(n, 2 * SLICE_BYTES), base, np.uint64)
+            have = np.full(max(n, SLICE_BYTES + 4096), base, np.uint64)
             have[0] = 1
             have = np.multiply.accumulate(have)
-        _powers[base] = have
+        if n <= 4 * SLICE_BYTES:  # those of a single very long text are not kept
+            _powers[base] = have
     return have[:n]
 
 
@@ -74,11 +75,21 @@ class Spans:
         return len(self.start)
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
-        """A 64-bit value of each span's bytes: a polynomial over them, scrambled."""
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-        value = (sums[self.end] - sums[self.start]) * powers(INVERSE, len(data) + 1)[self.start]
-        return mixed(value)
+        """A 64-bit value of each span's bytes: a polynomial over them, scrambled. Starts must not fall."""
+        out = np.empty(len(self), np.uint64)
+        if not len(self):
+            return out
+        # a stretch of the data at a time, so that temporaries stay small
+        cuts = np.searchsorted(self.start, np.arange(self.start[0], self.start[-1] + SLICE_BYTES, SLICE_BYTES))
+        for a, b in zip(cuts, np.append(cuts[1:], len(self))):
+            if b > a:
+                low = int(self.start[a])
+                part = data[low: int(self.end[a:b].max())]
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(part)), out=sums[1:])
+                start = self.start[a:b] - low
+                out[a:b] = (sums[self.end[a:b] - low] - sums[start]) * powers(INVERSE, len(part) + 1)[start]
+        return mixed(out)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Spans:

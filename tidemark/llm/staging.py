@@ -21,5 +21,12 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]

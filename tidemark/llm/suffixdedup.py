@@ -4,8 +4,8 @@ A byte goes if it lies in a string of `span` (50) bytes that also begins in a ro
 on the input, as UTF-8 bytes; matches never cross rows.
 
 1. Screen. Every 50-byte string has an anchor, the smallest hash of its 20-byte strings; equal strings have equal anchors.
-   Rows are dealt into chunks of bounded size. A chunk reports each anchor once, with the smallest and largest key that has it.
-   Anchors of one key only cannot lie in a repeated string, and end here.
+   Rows are dealt into chunks of bounded size. A chunk reports four bytes of each anchor once, and whether several keys have it.
+   Anchors of one chunk and one key only cannot lie in a repeated string, and end here; the answer is a bit each.
 2. Suffix sort. For the other anchors a chunk sends its distinct pieces: the bytes of all strings around one anchor. A part
    receives all pieces of its anchors, makes them one text, and finds its equal 50-byte strings as a suffix array
    construction does (Kaerkkaeinen, 2007): suffixes at the places of a difference cover modulo 7 are ranked first by 44 bytes;
@@ -28,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewise
-from tidemark.llm.staging import total_bytes
+from tidemark.llm.staging import fresh, total_bytes
 
 SPAN = 50
 ANCHOR = 20
@@ -166,15 +167,23 @@ class Chunk:
         self.data, self.offsets = bytewise.flat(table[text])
         self.row, self.first, self.end, self.anchor = runs(self.data, self.offsets)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors, with the smallest and largest key that has each."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct anchors, sorted, and whether several keys have each."""
         order, first = grouped(self.anchor)
         key = self.key[self.row[order]]
-        return self.anchor[order][first], smallest(key, first), largest(key, first)
+        return self.anchor[order][first], smallest(key, first) < largest(key, first)
+
+    def repeated(self, answers: dict[int, bytes], parts: int) -> np.ndarray:
+        """The anchors that the parts have found repeated: a bit for each anchor, in the order of sending."""
+        own, _ = self.anchors()
+        found = np.zeros(len(own), bool)
+        for part, mine in _by_part(own % np.uint64(parts)):
+            if part in answers:
+                found[mine] = np.unpackbits(np.frombuffer(answers[part], np.uint8), count=len(mine)).astype(bool)
+        return own[found]
 
     def pieces(self, repeated: np.ndarray) -> tuple:
         """Distinct pieces of the repeated anchors: (run, its piece), and of each piece start, length, anchor, keys."""
-        repeated = np.sort(repeated)
         at = np.searchsorted(repeated, self.anchor).clip(0, max(0, len(repeated) - 1))
         run = np.flatnonzero(repeated[at] == self.anchor) if len(repeated) else np.zeros(0, np.int64)
         start, length = self.first[run], self.end[run] - self.first[run] + SPAN - 1
@@ -187,11 +196,12 @@ class Chunk:
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    sizes = np.array([len(a) * a.itemsize for a in arrays], "<i8")
-    return sizes.tobytes() + b"".join(a.tobytes() for a in arrays)
+    sizes = np.array([a.nbytes for a in arrays], "<i8")
+    return zstandard.compress(sizes.tobytes() + b"".join(a.tobytes() for a in arrays), 1)
 
 
 def _unpacked(raw: bytes, *types: str) -> list[np.ndarray]:
+    raw = zstandard.decompress(raw)
     sizes = np.frombuffer(raw, "<i8", len(types))
     at = 8 * len(types) + np.cumsum(sizes) - sizes
     return [np.frombuffer(raw, t, int(n) // np.dtype(t).itemsize, int(a)) for t, n, a in zip(types, sizes, at)]
@@ -201,6 +211,11 @@ def _blobs(to: list[int], by: int, payload: list[bytes]) -> pa.Table:
     return pa.table({"to": pa.array(to, pa.int32()), "by": pa.array([by] * len(to), pa.int32()), "payload": pa.array(payload, pa.binary())})
 
 
+def _short(anchor: np.ndarray, parts: int) -> np.ndarray:
+    """Four bytes of an anchor. A part holds some hundred thousand anchors, so few agree by chance; those only cost work."""
+    return (anchor // np.uint64(parts) & np.uint64(0xFFFFFFFF)).astype("<u4")
+
+
 BLOB = "to int, by int, payload binary"
 
 
@@ -216,44 +231,44 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     size = total_bytes(docs, text)
     chunks, parts = size // CHUNK_BYTES + 1, size // PART_BYTES + 1
     names = docs.columns
-    rows = docs.withColumn("__chunk", F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(chunks)).cast("int"))
+    mark_ = fresh(docs, "__chunk")
+    rows = docs.withColumn(mark_, F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(chunks)).cast("int"))
 
     def report(table: pa.Table) -> pa.Table:
         chunk = Chunk(table, key, text)
-        anchor, low, high = chunk.anchors()
+        anchor, several = chunk.anchors()
         to, payload = [], []
         for part, mine in _by_part(anchor % np.uint64(parts)):
             to.append(part)
-            payload.append(_packed(anchor[mine], low[mine], high[mine]))
-        return _blobs(to, table["__chunk"][0].as_py(), payload)
+            payload.append(_packed(_short(anchor[mine], parts), np.packbits(several[mine])))
+        return _blobs(to, table[mark_][0].as_py(), payload)
 
     def screen(table: pa.Table) -> pa.Table:
         by = table["by"].to_pylist()
-        got = [_unpacked(p, "<u8", "<i8", "<i8") for p in table["payload"].to_pylist()]
-        anchor, low, high = (np.concatenate([g[k] for g in got]) for k in range(3))
-        source = np.repeat(by, [len(g[0]) for g in got])
+        got = [_unpacked(p, "<u4", "u1") for p in table["payload"].to_pylist()]
+        anchor = np.concatenate([g[0] for g in got])
+        many = np.concatenate([np.unpackbits(g[1], count=len(g[0])) for g in got]).astype(bool)
         order, first = grouped(anchor)
-        many = smallest(low[order], first) < largest(high[order], first)
-        kept = order[np.repeat(many, np.diff(np.append(first, len(order))))]
-        to, payload = [], []
-        for chunk, mine in _by_part(source[kept]):
-            to.append(chunk)
-            payload.append(_packed(anchor[kept[mine]]))
-        return _blobs(to, table["to"][0].as_py(), payload)
-
-    def repeated_of(payloads: list[bytes]) -> np.ndarray:
-        return np.concatenate([_unpacked(p, "<u8")[0] for p in payloads]) if payloads else np.zeros(0, np.uint64)
+        size = np.diff(np.append(first, len(order)))
+        several = np.add.reduceat(many[order].astype(np.int64), first) + size > 1
+        many[order] = np.repeat(several, size)
+        done, payload = 0, []
+        for g in got:
+            payload.append(np.packbits(many[done: done + len(g[0])]).tobytes())
+            done += len(g[0])
+        return _blobs(by, table["to"][0].as_py(), payload)
 
     def send(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows or not told.num_rows:
             return _blobs([], 0, [])
         chunk = Chunk(table, key, text)
-        _, _, start, length, anchor, low, high = chunk.pieces(repeated_of(told["payload"].to_pylist()))
+        answers = dict(zip(told["by"].to_pylist(), told["payload"].to_pylist()))
+        _, _, start, length, anchor, low, high = chunk.pieces(chunk.repeated(answers, parts))
         to, payload = [], []
         for part, mine in _by_part(anchor % np.uint64(parts)):
             to.append(part)
             payload.append(_packed(length[mine].astype("<i4"), low[mine], high[mine], chunk.data[bytewise.ranges(start[mine], length[mine])]))
-        return _blobs(to, table["__chunk"][0].as_py(), payload)
+        return _blobs(to, table[mark_][0].as_py(), payload)
 
     def sort(table: pa.Table) -> pa.Table:
         by = table["by"].to_pylist()
@@ -299,7 +314,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         kind, by, payloads = told["kind"].to_pylist(), told["by"].to_pylist(), told["payload"].to_pylist()
         answers = {b: p for k, b, p in zip(kind, by, payloads) if k == 1}
         if answers:
-            run, piece, _, _, anchor, _, _ = chunk.pieces(repeated_of([p for k, p in zip(kind, payloads) if k == 0]))
+            run, piece, _, _, anchor, _, _ = chunk.pieces(
+                chunk.repeated({b: p for k, b, p in zip(kind, by, payloads) if k == 0}, parts)
+            )
             by_piece = np.argsort(piece, kind="stable")
             first = np.searchsorted(piece[by_piece], np.arange(len(anchor)))
             uses = np.bincount(piece, minlength=len(anchor))
@@ -340,7 +357,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     out_schema = pa.schema([
         *[(f.name, to_arrow_type(f.dataType)) for f in kept], *[(n, pa.int64() if t == "long" else pa.string()) for n, t in made],
     ])
-    by_chunk = rows.groupBy("__chunk")
+    by_chunk = rows.groupBy(mark_)
     anchors = by_chunk.applyInArrow(report, BLOB)
     repeated = anchors.groupBy("to").applyInArrow(screen, BLOB)
     sent = by_chunk.cogroup(repeated.groupBy("to")).applyInArrow(send, BLOB)
