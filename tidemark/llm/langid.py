@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm import bytewise
+from tidemark.llm.staging import fresh
 
 PER_LANGUAGE = 400
 LANDMARKS = 96
@@ -177,10 +177,10 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all, if None) with lang_pred and score. The prediction sees the text alone."""
-    names = docs.columns if keep is None else keep
+    """The kept columns (all, if None) with lang_pred and score, which replace columns of these names. The prediction sees the text alone."""
+    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*names, F.col(text).alias("__text"))
+    rows = docs.select(*names, F.col(text).alias(fresh(docs, "__text")))
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm import bytewise
-from tidemark.llm.staging import staged
+from tidemark.llm.staging import fresh, staged
 
 ROWS_PER_CLASS = 1500
 SENTENCES_PER_CLASS = 30_000
@@ -277,8 +277,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
 
 def decide(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns with decision and score."""
+    keep = [c for c in keep if c not in ("decision", "score", "predicted")]
     sent = docs.sparkSession.sparkContext.broadcast(machine)
-    rows = docs.select(*keep, F.col(text).alias("__text"))
+    rows = docs.select(*keep, F.col(text).alias(fresh(docs, "__text")))
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
