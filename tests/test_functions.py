@@ -11,19 +11,11 @@ def values(spark, rows, name="x"):
     return spark.createDataFrame([(v,) for v in rows], f"{name} double")
 
 
-@pytest.fixture
-def narrow(monkeypatch):
-    """Small limits, so that a test table takes the path of a large one."""
-    monkeypatch.setattr(ranks, "SMALL_GROUP", 100)
-    monkeypatch.setattr(ranks, "ACCURACY", 1000)
-    monkeypatch.setattr(ranks, "MARGIN", 3.0 / 1000)
-
-
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
 @pytest.mark.parametrize("shape", ["spread", "one value holds a third", "two values", "skewed"])
-def test_quantiles_of_a_large_group(spark, narrow, shape):
+def test_quantiles_of_a_large_group(spark, shape):
     draw = random.Random(7)
     n = 20_011
     rows = {
@@ -39,7 +31,7 @@ def test_quantiles_of_a_large_group(spark, narrow, shape):
     assert {r["n"] for r in table.collect()} == {n}
 
 
-def test_quantiles_by_group_with_a_missing_key(spark, narrow):
+def test_quantiles_by_group_with_a_missing_key(spark):
     rows = [(None if i % 5 == 0 else "ab"[i % 2], float(i * i % 9973), float(i)) for i in range(5000)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
     got = {
@@ -53,6 +45,22 @@ def test_quantiles_by_group_with_a_missing_key(spark, narrow):
                 assert got[(g, c, p)] == pytest.approx(np.quantile(own, p), rel=1e-12)
 
 
+def test_quantiles_of_very_many_groups(spark):
+    df = spark.range(60_000).selectExpr("id % 12000 AS g", "double(id * id % 9973) AS x")
+    got = ranks.quantiles(df, {"m": ("x", 0.5)}, ["g"])
+    want = df.groupBy("g").agg(F.expr("percentile(x, 0.5)").alias("w"))
+    assert got.count() == 12_000 and got.join(want, "g").where("abs(m - w) > 1e-9 OR x__n <> 5").count() == 0
+    box = stats.box_plot(df.withColumn("g", F.col("g").cast("string")), "x", "g")
+    assert box.count() == 12_000
+
+
+def test_quantiles_near_each_other_and_far_apart(spark):
+    rows = [0.0, -0.0, 5e-324, -1e308, 1e308, 1.0, 1.0 + 1e-15, 1.0 + 2e-15, -1.0, -1.0 - 1e-15, 3e-310]
+    got = ranks.quantile_table(values(spark, rows), ["x"], PROBS).collect()
+    for r in got:
+        assert r["value"] == pytest.approx(np.quantile(rows, r["prob"], method="linear"), rel=1e-9)
+
+
 def test_quantiles_of_nothing(spark):
     assert ranks.quantile_row(values(spark, [None]), {"m": ("x", 0.5)}).first()["m"] is None
 

@@ -1,8 +1,8 @@
 """Exact order statistics without putting a table, or a large group, into one task.
 
 `percentile` keeps a value -> count map of its whole group, and a window with no partition sorts
-everything in one task. Here a sketch narrows the search first and the exact step sees only the
-values near the wanted position.
+everything in one task. Here rows are first counted per distinct value; counts of value ranges then
+narrow the search twice, and only the values of the last range are put in order.
 """
 
 from __future__ import annotations
@@ -12,14 +12,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import attach, size_checked
+from tidemark.functions.exprs import attach
 
-# percentile_approx is off by at most n / ACCURACY ranks
-ACCURACY = 50_000
-MARGIN = 3.0 / ACCURACY
-# groups up to this size are searched whole
-SMALL_GROUP = 200_000
-BUCKETS = 256
+# the sixteenth part of the octave that a value lies in; ranges are in the order of their values
+OCTAVE_PART = """CASE WHEN _v = 0 THEN 0
+    WHEN _v > 0 THEN 1 + bigint((least(log2(_v), 1025D) + 1080) * 16)
+    ELSE -1 - bigint((least(log2(-_v), 1025D) + 1080) * 16) END"""
+# its 65,536 equal parts
+FINE_PART = """CASE WHEN _hi > _lo AND _hi - _lo < double('inf')
+    THEN bigint(least((_v - _lo) / (_hi - _lo), 1D) * 65535) ELSE 0 END"""
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", where: str | None = None) -> DataFrame:
+    """Join on keys that may be NULL; the keys appear once."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys] + ([F.expr(where)] if where else [])
+    return left.join(other, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def quantiles(
@@ -28,48 +36,61 @@ def quantiles(
     """A row per group (one row without `by`): `by...`, the wanted quantiles `{name: (column,
     prob)}` and `<column>__n`, the number of values. Exact, linear between neighbours.
 
-    Two passes, both combined before the shuffle. The first finds values a few ranks to either
-    side of each position. The second is an exact percentile over values moved to -inf below and
-    +inf above those, which leaves the position where it was and the map about
-    2 x MARGIN x n entries long. `by` are dimension columns with few levels.
+    One pass over the rows counts each distinct value of a group. Counts per sixteenth of an octave say
+    in which of these a wanted position lies, counts of its 65,536 parts say in which part, and a window
+    orders the distinct values of that part alone. Each step combines before its shuffle.
     """
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-    # NaN is an absent value here
-    rows = df.select(*by, *[F.expr(f"nanvl(double(`{c}`), NULL) AS `{c}`") for c in columns])
     probs = {c: sorted({p for name, p in wanted.values() if name == c}) for c in columns}
-
-    sketches = []
-    for c in columns:
-        around = ", ".join(f"{max(p - MARGIN, 0.0)!r}D, {min(p + MARGIN, 1.0)!r}D" for p in probs[c])
-        sketches.append(F.expr(f"count(`{c}`) AS `{c}__n`"))
-        sketches.append(F.expr(f"percentile_approx(`{c}`, array({around}), {ACCURACY}) AS `{c}__around`"))
-    sketch = rows.groupBy(*by).agg(*sketches)
-
-    def narrowed(c: str, p: float) -> str:
-        i = probs[c].index(p)
-        whole = f"`{c}__n` <= {SMALL_GROUP}"
-        below = f"`{c}` < `{c}__around`[{2 * i}]" if p > MARGIN else "false"
-        above = f"`{c}` > `{c}__around`[{2 * i + 1}]" if p < 1 - MARGIN else "false"
-        return (
-            f"CASE WHEN {whole} THEN `{c}` WHEN {below} THEN double('-inf') "
-            f"WHEN {above} THEN double('inf') ELSE `{c}` END"
-        )
-
-    if by:
-        keyed = sketch.withColumnsRenamed({c: f"_{c}" for c in by})
-        near = rows.join(size_checked(keyed), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
-    else:
-        near = attach(rows, sketch)
-    exact = near.groupBy(*by).agg(
-        *[F.expr(f"percentile({narrowed(c, p)}, {p!r}D) AS `{name}`") for name, (c, p) in wanted.items()],
-        *[F.expr(f"count(`{c}`) AS `{c}__n`") for c in columns],
+    keys = [*by, "_c"]
+    # NaN is an absent value here
+    entries = ", ".join(f"struct('{c}' AS _c, nanvl(double(`{c}`), NULL) AS _v)" for c in columns)
+    rows = df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))")
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    base = counts.groupBy(*by).agg(*[
+        F.expr(f"coalesce(sum(_m) FILTER (WHERE _c = '{c}' AND _v IS NOT NULL), 0L) AS `{c}__n`") for c in columns
+    ])
+
+    present = counts.where("_v IS NOT NULL").withColumn("_d", F.expr(OCTAVE_PART))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = present.groupBy(*keys, "_d").agg(
+        F.sum("_m").alias("_size"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    ).withColumns({"_n": F.sum("_size").over(group), "_ahead": F.coalesce(F.sum("_size").over(before), F.lit(0))})
+    asked = " ".join(f"WHEN _c = '{c}' THEN array({', '.join(f'{p!r}D' for p in probs[c])})" for c in columns)
+    sought = ranges.selectExpr(
+        *[f"`{k}`" for k in keys], "_d", "_lo", "_hi", "_n", "_size", "_ahead",
+        f"""inline(flatten(transform(CASE {asked} END, p -> array(
+            named_struct('_p', p, '_rank', bigint(floor(p * (_n - 1)))),
+            named_struct('_p', p, '_rank', bigint(ceil(p * (_n - 1))))))))""",
+    ).where("_rank >= _ahead AND _rank < _ahead + _size").withColumn("_rank", F.expr("_rank - _ahead")).drop("_size", "_ahead")
+
+    inside = _meet(
+        present, sought.select(*keys, "_d", "_lo", "_hi").distinct(), [*keys, "_d"]
+    ).withColumn("_e", F.expr(FINE_PART)).drop("_lo", "_hi")
+    part = Window.partitionBy(*keys, "_d").orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
+    parts = inside.groupBy(*keys, "_d", "_e").agg(F.sum("_m").alias("_size")).withColumn(
+        "_ahead", F.coalesce(F.sum("_size").over(part), F.lit(0))
+    )
+    found = _meet(
+        sought.drop("_lo", "_hi"), parts, [*keys, "_d"], where="_rank >= _ahead AND _rank < _ahead + _size"
+    ).withColumn("_rank", F.expr("_rank - _ahead")).drop("_size", "_ahead")
+    last = [*keys, "_d", "_e"]
+    ordered = _meet(inside, found.select(*last).distinct(), last).withColumn(
+        "_upto", F.sum("_m").over(Window.partitionBy(*last).orderBy("_v"))
+    )
+    ends = _meet(found, ordered, last, where="_rank >= _upto - _m AND _rank < _upto").groupBy(*keys, "_p").agg(
+        F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_n").alias("_n")
+    )
+    at = "_p * (_n - 1)"
+    valued = ends.withColumn(
+        "_q", F.expr(f"CASE WHEN _a = _b THEN _a ELSE (ceil({at}) - {at}) * _a + ({at} - floor({at})) * _b END")
     )
-    checked = [
-        f"CASE WHEN abs(`{n}`) < double('inf') THEN `{n}` WHEN `{c}__n` > 0 "
-        f"THEN raise_error('{n}: outside its bracket') END AS `{n}`"
-        for n, (c, _) in wanted.items()
-    ]
-    return exact.selectExpr(*[f"`{c}`" for c in by], *checked, *[f"`{c}__n`" for c in columns])
+    wide = valued.groupBy(*by).agg(*[
+        F.expr(f"max(_q) FILTER (WHERE _c = '{c}' AND _p = {p!r}D) AS `{name}`") for name, (c, p) in wanted.items()
+    ])
+    joined = _meet(base, wide, list(by), "left") if by else attach(base, wide)
+    return joined.select(*by, *wanted, *[f"{c}__n" for c in columns])
 
 
 def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
@@ -92,17 +113,19 @@ def quantile_table(
 
 def running_totals(df: DataFrame, key: str, measures: Mapping[str, Column]) -> DataFrame:
     """`key`, each measure summed over rows of equal key, and `<measure>_upto`, its running total
-    in key order. Works on one row per distinct key, cut into key ranges."""
+    in key order. Works on one row per distinct key, cut into as many key ranges as the session
+    has shuffle partitions."""
+    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         *[F.sum(m).alias(name) for name, m in measures.items()]
     )
     cuts = totals.agg(
-        F.percentile_approx(key, [i / BUCKETS for i in range(1, BUCKETS)], ACCURACY).alias("cuts")
+        F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("cuts")
     )
     cut = totals.crossJoin(F.broadcast(cuts)).select(
         *totals.columns, F.size(F.filter("cuts", lambda c: c < F.col(key))).alias("range")
     )
-    # at most BUCKETS rows
+    # one row per range
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy("range").agg(*[F.sum(m).alias(f"_{m}") for m in measures]).select(
         "range", *[F.coalesce(F.sum(f"_{m}").over(before), F.lit(0)).alias(f"_{m}") for m in measures]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import attach, size_checked
+from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import quantile_row, quantiles
 
 
@@ -98,7 +98,7 @@ def box_plot(df: DataFrame, column: str, by: str) -> DataFrame:
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         df.select(by, column)
-        .join(size_checked(quartiles), F.col(by).eqNullSafe(F.col("_by")))
+        .join(quartiles, F.col(by).eqNullSafe(F.col("_by")))
         .groupBy(by)
         .agg(
             *[F.first(q).alias(q) for q in wanted],

@@ -3,24 +3,19 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
-from tidemark.functions.ranks import ACCURACY, BUCKETS, quantile_row
+from tidemark.functions.ranks import quantile_row
 from tidemark.operators.models import uniform
 from tidemark.session import cut_lineage
 
-# up to here the minority class is shipped to the tasks as one matrix (27 columns: under 5 MB)
-EXACT_ROWS = 20_000
 PROJECTIONS = 6
 REACH = 24
-ROWS_PER_TASK = 100_000
-BLOCK = 512
+ROWS_PER_RANGE = 50_000
 
 
 def _points(minority: DataFrame, features: Sequence[str], id_column: str) -> DataFrame:
@@ -29,44 +24,16 @@ def _points(minority: DataFrame, features: Sequence[str], id_column: str) -> Dat
     )
 
 
-def exact_neighbours(points: DataFrame, k: int) -> DataFrame:
-    """`id, x, near`: the k nearest other points. Every task compares its rows with the whole
-    matrix block by block and keeps k per row; for at most EXACT_ROWS points."""
-    rows = points.orderBy("id").limit(EXACT_ROWS + 1).collect()
-    if len(rows) > EXACT_ROWS:
-        raise ValueError(f"more than {EXACT_ROWS} points; use projected_neighbours")
-    shared = points.sparkSession.sparkContext.broadcast((
-        np.array([r["id"] for r in rows]), np.array([r["x"] for r in rows], dtype=float)
-    ))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
-        keep = min(k, len(ids) - 1)
-        for batch in batches:
-            found = []
-            for start in range(0, len(batch), BLOCK):
-                part = batch.iloc[start:start + BLOCK]
-                mine = np.stack(part["x"].to_numpy())
-                gaps = ((mine ** 2).sum(1)[:, None] + (matrix ** 2).sum(1)[None, :]) - 2 * mine @ matrix.T
-                gaps[part["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-                nearest = np.argsort(gaps, axis=1, kind="stable")[:, :keep]
-                found.extend([matrix[n].tolist() for n in row] for row in nearest)
-            yield pd.DataFrame({"id": batch["id"], "x": batch["x"], "near": found})
-
-    return points.mapInPandas(search, "id bigint, x array<double>, near array<array<double>>")
-
-
-def projected_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """`id, x, near` in linear work for any number of points: the k closest of those that lie
-    next to a point on some of several random lines.
-
-    The neighbours are near ones and not proven nearest, which is all the interpolation needs. No
-    point is left out: one that is alone in its range on every line is its own neighbour. Lines
-    are cut into ranges, and a range with many points (equal ones included) is split by a hash, so
-    no task gets an unbounded part.
+def line_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """`id, x, near`: the k closest of the points that lie next to a point on some of several random lines.
+
+    The neighbours are near ones and not proven nearest, which is all the interpolation needs; the work is
+    linear and the method the same at every size. A line is cut by position into ranges of about
+    ROWS_PER_RANGE points; points of equal position are dealt over the ranges that their position spans.
+    The outermost REACH points of a range are shown to its neighbour too, so no pair is lost at a border.
     """
     size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).first()
-    width, ranges = size["width"], max(1, min(BUCKETS, size["n"] // ROWS_PER_TASK))
+    width, ranges = size["width"], size["n"] // ROWS_PER_RANGE + 1
     draw = random.Random(seed)
     per_line = None
     for line in range(PROJECTIONS):
@@ -74,19 +41,30 @@ def projected_neighbours(points: DataFrame, k: int, seed: int = 42) -> DataFrame
         on_line = F.aggregate(F.zip_with("x", direction, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
         placed = points.withColumn("at", on_line)
         cuts = placed.agg(
-            F.percentile_approx("at", [i / ranges for i in range(1, ranges)] or [1.0], ACCURACY).alias("cuts")
-        )
-        ranged = attach(placed, cuts).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("at"))))
-        # at most BUCKETS rows
-        parts = ranged.groupBy("range").agg(
-            F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).cast("long").alias("parts")
+            F.percentile_approx("at", [i / ranges for i in range(1, ranges)] or [1.0], 10 * ranges).alias("cuts")
         )
-        split = ranged.drop("cuts").join(F.broadcast(parts), "range").withColumn(
-            "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("parts"))
-        )
-        beside = Window.partitionBy("range", "part").orderBy("at", "id").rowsBetween(-REACH, REACH)
+        below = F.size(F.filter("cuts", lambda c: c < F.col("at")))
+        equal = F.size(F.filter("cuts", lambda c: c == F.col("at")))
+        ranged = attach(placed, cuts).withColumn(
+            "range", below + F.pmod(F.xxhash64("id", F.lit(seed)), equal + 1).cast("int")
+        ).drop("cuts")
+        if ranges > 1:
+            ends = ranged.withColumns({
+                "low": F.row_number().over(Window.partitionBy("range").orderBy("at", "id")),
+                "high": F.row_number().over(Window.partitionBy("range").orderBy(F.col("at").desc(), F.col("id").desc())),
+            })
+            shown = F.array_compact(F.array(
+                F.col("range"), F.when(F.col("low") <= REACH, F.col("range") - 1), F.when(F.col("high") <= REACH, F.col("range") + 1)
+            ))
+            ranged = ends.withColumn("own", F.col("range")).withColumn("range", F.explode(shown))
+        else:
+            ranged = ranged.withColumn("own", F.col("range"))
+        beside = Window.partitionBy("range").orderBy("own", "at", "id").rowsBetween(-REACH, REACH)
         candidates = F.collect_list(F.struct("id", "x")).over(beside)
-        found = split.select("id", "x", _closest(candidates, k).alias("near"))
+        found = (
+            ranged.withColumn("near", _closest(candidates, k)).where(F.col("own") == F.col("range"))
+            .select("id", "x", "near")
+        )
         per_line = found if per_line is None else per_line.unionByName(found)
     merged = per_line.groupBy("id").agg(
         F.first("x").alias("x"), F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
@@ -109,12 +87,11 @@ def _closest(candidates: Column, k: int) -> Column:
 
 def oversample(
     train: DataFrame, features: Sequence[str], label: str = "label", id_column: str = "loyalty_number",
-    k: int = 5, seed: int = 42, exact: bool | None = None,
+    k: int = 5, seed: int = 42,
 ) -> DataFrame:
     """`train` plus as many synthetic churners as bring the classes to 1:1, with `synthetic`.
 
-    The features should be scaled. `exact=None` searches exactly up to EXACT_ROWS churners and by
-    projection beyond. Each churner is drawn equally often, and one more time for the remainder.
+    The features should be scaled. Each churner is drawn equally often, and one more time for the remainder.
     """
     sizes = train.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).first()
     minority, wanted = sizes["p"], sizes["n"] - sizes["p"]
@@ -122,9 +99,7 @@ def oversample(
     if minority < 2 or wanted <= 0:
         return marked
     points = cut_lineage(_points(train.where(F.col(label) == 1), features, id_column))
-    if exact is None:
-        exact = minority <= EXACT_ROWS
-    near = exact_neighbours(points, k) if exact else projected_neighbours(points, k, seed)
+    near = line_neighbours(points, k, seed)
 
     each, extra = divmod(wanted, minority)
     u = uniform("id", seed)

@@ -15,18 +15,19 @@ from tidemark.sources.columns import find_column, numeric_columns, string_column
 CANCELLATION = ("cancellation_year", "cancellation_month")
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """The row with the smallest `order_by` per key.
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+    """The row with the smallest `order_by` per key; NULL comes last, and ties go by the other columns.
+    Without `order_by` all columns in turn are the order.
 
-    `min_by` combines before the shuffle, so many copies of one key never meet in one task as
-    they would in a `row_number` window. All payload columns follow the same ordering value, so
-    they come from the same row.
+    The minimum of one struct combines before the shuffle, so many copies of one key never meet in
+    one task as they would in a `row_number` window, and its fields come from one row.
     """
-    payload = [c for c in df.columns if c not in keys and c != order_by]
-    kept = df.groupBy(*keys).agg(
-        F.min(order_by).alias(order_by), *[F.min_by(c, order_by).alias(c) for c in payload]
-    )
-    return kept.select(*df.columns)
+    payload = [c for c in df.columns if c not in keys]
+    if not payload:
+        return df.distinct()
+    lead = [] if order_by is None else [F.col(order_by).isNull().alias("_late"), F.col(order_by).alias("_order")]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*lead, *payload)).alias("_first"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_first.`{c}`").alias(c) for c in df.columns])
 
 
 def member_statistics(members: DataFrame) -> DataFrame:
@@ -76,8 +77,9 @@ def clamp_age(df: DataFrame, low: int = 18, high: int = 100) -> DataFrame:
 
 
 def clean_members(members: DataFrame, id_column: str = "loyalty_number") -> DataFrame:
-    """Unknown for missing text, medians for missing numbers, positive CLV with its log."""
-    filled = fill_medians(fill_unknown(members), exclude=(id_column, *CANCELLATION))
+    """One row per member; Unknown for missing text, medians for missing numbers, positive CLV with its log."""
+    single = keep_first(members, [id_column])
+    filled = fill_medians(fill_unknown(single), exclude=(id_column, *CANCELLATION))
     return fix_clv(filled)
 
 
@@ -86,11 +88,9 @@ def clean_activity(
 ) -> DataFrame:
     """Add the month's date, keep one row per member and month, and no NULL or negative measure.
 
-    `order_by` says which duplicate is the first; without it the table is taken to be unique.
+    `order_by` says which duplicate is the first; without it all columns in turn do.
     """
-    keyed = activity
-    if order_by is not None:
-        keyed = keep_first(activity, ["loyalty_number", "year", "month"], order_by)
+    keyed = keep_first(activity, ["loyalty_number", "year", "month"], order_by)
     repaired: dict[str, Column] = {m: at_least(F.coalesce(F.col(m), F.lit(0)), 0) for m in measures}
     return keyed.withColumns(repaired).withColumn(
         "activity_date", month_start(F.col("year"), F.col("month"))

@@ -82,14 +82,18 @@ def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
 def encode_members(members: DataFrame, settings: Settings) -> DataFrame:
     """Encoded demographics and tenure: everything that needs the member's own row only."""
     year, month = map(int, settings.prediction_date.split("-")[:2])
+
+    def same(column: str, value: str) -> Column:
+        return F.lower(column) == value.lower() if settings.ignore_case else F.col(column) == value
+
     enrolled = months_since_zero(F.col("enrollment_year"), F.col("enrollment_month"))
     return members.withColumns({
         "tenure_months": at_least(F.lit(year * 12 + month) - enrolled, 0),
         "tier_numeric": lookup(F.col("loyalty_card"), settings.tier_levels, 1),
         "education_numeric": lookup(F.col("education"), settings.education_levels, 2),
-        "is_female": flag(F.lower("gender") == "female"),
-        "is_married": flag(F.lower("marital_status") == "married"),
-        "is_promo_enrollment": flag(F.lower("enrollment_type") == settings.promo_label.lower()),
+        "is_female": flag(same("gender", "Female")),
+        "is_married": flag(same("marital_status", "Married")),
+        "is_promo_enrollment": flag(same("enrollment_type", settings.promo_label)),
         "clv_log": F.log1p("clv"),
         "is_early_member": flag(F.col("enrollment_year") <= settings.early_member_year),
         "is_recent_member": flag(F.col("enrollment_year") >= settings.recent_member_year),

@@ -16,6 +16,17 @@ def activity_date() -> Column:
     return month_start(F.col("year"), F.col("month"))
 
 
+def by_date(date: str) -> Column:
+    """Months that begin by the date; on the year too, so that a scan can skip by it."""
+    day = F.lit(date).cast("date")
+    return (F.col("year") <= F.year(day)) & (activity_date() <= day)
+
+
+def after_date(date: str) -> Column:
+    day = F.lit(date).cast("date")
+    return (F.col("year") >= F.year(day)) & (activity_date() > day)
+
+
 def hard_churn(since_year: int | None) -> Column:
     cancelled = F.col("cancellation_year").isNotNull()
     if since_year is not None:
@@ -54,7 +65,7 @@ def last_activity(
     """Last recorded month per member, optionally up to a date and over months with flights."""
     rows = activity
     if until is not None:
-        rows = rows.where(activity_date() <= F.lit(until).cast("date"))
+        rows = rows.where(by_date(until))
     if active_only:
         rows = rows.where(F.col("total_flights") > 0)
     return rows.groupBy(ID).agg(F.max(activity_date()).alias("last_activity_date"))
@@ -140,19 +151,15 @@ def churn_definitions(labelled: DataFrame, definitions: dict[str, tuple[str, str
 def later_activity(activity: DataFrame, date: str) -> DataFrame:
     """Members with rows after `date`, one row each."""
     return (
-        activity.where(activity_date() > F.lit(date).cast("date"))
+        activity.where(after_date(date))
         .groupBy(ID)
         .agg(F.count(F.lit(1)).alias("later_rows"), F.max(activity_date()).alias("latest"))
     )
 
 
 def leaking_members(
-    labelled: DataFrame, activity: DataFrame, date: str, label: str = "churned",
-    limit: int | None = None,
+    labelled: DataFrame, activity: DataFrame, date: str, label: str = "churned"
 ) -> DataFrame:
-    """Churned members that still have activity after the prediction date, over all members;
-    `limit` reproduces the check of the first few only."""
+    """Churned members that still have activity after the prediction date, over all members."""
     churned = labelled.where(F.col(label) == 1)
-    if limit is not None:
-        churned = churned.orderBy(ID).limit(limit)
     return churned.join(later_activity(activity, date), ID, "left_semi")

@@ -136,12 +136,13 @@ def fit_preparation(train: DataFrame, features: Sequence[str], standardise: bool
     The statistics are one row; they go into a SQL stage, so the preparation is saved and loaded
     with the model and runs inside the scoring query's own projection.
     """
-    medians = quantile_row(train, {c: (c, 0.5) for c in features}).first()
+    found = quantile_row(train, {c: (c, 0.5) for c in features}).first()
+    medians = {c: float(found[c] or 0.0) for c in features}  # 0 for a column without any value
     filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in features])
     stats = moments(filled, features).first()
 
     def prepared(c: str) -> str:
-        value = f"coalesce(cast(`{c}` as double), {float(medians[c] or 0.0)!r}D)"
+        value = f"coalesce(cast(`{c}` as double), {medians[c]!r}D)"
         if not standardise:
             return f"{value} AS `x_{c}`"
         mean, std = float(stats[f"{c}__mean"]), float(stats[f"{c}__std"])

@@ -213,6 +213,25 @@ ARCHETYPES = {
         "Tier retention + 20K miles + dedicated account manager",
         "CRITICAL — losing these customers is most costly"),
 }
+# Where the staged scripts' archetypes differ.
+STAGED_ARCHETYPES = ARCHETYPES | {
+    "Seasonal Travelers": (
+        "Periodic activity peaks (holiday/vacation flyers)",
+        "Targeted campaigns before their typical travel window",
+        "Email 4 weeks before peak season", "Vacation bundle + bonus miles on leisure bookings",
+        "Low-Medium — seasonal activation"),
+    "Budget Frequent Flyers": (
+        "High frequency but low CLV — price-sensitive travelers",
+        "Volume rewards + partner benefits to increase spend", "Email + App",
+        "Co-branded card offer, hotel/car partner promotions",
+        "Medium — risk of switching to cheaper competitor"),
+    "At-Risk VIPs": (
+        "Previously high-value customers showing sharp decline",
+        "Maximum intervention — executive outreach justified",
+        "Personal call + Email + Premium offer",
+        "Tier extension 12 months + 15K bonus miles + lounge pass",
+        "CRITICAL — high revenue at risk"),
+}
 DEFAULT_ARCHETYPE = {
     "strategy": "Standard engagement", "offer": "Generic offer", "urgency": "Low", "channel": "Email",
 }
@@ -261,5 +280,6 @@ def lift_table(spark: SparkSession) -> DataFrame:
     return literal_table(spark, lift_rows(), LIFT_SCHEMA)
 
 
-def archetypes(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, [(n, *a) for n, a in ARCHETYPES.items()], ARCHETYPE_SCHEMA)
+def archetypes(spark: SparkSession, staged: bool = False) -> DataFrame:
+    table = STAGED_ARCHETYPES if staged else ARCHETYPES
+    return literal_table(spark, [(n, *a) for n, a in table.items()], ARCHETYPE_SCHEMA)

@@ -249,9 +249,10 @@ def unique_names(ruled: DataFrame, spare: Sequence[str] = (), prefix: str = "Seg
     return dims.literal_table(ruled.sparkSession, rows, "segment_id int, segment_name string")
 
 
-def attach_archetypes(named: DataFrame) -> DataFrame:
-    """Strategy, offer, urgency and channel of the name, with defaults for other names."""
-    joined = named.join(F.broadcast(dims.archetypes(named.sparkSession)), "segment_name", "left")
+def attach_archetypes(named: DataFrame, staged: bool = False) -> DataFrame:
+    """Strategy, offer, urgency and channel of the name, with defaults for other names; `staged` takes the
+    staged scripts' table."""
+    joined = named.join(F.broadcast(dims.archetypes(named.sparkSession, staged)), "segment_name", "left")
     return joined.withColumns(
         {c: F.coalesce(c, F.lit(v)) for c, v in dims.DEFAULT_ARCHETYPE.items()}
     )

@@ -40,6 +40,25 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# The archetypes that the check expects, of the segments that its rows have
+_BOTH_ARCHETYPES = [
+    ("Premium Loyalists", "High CLV, stable engagement, consistent flyers",
+     "VIP treatment, exclusive benefits, personal relationship manager", "Personal outreach + Premium app features",
+     "Lounge access, priority boarding, milestone rewards", "Low — maintain relationship"),
+    ("Silent Drifters", "Declining engagement, once-active customers going quiet",
+     "Urgent re-engagement — act within 30 days", "Email + SMS + In-app push",
+     "5,000 bonus miles for next booking + tier extension", "HIGH — imminent churn risk"),
+]
+_ARCHETYPES = [(v, *a) for v in ("module", "staged") for a in _BOTH_ARCHETYPES] + [
+    ("module", "At-Risk VIPs", "Previously high-value customers showing sharp decline",
+     "Maximum intervention — executive outreach justified", "Personal call + priority email + lounge invitation",
+     "Tier retention + 20K miles + dedicated account manager", "CRITICAL — losing these customers is most costly"),
+    ("staged", "At-Risk VIPs", "Previously high-value customers showing sharp decline",
+     "Maximum intervention — executive outreach justified", "Personal call + Email + Premium offer",
+     "Tier extension 12 months + 15K bonus miles + lounge pass", "CRITICAL — high revenue at risk"),
+]
+
+
 def literal_rows(rows: list[tuple], names: str) -> str:
     def cell(v) -> str:
         return text(v) if isinstance(v, str) else repr(v)
@@ -683,9 +702,7 @@ _SELECTS = {
         {ints("hard_churn")} FROM windowed WHERE churn = 1 AND loyalty_number IN
         (SELECT loyalty_number FROM activity WHERE {AT} > {PREDICTION})""",
     "leak_count": f"""SELECT {integer(f'''(SELECT count(*) FROM labelled WHERE churned = 1 AND loyalty_number IN
-        (SELECT loyalty_number FROM activity WHERE {AT} > {PREDICTION}))''', "leaking")},
-        {integer(f'''(SELECT count(*) FROM (SELECT loyalty_number FROM labelled WHERE churned = 1 ORDER BY 1 LIMIT 100)
-        WHERE loyalty_number IN (SELECT loyalty_number FROM activity WHERE {AT} > {PREDICTION}))''', "of_first_100")}""",
+        (SELECT loyalty_number FROM activity WHERE {AT} > {PREDICTION}))''', "leaking")}""",
     # features
     "activity_features": f"SELECT loyalty_number, {ints(*_WHOLE)}, {nums(*_REAL)} FROM year_features",
     "member_features": f"SELECT loyalty_number, {ints(*_ENCODED)}, {nums('clv_log')} FROM member_encoded",
@@ -757,12 +774,12 @@ _SELECTS = {
              WHEN redemption < 0.2 AND clv_rank > 0.4 THEN 'Miles Hoarders'
              WHEN momentum > 1.3 THEN 'Rising Stars' WHEN seasonality > 0.5 THEN 'Seasonal Travelers'
              ELSE 'Budget Frequent Flyers' END AS rule FROM module_ranks""",
-    "segment_archetypes": f"""WITH a AS ({literal_rows([(n, *v) for n, v in offers.ARCHETYPES.items()],
-        "segment_name, description, strategy, channel, offer, urgency")}), s AS (SELECT seg_name AS segment_name,
-        count(*) AS members FROM staged_keys GROUP BY 1)
-        SELECT segment_name, {ints("members")}, description, coalesce(strategy, 'Standard engagement') AS strategy,
+    "segment_archetypes": f"""WITH a AS ({literal_rows(_ARCHETYPES,
+        "variant, segment_name, description, strategy, channel, offer, urgency")}), s AS (SELECT * FROM (SELECT seg_name AS segment_name,
+        count(*) AS members FROM staged_keys GROUP BY 1), (VALUES ('module'), ('staged')) v(variant))
+        SELECT variant, segment_name, {ints("members")}, description, coalesce(strategy, 'Standard engagement') AS strategy,
         coalesce(channel, 'Email') AS channel, coalesce(offer, 'Generic offer') AS offer,
-        coalesce(urgency, 'Low') AS urgency FROM s LEFT JOIN a USING (segment_name)""",
+        coalesce(urgency, 'Low') AS urgency FROM s LEFT JOIN a USING (variant, segment_name)""",
     "nearest_centroid": f"""WITH c AS (SELECT segment_id AS id, round(avg(clv), 4) AS a, round(avg(total_flights), 4) AS b,
         round(avg(redemption_rate), 4) AS d, round(avg(tier_numeric), 4) AS e FROM scaled GROUP BY 1)
         SELECT loyalty_number, {integer("id", "segment_id")} FROM scaled, c QUALIFY row_number() OVER (

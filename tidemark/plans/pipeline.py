@@ -37,11 +37,13 @@ class Run:
 def clean_inputs(
     members: DataFrame, activity: DataFrame, order_by: str | None
 ) -> tuple[DataFrame, DataFrame]:
-    """Normalised headers, and one activity row per member and month (the first by `order_by`)."""
+    """Normalised headers, one row per member, and one activity row per member and month (the first by
+    `order_by`, or by all columns in turn)."""
     tidy_members, tidy_activity = normalise_headers(members), normalise_headers(activity)
-    if order_by is not None:
-        tidy_activity = cleaning.keep_first(tidy_activity, [ID, "year", "month"], order_by)
-    return tidy_members, tidy_activity
+    return (
+        cleaning.keep_first(tidy_members, [ID]),
+        cleaning.keep_first(tidy_activity, [ID, "year", "month"], order_by),
+    )
 
 
 def segment(table: DataFrame, ks: Sequence[int], restarts: int, seed: int) -> tuple[DataFrame, DataFrame]:

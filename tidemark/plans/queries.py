@@ -417,12 +417,8 @@ def leakage_audit(b: Bed) -> DataFrame:
 
 @query
 def leak_count(b: Bed) -> DataFrame:
-    date = b.settings.prediction_date
-    everyone = labels.leaking_members(b.labels, b.activity, date)
-    first = labels.leaking_members(b.labels, b.activity, date, limit=100)
-    return tidy(exprs.attach(
-        everyone.agg(F.count(F.lit(1)).alias("leaking")), first.agg(F.count(F.lit(1)).alias("of_first_100"))
-    ))
+    leaking = labels.leaking_members(b.labels, b.activity, b.settings.prediction_date)
+    return tidy(leaking.agg(F.count(F.lit(1)).alias("leaking")))
 
 
 # --- features ---------------------------------------------------------------------------------------
@@ -619,7 +615,11 @@ def unique_names(b: Bed) -> DataFrame:
 @query
 def segment_archetypes(b: Bed) -> DataFrame:
     sizes = b.staged.groupBy("segment_name").agg(F.count(F.lit(1)).alias("members"))
-    return tidy(segments.attach_archetypes(sizes))
+    both = [
+        segments.attach_archetypes(sizes, staged).withColumn("variant", F.lit("staged" if staged else "module"))
+        for staged in (False, True)
+    ]
+    return tidy(both[0].unionByName(both[1]))
 
 
 @query

@@ -41,6 +41,8 @@ class Settings:
     early_member_year: int = 2014
     recent_member_year: int = 2017
     promo_label: str = "Promotion"
+    # compare gender, marital status and enrollment type whatever their case
+    ignore_case: bool = False
     # "recorded": last month with a row; "flown": last month with a flight
     recency_basis: str = "recorded"
     lookback_months: int = 6

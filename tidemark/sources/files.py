@@ -6,12 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.columns import normalise_headers
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headers may be in any spelling: columns are taken by position and named by `schema`."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
+    """Headers may be in any spelling and order: they are normalised, and columns are taken by the names of `schema`.
+
+    A column that the file lacks is an error; a value that is not of its type reads as NULL.
+    """
+    found = normalise_headers(spark.read.csv(path, header=True, enforceSchema=False))
+    missing = [f.name for f in schema.fields if f.name not in found.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -26,9 +36,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_json(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, document: bool = False
+) -> DataFrame:
+    """JSON lines; with `document`, each file is one document on any number of lines."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.json(path)
+    return reader.json(path, multiLine=document)
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
