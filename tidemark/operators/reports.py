@@ -258,8 +258,8 @@ def filter_choices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def hashed_sample(df: DataFrame, rows: int, seed: int = 42, id_column: str = "loyalty_number") -> DataFrame:
-    """A repeatable sample of `rows` rows: the smallest hashes of the id."""
-    return df.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column).limit(rows)
+    """A repeatable sample of `rows` rows: the smallest digests of id and seed."""
+    return df.orderBy(F.md5(F.concat_ws("/", F.col(id_column), F.lit(seed))), id_column).limit(rows)
 
 
 def summary_document(scored: DataFrame, extra: Mapping[str, Column] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,16 +55,30 @@ def assemble(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
 PARALLEL_FITS = 4
 
 
+def _best_starts(
+    vectors: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int = 300
+) -> dict[int, KMeansModel]:
+    """Per k, the best of several seeded starts by within-cluster cost. All starts of all k share one pool
+    and one persisted copy of the vectors."""
+    def start(task: tuple[int, int]) -> tuple[int, KMeansModel]:
+        k, i = task
+        means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector", predictionCol="segment_id")
+        return k, means.fit(vectors)
+
+    with ThreadPool(PARALLEL_FITS) as pool:
+        made = pool.map(start, [(k, i) for k in ks for i in range(restarts)], chunksize=1)
+    return {k: min((m for n, m in made if n == k), key=lambda m: m.summary.trainingCost) for k in ks}
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> KMeansModel:
     """Best of several seeded starts by within-cluster cost."""
-    def start(i: int) -> KMeansModel:
-        means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector", predictionCol="segment_id")
-        return means.fit(vectors)
-
-    with ThreadPool(PARALLEL_FITS) as pool:
-        return min(pool.map(start, range(restarts)), key=lambda m: m.summary.trainingCost)
+    held = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _best_starts(held, [k], restarts, seed, max_iter)[k]
+    finally:
+        held.unpersist()
 
 
 @dataclass(frozen=True)
@@ -76,14 +91,19 @@ class KChoice:
 
 def try_k(vectors: DataFrame, ks: Sequence[int], restarts: int = 10, seed: int = 42) -> list[KChoice]:
     """Inertia and silhouette per k. The evaluator sums over partitions, so no sample is taken."""
-    def attempt(k: int) -> KChoice:
-        model = fit_kmeans(vectors, k, restarts, seed)
-        judge = ClusteringEvaluator(featuresCol="vector", predictionCol="segment_id")
-        score = judge.evaluate(model.transform(vectors))
-        return KChoice(k, float(model.summary.trainingCost), float(score), model)
-
-    with ThreadPool(PARALLEL_FITS) as pool:
-        return pool.map(attempt, ks)
+    held = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = _best_starts(held, ks, restarts, seed)
+
+        def judged(k: int) -> KChoice:
+            judge = ClusteringEvaluator(featuresCol="vector", predictionCol="segment_id")
+            score = judge.evaluate(fitted[k].transform(held))
+            return KChoice(k, float(fitted[k].summary.trainingCost), float(score), fitted[k])
+
+        with ThreadPool(PARALLEL_FITS) as pool:
+            return pool.map(judged, ks)
+    finally:
+        held.unpersist()
 
 
 def best_k(tried: Sequence[KChoice]) -> KChoice:

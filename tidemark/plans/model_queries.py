@@ -17,12 +17,22 @@ from tidemark.plans.queries import ID, query
 from tidemark.session import cut_lineage, ensure_checkpoint_dir
 from tidemark.sources import files, schemas
 
-# the queries fit small models; the settings of a full run are the defaults of ModelSettings
-QUICK = models.ModelSettings(forest_trees=20, forest_depth=6, boosted_trees=20, boosted_depth=4, max_iter=100)
+# the published sizes; queries over one folder share their fits within a session
+_TRAINERS: dict[tuple, training.Trainer] = {}
+_TRIED: dict[tuple, tuple] = {}
+
+
+def _shared(b: Bed, made: dict, make):
+    key = (b.spark.sparkContext.applicationId, b.folder, b.settings.seed)
+    if key not in made:
+        made[key] = make()
+    return made[key]
 
 
 def trainer(b: Bed) -> training.Trainer:
-    return training.Trainer(b.features, QUICK, b.settings.seed, b.settings.test_share)
+    return _shared(b, _TRAINERS, lambda: training.Trainer(
+        b.features, models.ModelSettings(seed=b.settings.seed), b.settings.seed, b.settings.test_share
+    ))
 
 
 def _scratch(b: Bed) -> str:
@@ -76,7 +86,7 @@ def _vectors(b: Bed) -> DataFrame:
 @query
 def kmeans_segments(b: Bed) -> DataFrame:
     vectors = _vectors(b)
-    model = segments.fit_kmeans(vectors, 4, restarts=2, seed=b.settings.seed)
+    model = segments.fit_kmeans(vectors, 4, seed=b.settings.seed)
     assigned = model.transform(vectors).select(ID, "segment_id")
     whole = b.features.join(assigned, ID)
     names = segments.names_by_rank(segments.programme_profiles(whole))
@@ -84,8 +94,11 @@ def kmeans_segments(b: Bed) -> DataFrame:
 
 
 def _tried(b: Bed) -> tuple[list, DataFrame]:
-    vectors = _vectors(b)
-    return segments.try_k(vectors, range(4, 7), restarts=1, seed=b.settings.seed), vectors
+    def make() -> tuple[list, DataFrame]:
+        vectors = _vectors(b)
+        return segments.try_k(vectors, range(4, 9), seed=b.settings.seed), vectors
+
+    return _shared(b, _TRIED, make)
 
 
 @query

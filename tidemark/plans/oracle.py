@@ -843,6 +843,8 @@ _SELECTS = {
         "engagement_health_score")} FROM actions ORDER BY actions.revenue_at_risk DESC, loyalty_number""",
     "priority_top100": f"""SELECT loyalty_number, {nums("priority_score")}, action FROM module
         ORDER BY module.priority_score DESC, loyalty_number LIMIT 100""",
+    "sampled_scatter": f"""SELECT loyalty_number, {nums("clv", "churn_probability", "revenue_at_risk")}, segment_name
+        FROM scored ORDER BY md5(concat(loyalty_number, '/42')), loyalty_number LIMIT 100""",
     "top_priority": f"""SELECT loyalty_number, loyalty_card, segment_name, {nums("churn_probability", "clv",
         "revenue_at_risk", "potential_save", "engagement_health_score")} FROM scored WHERE risk_level = 'High'
         ORDER BY scored.revenue_at_risk DESC, loyalty_number LIMIT 15""",

@@ -880,7 +880,7 @@ def filter_choices(b: Bed) -> DataFrame:
 
 @query
 def sampled_scatter(b: Bed) -> DataFrame:
-    sample = reports.hashed_sample(b.scored, 3000, b.settings.seed)
+    sample = reports.hashed_sample(b.scored, 100, b.settings.seed)
     return tidy(sample, ID, "clv", "churn_probability", "segment_name", "revenue_at_risk")
 
 

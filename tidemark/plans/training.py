@@ -24,6 +24,7 @@ class Trainer:
     ):
         table = models.training_table(features, label, models.PROGRAMME_FEATURES)
         self.settings = settings
+        self.fitted: dict[str, PipelineModel] = {}
         self.split = cut_lineage(models.stratified_split(table, "label", ID, test_share, seed))
         parts = models.split_parts(self.split)
         self.train = cut_lineage(models.with_class_weight(parts["train"], "label"))
@@ -43,15 +44,17 @@ class Trainer:
         return models.forest(self.settings) if name == models.FOREST else models.boosted(self.settings)
 
     def fit(self, name: str) -> PipelineModel:
-        return models.fit(self.learner(name), self.prepared, self.train)
+        return self.fit_all([name])[name]
 
     def fit_all(self, names: Sequence[str]) -> dict[str, PipelineModel]:
-        """The learners are independent, so their jobs are submitted together."""
+        """Each learner is fitted once. They are independent, so their jobs are submitted together."""
         prepared = self.prepared
-        learners = [self.learner(name) for name in names]
-        with ThreadPool(len(learners)) as pool:
-            fits = pool.map(lambda learner: models.fit(learner, prepared, self.train), learners)
-        return dict(zip(names, fits))
+        missing = {name: self.learner(name) for name in names if name not in self.fitted}
+        if missing:
+            with ThreadPool(len(missing)) as pool:
+                fits = pool.map(lambda learner: models.fit(learner, prepared, self.train), missing.values())
+            self.fitted.update(zip(missing, fits))
+        return {name: self.fitted[name] for name in names}
 
     def scored_test(self, model: PipelineModel) -> DataFrame:
         scored = models.score(model, self.test, models.PROGRAMME_FEATURES, "probability")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +23,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     context.setCheckpointDir(shared)
     return shared
 
