@@ -290,3 +290,43 @@ def test_csv_with_other_headers(spark, tmp_path):
     path = str(tmp_path / "csv")
     spark.createDataFrame([("2018-01-02",)], "`Date ` string").coalesce(1).write.option("header", True).csv(path)
     assert str(files.read_csv(spark, path, schemas.CALENDAR).first()["date"]) == "2018-01-02"
+
+
+def test_risk_level_of_the_table_is_kept(spark):
+    rows = [(1, 0.9, 100.0, "Silent Drifters", "Low Risk"), (2, 0.1, 50.0, "Silent Drifters", None)]
+    df = spark.createDataFrame(rows, "loyalty_number long, churn_probability double, clv double, segment_name string, risk_level string")
+    kept = {r["loyalty_number"]: r["risk_key"] for r in retention.staged_recommendations(df).collect()}
+    assert kept == {1: "low", 2: "medium"}
+    nothing = df.withColumn("risk_level", F.lit(None).cast("string"))
+    derived = {r["loyalty_number"]: r["risk_key"] for r in retention.staged_recommendations(nothing).collect()}
+    assert derived == {1: "high", 2: "low"}
+    module = retention.module_recommendations(df.withColumn("risk_level", F.lit("low")))
+    assert {r["risk_level"] for r in module.collect()} == {"low"}
+
+
+def test_first_row_with_missing_order(spark):
+    rows = [(1, None, "a", 5), (2, 3, "b", 1), (2, None, "c", 0), (3, 2, "z", 1), (3, 2, "y", 2)]
+    df = spark.createDataFrame(rows, "k long, o int, t string, n int")
+    got = {r["k"]: (r["o"], r["t"], r["n"]) for r in cleaning.keep_first(df, ["k"], "o").collect()}
+    assert got == {1: (None, "a", 5), 2: (3, "b", 1), 3: (2, "y", 2)}
+    assert cleaning.keep_first(df, ["k"]).count() == 3
+
+
+def test_members_given_twice_stay_once(spark):
+    rows = [(k, 10.0 * k, "x") for k in range(5)] * 2
+    assert cleaning.clean_members(spark.createDataFrame(rows, "loyalty_number long, clv double, t string")).count() == 5
+
+
+def test_csv_in_another_column_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Year,Month,Loyalty Number,Total Flights,Distance,Points Accumulated,Points Redeemed,Dollar Cost Points Redeemed\n2017,3,100018,2,x,1,2,3\n")
+    row = files.read_csv(spark, str(tmp_path / "a.csv"), schemas.ACTIVITY).first()
+    assert (row["loyalty_number"], row["year"], row["month"], row["total_flights"], row["distance"]) == (100018, 2017, 3, 2, None)
+    (tmp_path / "b.csv").write_text("year,month\n2017,3\n")
+    with pytest.raises(ValueError, match="loyalty_number"):
+        files.read_csv(spark, str(tmp_path / "b.csv"), schemas.ACTIVITY)
+
+
+def test_indented_json_document(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{\n  "a": 1,\n  "b": {\n    "c": [1, 2]\n  }\n}\n')
+    row = files.read_json(spark, str(tmp_path / "d.json"), document=True).first()
+    assert row["a"] == 1 and row["b"]["c"] == [1, 2]

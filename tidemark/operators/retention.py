@@ -127,13 +127,23 @@ def clv_estimate(df: DataFrame, column: str | None = "clv", default: float = 500
     return attach(df, largest).withColumns(estimates).drop("_largest")
 
 
+def _staged_risk(scored: DataFrame) -> DataFrame:
+    """`risk_level` as it stands; derived where there is none, or the column holds nothing."""
+    derived = risk_level(F.col("churn_probability"), STAGED_CUTS, STAGED_BANDS)
+    if "risk_level" not in scored.columns:
+        return scored.withColumn("risk_level", derived)
+    known = scored.agg(F.count("risk_level").alias("_known"))
+    kept = F.when(F.col("_known") > 0, F.col("risk_level")).otherwise(derived)
+    return attach(scored, known).withColumn("risk_level", kept).drop("_known")
+
+
 def staged_recommendations(scored: DataFrame) -> DataFrame:
-    """Offer, lift, revenue, save and priority per member, by the 8 x 3 library."""
+    """Offer, lift, revenue, save and priority per member, by the 8 x 3 library. A risk level that the table
+    has is kept."""
     spark = scored.sparkSession
     p = F.col("churn_probability")
     named = {"Low Risk": "low", "Medium Risk": "medium", "High Risk": "high"}
-    keyed = clv_estimate(scored).withColumns({
-        "risk_level": risk_level(p, STAGED_CUTS, STAGED_BANDS),
+    keyed = clv_estimate(_staged_risk(scored)).withColumns({
         "seg_name": F.coalesce("segment_name", F.lit("DEFAULT")),
     }).withColumn("risk_key", lookup(F.col("risk_level"), named, "medium"))
     offered = assign_offers(
@@ -163,11 +173,14 @@ def expected_lift(df: DataFrame, segment: str = "seg_name", risk: str = "risk_ke
 
 
 def module_recommendations(scored: DataFrame) -> DataFrame:
-    """The 7 x 3 library with one lift per risk; unknown risk takes the high offer."""
+    """The 7 x 3 library with one lift per risk; unknown risk takes the high offer. A risk level that the table
+    has is kept."""
     spark = scored.sparkSession
     p = F.col("churn_probability")
     top = scored.agg(F.greatest(F.max("clv"), F.lit(1.0)).alias("_top"))
-    graded = attach(scored, top).withColumn("risk_level", risk_level(p, STAGED_CUTS, dims.RISK_LEVELS))
+    graded = attach(scored, top)
+    if "risk_level" not in scored.columns:
+        graded = graded.withColumn("risk_level", risk_level(p, STAGED_CUTS, dims.RISK_LEVELS))
     risk = F.lower("risk_level")
     offered = assign_offers(
         graded, dims.module_offers(spark), dims.MODULE_OFFERS, "Silent Drifters",
