@@ -38,7 +38,7 @@ from tidemark.llm.staging import fresh, total_bytes
 SPAN = 50
 ANCHOR = 20
 CHUNK_BYTES = 8 << 20  # text of one chunk, on average
-PART_BYTES = 8 << 20  # text that one part's anchors come from, on average
+PART_BYTES = 4 << 20  # text that one part's anchors come from, on average
 BLOCK = 1 << 19  # suffixes sorted at a time
 COVER, STEP = (0, 1, 3), 7  # every difference modulo 7 is one of two members
 DEEP = SPAN - STEP + 1  # bytes that cover ranks compare
@@ -81,6 +81,15 @@ def largest(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.maximum.reduceat(values, first) if len(first) else values[:0]
 
 
+def counted(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags are set in each row."""
+    some = np.flatnonzero(np.diff(offsets))
+    out = np.zeros(len(offsets) - 1, np.int64)
+    if len(some):
+        out[some] = np.add.reduceat(flags, offsets[some], dtype=np.int64)
+    return out
+
+
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order that sorts the keys, and where each distinct key begins in it."""
     order = np.argsort(keys, kind="stable")
@@ -331,18 +340,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
                 a = chunk.first[used[hit]] + offset[again[hit]]
                 np.add.at(depth, a, 1)
                 np.add.at(depth, a + count[again[hit]] + SPAN - 1, -1)
-        gone = np.cumsum(depth[:-1]) > 0
+        gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
+        del depth
         n = table.num_rows
-        sums = np.concatenate([[0], np.cumsum(gone)])
+        # per-row counts from row borders; a running count of all bytes would be eight times the text
+        sums = counted(gone, chunk.offsets)
         edge = gone.copy()
         edge[1:] &= ~gone[:-1]
         starts = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
         edge[starts] = gone[starts]
-        spans = np.concatenate([[0], np.cumsum(edge)])
+        spans = counted(edge, chunk.offsets)
         a, b = chunk.offsets[:-1], chunk.offsets[1:]
-        left = [chunk.data[x:y][~gone[x:y]].tobytes() if sums[y] > sums[x] else chunk.data[x:y].tobytes() for x, y in zip(a, b)]
+        left = [chunk.data[x:y][~gone[x:y]].tobytes() if lost else chunk.data[x:y].tobytes() for x, y, lost in zip(a, b, sums)]
         columns = [table[c] for c in names if c != text] + [
-            pa.array(b - a), pa.array(sums[b] - sums[a]), pa.array(spans[b] - spans[a]),
+            pa.array(b - a), pa.array(sums), pa.array(spans),
             pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()),
         ]
         if keep_text:
