@@ -255,18 +255,22 @@ def module_rules(profiles: DataFrame) -> DataFrame:
 def unique_names(ruled: DataFrame, spare: Sequence[str] = (), prefix: str = "Segment Group") -> DataFrame:
     """`segment_id, segment_name` with no name used twice, in order of segment id.
 
-    The table has a row per cluster (k is a handful), so this small greedy choice runs in Python.
+    The table has a row per cluster (k is a handful), so the greedy choice is a fold over one small array.
     When every candidate is taken the first free spare name follows, then a numbered one.
     """
-    taken: list[str] = []
-    rows = []
-    for row in ruled.select("segment_id", "candidates").orderBy("segment_id").collect():
-        numbered = (f"{prefix} {i}" for i in range(1, len(taken) + 2))
-        options = [*row["candidates"], *spare, *numbered]
-        name = next(o for o in options if o not in taken)
-        taken.append(name)
-        rows.append((int(row["segment_id"]), name))
-    return dims.literal_table(ruled.sparkSession, rows, "segment_id int, segment_name string")
+    rows = ruled.agg(
+        F.sort_array(F.collect_list(F.struct(F.col("segment_id").cast("int").alias("segment_id"), "candidates"))).alias("rows")
+    )
+    spares = F.array(*[F.lit(n) for n in spare]).cast("array<string>")
+
+    def choose(taken: Column, row: Column) -> Column:
+        used = F.transform(taken, lambda t: t["segment_name"])
+        numbered = F.transform(F.sequence(F.lit(1), F.size(taken) + 1), lambda i: F.concat_ws(" ", F.lit(prefix), i))
+        free = F.filter(F.concat(row["candidates"], spares, numbered), lambda o: ~F.array_contains(used, o))
+        return F.concat(taken, F.array(F.struct(row["segment_id"].alias("segment_id"), free[0].alias("segment_name"))))
+
+    start = F.array().cast("array<struct<segment_id:int,segment_name:string>>")
+    return rows.select(F.inline(F.aggregate("rows", start, choose)))
 
 
 def attach_archetypes(named: DataFrame, staged: bool = False) -> DataFrame:

@@ -774,6 +774,29 @@ _SELECTS = {
              WHEN redemption < 0.2 AND clv_rank > 0.4 THEN 'Miles Hoarders'
              WHEN momentum > 1.3 THEN 'Rising Stars' WHEN seasonality > 0.5 THEN 'Seasonal Travelers'
              ELSE 'Budget Frequent Flyers' END AS rule FROM module_ranks""",
+    "unique_names": f"""WITH st AS (SELECT list(segment_id ORDER BY segment_id) AS ids, list(c ORDER BY segment_id) AS c FROM (
+        SELECT segment_id, CASE WHEN clv_rank >= 0.6 AND churn_rank >= 0.65 THEN ['At-Risk VIPs']
+             WHEN clv_rank >= 0.6 AND health_rank >= 0.6 AND churn_rank < 0.35 THEN ['Premium Loyalists']
+             WHEN recency_rank >= 0.65 AND engagement_rank < 0.4 THEN ['Silent Drifters']
+             WHEN redemption_rank < 0.35 AND clv_rank >= 0.4 THEN ['Miles Hoarders']
+             WHEN trend_rank >= 0.55 AND churn_rank < 0.35 THEN ['Rising Stars']
+             WHEN frequency_rank >= 0.6 AND clv_rank < 0.4 THEN ['Budget Frequent Flyers']
+             ELSE ['Seasonal Travelers', 'Premium Loyalists', 'Rising Stars', 'Miles Hoarders'] END AS c FROM profile_ranks)),
+        mo AS (SELECT list(segment_id ORDER BY segment_id) AS ids, list(c ORDER BY segment_id) AS c FROM (
+        SELECT segment_id, [CASE WHEN clv_rank > 0.75 AND engagement_rank > 0.6 THEN 'Premium Loyalists'
+             WHEN clv_rank > 0.75 AND engagement_rank < 0.4 THEN 'At-Risk VIPs'
+             WHEN engagement_rank < 0.3 AND recency > 200 THEN 'Silent Drifters'
+             WHEN redemption < 0.2 AND clv_rank > 0.4 THEN 'Miles Hoarders'
+             WHEN momentum > 1.3 THEN 'Rising Stars' WHEN seasonality > 0.5 THEN 'Seasonal Travelers'
+             ELSE 'Budget Frequent Flyers' END, 'Premium Loyalists', 'Silent Drifters', 'Miles Hoarders', 'Seasonal Travelers',
+             'Rising Stars', 'Budget Frequent Flyers', 'At-Risk VIPs'] AS c FROM module_ranks)),
+        sn AS (SELECT unnest(ids) AS segment_id, unnest(list_reduce(list_prepend(CAST([] AS VARCHAR[]), c), lambda taken, o:
+            list_append(taken, list_filter(list_concat(o, list_transform(range(1, 99), lambda i: 'Segment Group ' || i)),
+            lambda n: NOT list_contains(taken, n))[1]))) AS segment_name FROM st),
+        mn AS (SELECT unnest(ids) AS segment_id, unnest(list_reduce(list_prepend(CAST([] AS VARCHAR[]), c), lambda taken, o:
+            list_append(taken, list_filter(list_concat(o, list_transform(range(1, 99), lambda i: 'Segment ' || i)),
+            lambda n: NOT list_contains(taken, n))[1]))) AS module_name FROM mo)
+        SELECT {ints("segment_id")}, segment_name, module_name FROM sn JOIN mn USING (segment_id)""",
     "segment_archetypes": f"""WITH a AS ({literal_rows(_ARCHETYPES,
         "variant, segment_name, description, strategy, channel, offer, urgency")}), s AS (SELECT * FROM (SELECT seg_name AS segment_name,
         count(*) AS members FROM staged_keys GROUP BY 1), (VALUES ('module'), ('staged')) v(variant))
