@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import xxhash
 
 from tests.llm import cases
@@ -51,7 +52,9 @@ def test_awkward_rows(spark):
     assert simhash.near_duplicates(cases.empty(spark)).count() == 0
 
 
-def test_walk_links_all_close_pairs(spark):
+@pytest.mark.parametrize("leaves", [200_000, 20])
+def test_walk_links_all_close_pairs(spark, monkeypatch, leaves):
+    monkeypatch.setattr(simhash, "NODE_LEAVES", leaves)
     rng = np.random.default_rng(5)
     centres = rng.integers(0, 2**63, 30, dtype=np.int64).astype(np.uint64)
     values = {int(c) for c in centres}

@@ -8,7 +8,8 @@ Join: distinct fingerprints are the leaves of a binary trie. Pairs of trie nodes
 root; where the pair's branches differ the error grows by one, and a pair over the budget is dropped with all leaves
 below it. A walk may spend its errors anywhere, but by the pigeonhole some one of budget + 1 blocks of bits is free of
 errors; so each fingerprint is entered once per block, rotated to bring that block to the top, and the walk starts at the
-trie nodes below the block, with no error spent. Spark deals these nodes to tasks; every walk is inside one node.
+trie nodes below the block, with no error spent. Spark deals these nodes to tasks; every walk is inside one node. A node of very
+many leaves is split by its next six bits: pairs of its branches that differ in no more bits than the budget are dealt one by one.
 A walk returns a spanning forest of the links it found, so large families of copies do not become all pairs.
 
 Null text reads as empty; equal texts share one leaf; null ids are in a component but do not name it.
@@ -31,6 +32,8 @@ WIDTH = 3
 SEED = 42
 BUDGET = 3
 WALK_ROWS = 200_000  # fingerprints of whole trie nodes that one walk takes at a time
+NODE_LEAVES = 200_000  # a trie node of more leaves is dealt in pairs of branches
+BRANCH_BITS = 6
 PAIR_BLOCK = 500_000  # pairs of trie nodes, or of leaves, held at a time
 
 
@@ -205,25 +208,28 @@ def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
         return back[moved], back[forest.root[moved]]
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_block, held = -1, np.zeros(0, np.uint64)
+        held_key, held = None, np.zeros(0, np.uint64)
 
         def flush(values: np.ndarray):
             if len(values) > 1:
-                a, b = walked(held_block, values)
+                a, b = walked(held_key[0], values)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in stream:
-            block = batch.column(0).to_numpy()
-            value = batch.column(1).to_numpy().view(np.uint64)
-            for k in np.unique(block).tolist():
-                mine = value[block == k]
-                if k != held_block:
+            # whole nodes of a block are walked together; pairs of branches (lane > 0) one by one
+            block, lane, node = (batch.column(k).to_numpy() for k in range(3))
+            value = batch.column(3).to_numpy().view(np.uint64)
+            keys = np.stack([block, lane, np.where(lane > 0, node, 0)], axis=1)
+            new = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else []
+            for a, b in zip(new, np.append(new[1:], len(keys))):
+                key, mine = tuple(keys[a].tolist()), value[a:b]
+                if key != held_key:
                     yield from flush(held)
-                    held_block, held = k, mine
+                    held_key, held = key, mine
                     continue
                 held = np.concatenate([held, mine])
-                if len(held) > WALK_ROWS:
+                if key[1] == 0 and len(held) > WALK_ROWS:
                     last = held[-1] >> np.uint64(64 - bits)
                     cut = int(np.searchsorted(held, last << np.uint64(64 - bits)))
                     yield from flush(held[:cut])
@@ -239,11 +245,19 @@ def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
         ])).alias("e")
     ).select("e.block", "e.value")
     # unsigned order of the values: the sign bit is flipped for the sort
-    dealt = entered.withColumn("node", F.shiftrightunsigned("value", 64 - bits)).repartition("block", "node")
-    return (
-        dealt.sortWithinPartitions("block", F.col("value").bitwiseXOR(F.lit(-(2**63)).cast("long")))
-        .select("block", "value").mapInArrow(task, "a long, b long")
+    placed = entered.withColumn("node", F.shiftrightunsigned("value", 64 - bits))
+    large = placed.groupBy("block", "node").agg(F.count(F.lit(1)).alias("leaves")).where(F.col("leaves") > NODE_LEAVES)
+    branch = F.shiftrightunsigned("value", 64 - bits - BRANCH_BITS).bitwiseAND(F.lit(2**BRANCH_BITS - 1)).cast("int")
+    lanes = F.expr(f"""CASE WHEN leaves IS NULL THEN array(0) ELSE transform(
+        filter(sequence(0, {2**BRANCH_BITS - 1}), o -> bit_count(o ^ branch) <= {budget}),
+        o -> 1 + {2**BRANCH_BITS} * least(branch, o) + greatest(branch, o)) END""")
+    dealt = (
+        placed.withColumn("branch", branch).join(large, ["block", "node"], "left")
+        .select("block", F.explode(lanes).alias("lane"), "node", "value").repartition("block", "lane", "node")
     )
+    return dealt.sortWithinPartitions(
+        "block", "lane", "node", F.col("value").bitwiseXOR(F.lit(-(2**63)).cast("long"))
+    ).mapInArrow(task, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, budget: int = BUDGET) -> DataFrame:
