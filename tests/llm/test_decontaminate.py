@@ -63,3 +63,24 @@ def test_awkward_rows(spark):
     assert marked.count() == len(cases.ROWS) and set(cases.EXTRA) <= set(marked.columns)
     assert decontaminate.mark(cases.empty(spark), benchmark).count() == 0
     assert {len(r["leaks"]) for r in decontaminate.mark(cases.awkward(spark), benchmark.limit(0)).collect()} == {0}
+
+
+def leaks_of(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontaminate.mark(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r["doc_id"]: sorted((x["item_id"], x["same_values"]) for x in r["leaks"]) for r in rows}
+    return [got[k] for k in range(len(texts))]
+
+
+def test_whole_copies_of_items_with_few_literal_words(spark):
+    items = [
+        (1, "Compute 12 + 7 * 3 - 45 / 9 + 8"), (2, "小明有十二个苹果，他又买了七个，现在一共有多少个？"), (3, "ราคาของส้มสามลูกเท่ากับเท่าไร"),
+        (4, "12 * 31 - 5"), (5, "¿Cuál es—según el mapa—la capital “antigua”?"),
+    ]
+    got = leaks_of(spark, items, [
+        "Homework. Compute 12 + 7 * 3 - 45 / 9 + 8, then rest.",
+        "Homework. Compute 13 + 6 * 4 - 41 / 8 + 2, then rest.",
+        "老师说：小明有十二个苹果，他又买了七个，现在一共有多少个？请回答。", "小明有苹果，老师说现在请回答。",
+        "คำถามราคาของส้มสามลูกเท่ากับเท่าไรครับ", "so 12 * 31 - 5 it is", "so 12 * 32 - 5 it is", "Di: cuál es según el mapa la capital antigua",
+    ])
+    assert got == [[(1, True)], [], [(2, True)], [], [(3, True)], [(4, True)], [], [(5, True)]]

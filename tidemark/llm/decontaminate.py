@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become template tokens: numbers (digits or number words), units right after a number, and names (words with a capital
-inside a sentence) are typed placeholders; other words are their lower-case form. A second template keeps names as words, so
+inside a sentence) are typed placeholders; other words are their lower-case form. Unicode punctuation and spaces separate words as
+those of ASCII do, and each character of a script without spaces is a word. A second template keeps names as words, so
 that copies in other case are found too. Windows of `WIDTH` template tokens of the documents are looked up in
 a hash table of the benchmark's windows; an item of fewer tokens is one window.
 
@@ -13,12 +14,14 @@ alignment with the most windows is tried alone.
 The benchmark is cut into blocks of at most about `BLOCK_BYTES`, whose tables are broadcast one after the other; a benchmark of
 any size is looked up whole. Documents are never shuffled.
 
-Windows with fewer than `LITERALS` literal words are no evidence, nor are items of fewer tokens than that. Null and empty texts leak nothing; repeated items
+Windows with fewer than `LITERALS` literal words are evidence of the same values only: the table has them with their real values
+in place of placeholders. Items of fewer than `LITERALS` tokens are no evidence ("of the" is no leak). Null and empty texts leak nothing; repeated items
 are reported each; an empty benchmark or table gives no leaks.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -48,15 +51,40 @@ UNITS = (
     "watt watts kw kwh volt volts amp amps joule joules byte bytes kb mb gb tb"
 ).split()
 
-LETTER, DIGIT = 1, 2
+LETTER, DIGIT, SINGLE = 1, 2, 3
 KINDS = np.zeros(256, np.uint8)
 KINDS[ord("0"): ord("9") + 1] = DIGIT
 KINDS[ord("A"): ord("Z") + 1] = LETTER
 KINDS[ord("a"): ord("z") + 1] = LETTER
 KINDS[128:] = LETTER
+CODE_POINTS = 1 << 18  # all beyond are letters
+# Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana and ideographs
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x30FF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+def _kinds_of_characters() -> np.ndarray:
+    out = np.full(CODE_POINTS + 1, LETTER, np.uint8)
+    for a, b in UNSPACED:
+        out[a: min(b + 1, CODE_POINTS)] = SINGLE
+    for c in range(128, 0x20000):
+        category = unicodedata.category(chr(c))
+        if category in ("So", "Sk"):
+            out[c] = SINGLE
+        elif category[0] in "PSZ" or category in ("Cc", "Cf"):
+            out[c] = 0
+        elif category == "Nd":
+            out[c] = DIGIT
+    return out
+
+
+CHARACTERS = _kinds_of_characters()
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n"]] = True
 WORD, NUMBER, UNIT, NAME = range(4)
+SAME = np.uint64(1 << 32)  # tells windows of values from template windows
 PLACEHOLDER = bytewise.mixed(np.arange(1, 5, dtype=np.uint64))
 
 
@@ -73,11 +101,32 @@ def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.searchsorted(listed, values).clip(0, len(listed) - 1)] == values
 
 
+def _characters(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Set the kind of all bytes of characters beyond ASCII; the places where a character that is a word begins, and where it ends."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return lead
+    head = data[lead].astype(np.int64)
+    more = 1 + (head >= 0xE0) + (head >= 0xF0)
+    code = head & (0x3F >> more)
+    for k in (1, 2, 3):
+        own = more >= k
+        code[own] = code[own] << 6 | (data[np.minimum(lead[own] + k, len(data) - 1)] & 0x3F)
+    found = CHARACTERS[np.minimum(code, CODE_POINTS)]
+    kind[lead] = found
+    for k in (1, 2, 3):
+        own = more >= k
+        kind[np.minimum(lead[own] + k, len(data) - 1)] = found[own]
+    alone = found == SINGLE
+    return np.concatenate([lead[alone], np.minimum(lead[alone] + more[alone] + 1, len(data))])
+
+
 class Tokens:
     """Template tokens of rows: spans, rows, kinds, values (hash of the lower-case form)."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         kind = KINDS[data]
+        alone = _characters(data, kind)
         joint = np.flatnonzero((data[1:-1] == 46) | (data[1:-1] == 44)) + 1  # a point or comma within a number
         joint = joint[(kind[joint - 1] == DIGIT) & (kind[joint + 1] == DIGIT)]
         kind[joint] = DIGIT
@@ -85,6 +134,7 @@ class Tokens:
         edge = np.empty(len(data) + 1, bool)
         edge[1:-1] = kind[1:] != kind[:-1]
         edge[offsets] = True
+        edge[alone] = True
         edge[0] = edge[-1] = True
         at = np.flatnonzero(edge)
         inside = kind[at[:-1]] > 0 if len(data) else np.zeros(0, bool)
@@ -104,10 +154,14 @@ class Tokens:
         unit[1:] = number[:-1] & ~first[1:] & _among(self.value[1:], MEASURES)
         self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(capital & ~opens, NAME, WORD)))
 
-    def windows(self, width: int, names: bool) -> tuple[np.ndarray, np.ndarray]:
-        """First token and hash of every window of one row that is evidence."""
+    def windows(self, width: int, names: bool | None) -> tuple[np.ndarray, np.ndarray]:
+        """First token and hash of every window of one row that is evidence; without placeholders, if `names` is None."""
         if len(self.kind) < width:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        if names is None:
+            value = bytewise.mixed(bytewise.rolling(self.value, width) + np.uint64(width) + SAME)
+            at = np.flatnonzero(self.row[width - 1:] == self.row[: len(value)])
+            return at, value[at]
         kind = self.kind if names else np.where(self.kind == NAME, WORD, self.kind)
         code = np.where(kind == WORD, self.value, PLACEHOLDER[kind])
         value = bytewise.mixed(bytewise.rolling(code, width) + np.uint64(width))
@@ -128,8 +182,11 @@ class Table:
         self.widths = sorted({WIDTH, *size[(size >= LITERALS) & (size < WIDTH)].tolist()})
         hashes, places, widths = [], [], []
         for width in self.widths:
-            for names in (True, False):
+            for names in (True, False, None):
                 at, value = self.tokens.windows(width, names)
+                if names is None:  # only where the template is no evidence
+                    few = ~np.isin(at, self.tokens.windows(width, False)[0])
+                    at, value = at[few], value[few]
                 own = size[self.tokens.row[at]]
                 fit = (own >= WIDTH) if width == WIDTH else (own == width)
                 hashes.append(value[fit])
@@ -146,7 +203,7 @@ class Table:
         """(row, first tokens of its windows, of the item's windows, widths) for every row with a window in the table."""
         found = []
         for width in self.widths:
-            for names in (True, False):
+            for names in (True, False, None):
                 at, value = tokens.windows(width, names)
                 maybe = np.flatnonzero(self.filter[value >> np.uint64(64 - FILTER_BITS)])
                 at, value = at[maybe], value[maybe]
