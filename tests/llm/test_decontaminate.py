@@ -84,3 +84,13 @@ def test_whole_copies_of_items_with_few_literal_words(spark):
         "คำถามราคาของส้มสามลูกเท่ากับเท่าไรครับ", "so 12 * 31 - 5 it is", "so 12 * 32 - 5 it is", "Di: cuál es según el mapa la capital antigua",
     ])
     assert got == [[(1, True)], [], [(2, True)], [], [(3, True)], [(4, True)], [], [(5, True)]]
+
+
+def test_any_alignment_that_agrees_is_a_leak(spark):
+    broken = "Both tanks hold 5 liters and after 6 minutes the valve lets 8 liters pass into the lower tank of the plant. "
+    cut = ITEMS[6][1].replace("minutes the valve", "minutes, so they say, the valve")
+    got = found(spark, [
+        broken + ITEMS[6][1], broken * 3 + "Some other words stand between. " + ITEMS[6][1], broken + broken.replace("8", "9"),
+        broken + "Some other words stand between them here. " + cut,
+    ])
+    assert got == [[(7, True)], [(7, True)], [], [(7, True)]]

@@ -8,8 +8,9 @@ a hash table of the benchmark's windows; an item of fewer tokens is one window.
 
 A document leaks an item if windows that agree in their slots cover at least `COVERAGE` of the item's tokens. Slots agree if the
 placeholders of all matched windows give a one-to-one map from the item's values to the document's (exact copies: the identity), so
-re-parameterised questions are found and chance matches of number-rich text are not. Where the map breaks, the
-alignment with the most windows is tried alone.
+re-parameterised questions are found and chance matches of number-rich text are not. Where the map breaks, the windows
+of each alignment are tried alone, then those of each run of near alignments (copies with insertions); any that agrees and covers
+enough is a leak.
 
 The benchmark is cut into blocks of at most about `BLOCK_BYTES`, whose tables are broadcast one after the other; a benchmark of
 any size is looked up whole. Documents are never shuffled.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -227,25 +229,40 @@ class Table:
         ours, theirs = len(np.unique(pairs[:, 0])), len(np.unique(pairs[:, 1]))
         return len(pairs) == ours == theirs, bool((pairs[:, 0] == pairs[:, 1]).all())
 
+    def _alignments(self, at: np.ndarray, place: np.ndarray, size: int, coverage: float) -> Iterator[np.ndarray]:
+        """The windows of each alignment that could cover enough, most windows first; then those of each run of near alignments."""
+        shift = at - place
+        order = np.lexsort((at, shift))
+        ranked = shift[order]
+        for near in (0, max(1, size // 4)):
+            first = np.flatnonzero(np.append(True, np.diff(ranked) > near))
+            end = np.append(first[1:], len(ranked))
+            for k in np.argsort(first - end, kind="stable"):
+                a, b = first[k], end[k]
+                if (b - a) * WIDTH < coverage * size:
+                    break
+                if not near or ranked[a] != ranked[b - 1]:
+                    yield np.sort(order[a:b])
+
     def leaks(self, data: np.ndarray, offsets: np.ndarray, coverage: float) -> dict[int, list[tuple]]:
         """row -> [(item, coverage, windows, same values, first byte, end byte)]"""
         tokens, out = Tokens(data, offsets), defaultdict(list)
         for row, at, place, width in self.find(tokens):
             item = self.tokens.row[place]
             for k in np.unique(item):
-                mine = np.flatnonzero(item == k)
-                agree, same = self._agree(tokens, at[mine], place[mine], width[mine])
-                if not agree:
-                    shift, inverse, count = np.unique(at[mine] - place[mine], return_inverse=True, return_counts=True)
-                    mine = mine[inverse == np.argmax(count)]
+                whole = np.flatnonzero(item == k)
+                tried = chain([whole], (whole[x] for x in self._alignments(at[whole], place[whole], int(self.size[k]), coverage)))
+                for mine in tried:
+                    share = len(np.unique(bytewise.ranges(place[mine], width[mine]))) / self.size[k]
+                    if share < coverage:
+                        continue
                     agree, same = self._agree(tokens, at[mine], place[mine], width[mine])
-                covered = np.unique(bytewise.ranges(place[mine], width[mine]))
-                share = len(covered) / self.size[k]
-                if agree and share >= coverage:
-                    last = int((at[mine] + width[mine]).max()) - 1
-                    out[row].append((
-                        self.ids[k], share, len(mine), same, int(tokens.start[at[mine].min()] - offsets[row]), int(tokens.end[last] - offsets[row]),
-                    ))
+                    if agree:
+                        last = int((at[mine] + width[mine]).max()) - 1
+                        out[row].append((
+                            self.ids[k], share, len(mine), same, int(tokens.start[at[mine].min()] - offsets[row]), int(tokens.end[last] - offsets[row]),
+                        ))
+                        break
         return out
 
 
