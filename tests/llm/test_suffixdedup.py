@@ -1,4 +1,8 @@
 import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
 
 from tests.llm import cases
 from tidemark.llm import suffixdedup
@@ -49,3 +53,31 @@ def test_cuts_inside_characters(spark):
     frame = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=True)
     assert rows_of(frame) == brute(rows)
     assert all(r["kept_text"] is not None for r in frame.collect())
+
+
+def phrase_amid_different_text(n):
+    draw = random.Random(5)
+    text = lambda: "".join(draw.choices("abcdefgh ", k=60))
+    rows = [(k, f"{text()}Section: of the annual report {text()}") for k in range(n)]
+    return rows + [(n + k, text() + rows[k][1][40: 110] + text()) for k in range(0, n, 7)]
+
+
+def test_pieces_of_a_hot_anchor_are_dealt_to_many_parts():
+    rows = phrase_amid_different_text(500)
+    chunk = suffixdedup.Chunk(pa.table({"k": [k for k, _ in rows], "t": [t for _, t in rows]}), "k", "t")
+    own, _ = chunk.anchors()
+    top = np.argmax(chunk.sizes(own))
+    assert chunk.sizes(own)[top] >= 7
+    _, _, _, _, _, deal, _, _ = chunk.pieces(own[top: top + 1], np.array([True]))
+    share = np.bincount((deal % np.uint64(16)).astype(int), minlength=16)
+    assert share.max() < 2 * share.mean()
+    same = suffixdedup.Chunk(pa.table({"k": range(500), "t": [rows[0][1]] * 500}), "k", "t")
+    assert not same.sizes(same.anchors()[0]).any()  # one piece, however often
+
+
+def test_hot_anchors_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(suffixdedup, "PART_BYTES", 10_000)
+    monkeypatch.setattr(suffixdedup, "HOT_PIECES", 20)
+    rows = phrase_amid_different_text(400)
+    assert rows_of(suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)

@@ -5,12 +5,14 @@ on the input, as UTF-8 bytes; matches never cross rows.
 
 1. Screen. Every 50-byte string has an anchor, the smallest hash of its 20-byte strings; equal strings have equal anchors.
    Rows are dealt into chunks of bounded size. A chunk reports four bytes of each anchor once, and whether several keys have it.
-   Anchors of one chunk and one key only cannot lie in a repeated string, and end here; the answer is a bit each.
+   Anchors of one chunk and one key only cannot lie in a repeated string, and end here; the answer is a bit each. A second bit
+   tells the hot anchors, around which there are more than `HOT_PIECES` distinct pieces (a short phrase amid different text).
 2. Suffix sort. For the other anchors a chunk sends its distinct pieces: the bytes of all strings around one anchor. A part
    receives all pieces of its anchors, makes them one text, and finds its equal 50-byte strings as a suffix array
    construction does (Kaerkkaeinen, 2007): suffixes at the places of a difference cover modulo 7 are ranked first by 44 bytes;
    then one block of suffixes at a time, of neighbouring leading bytes, is sorted by those bytes, and ties are
    resolved by the cover ranks: any two suffixes reach the cover together within six steps. What the last steps do not cover is compared as bytes.
+   Strings of hot anchors are sent one by one, to the part that a hash of all their bytes names, so equal ones still meet.
    Memory is bounded by the part and the block, not by the corpus.
 3. Marks. A chunk gets back, for its pieces, the smallest key of each string, and marks the strings that a smaller key has.
 
@@ -43,6 +45,8 @@ BLOCK = 1 << 19  # suffixes sorted at a time
 COVER, STEP = (0, 1, 3), 7  # every difference modulo 7 is one of two members
 DEEP = SPAN - STEP + 1  # bytes that cover ranks compare
 ANCHOR_SLICE = 1 << 17
+HOT_PIECES = 4096  # distinct pieces of one anchor, summed over the chunks, that go to one part
+COUNTED_USES = 16  # an anchor's pieces are told apart in a chunk that has it so often
 
 Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -182,26 +186,47 @@ class Chunk:
         key = self.key[self.row[order]]
         return self.anchor[order][first], smallest(key, first) < largest(key, first)
 
-    def repeated(self, answers: dict[int, bytes], parts: int) -> np.ndarray:
-        """The anchors that the parts have found repeated: a bit for each anchor, in the order of sending."""
+    def digests(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return bytewise.Spans(start, start + length, start).hashes(self.data) ^ bytewise.mixed(length.astype(np.uint64))
+
+    def sizes(self, own: np.ndarray) -> np.ndarray:
+        """The binary logarithm, rounded down, of each anchor's number of distinct pieces. `own` are all anchors, sorted."""
+        of = np.searchsorted(own, self.anchor)
+        count = np.bincount(of, minlength=len(own))
+        run = np.flatnonzero(count[of] >= COUNTED_USES)
+        digest, of = self.digests(self.first[run], self.end[run] - self.first[run] + SPAN - 1), of[run]
+        order = np.lexsort((digest, of))
+        again = np.flatnonzero((of[order][1:] == of[order][:-1]) & (digest[order][1:] == digest[order][:-1]))
+        count -= np.bincount(of[order][again], minlength=len(own))
+        return np.log2(np.maximum(count, 1)).astype(np.uint8)
+
+    def repeated(self, answers: dict[int, bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors that the parts have found repeated, and which of them are hot: two bits for each anchor, in the order of sending."""
         own, _ = self.anchors()
-        found = np.zeros(len(own), bool)
+        found, hot = np.zeros(len(own), bool), np.zeros(len(own), bool)
         for part, mine in _by_part(own % np.uint64(parts)):
             if part in answers:
-                found[mine] = np.unpackbits(np.frombuffer(answers[part], np.uint8), count=len(mine)).astype(bool)
-        return own[found]
+                bits = np.unpackbits(np.frombuffer(answers[part], np.uint8)).reshape(2, -1)[:, : len(mine)].astype(bool)
+                found[mine], hot[mine] = bits
+        return own[found], hot[found]
 
-    def pieces(self, repeated: np.ndarray) -> tuple:
-        """Distinct pieces of the repeated anchors: (run, its piece), and of each piece start, length, anchor, keys."""
+    def pieces(self, repeated: np.ndarray, hot: np.ndarray) -> tuple:
+        """Uses of the repeated anchors' pieces: (run, start, the distinct piece); and of each distinct piece start, length,
+        the number that names its part, keys. Every span of a hot anchor is a piece of its own."""
         at = np.searchsorted(repeated, self.anchor).clip(0, max(0, len(repeated) - 1))
         run = np.flatnonzero(repeated[at] == self.anchor) if len(repeated) else np.zeros(0, np.int64)
-        start, length = self.first[run], self.end[run] - self.first[run] + SPAN - 1
-        digest = bytewise.Spans(start, start + length, run).hashes(self.data) ^ bytewise.mixed(length.astype(np.uint64))
+        split = hot[at[run]] if len(run) else np.zeros(0, bool)
+        uses = np.where(split, self.end[run] - self.first[run], 1)
+        start = bytewise.ranges(self.first[run], uses)
+        run, split = np.repeat(run, uses), np.repeat(split, uses)
+        length = np.where(split, 1, self.end[run] - start) + SPAN - 1
+        digest = self.digests(start, length)
         order, first = grouped(digest)
         piece = np.empty(len(run), np.int64)
         piece[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
         head, key = order[first], self.key[self.row[run[order]]]
-        return run, piece, start[head], length[head], self.anchor[run[head]], smallest(key, first), largest(key, first)
+        deal = np.where(split[head], bytewise.mixed(digest[head]), self.anchor[run[head]])
+        return run, start, piece, start[head], length[head], deal, smallest(key, first), largest(key, first)
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -241,29 +266,34 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     chunks, parts = size // CHUNK_BYTES + 1, size // PART_BYTES + 1
     names = docs.columns
     mark_ = fresh(docs, "__chunk")
+    hot_pieces = HOT_PIECES
     rows = docs.withColumn(mark_, F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(chunks)).cast("int"))
 
     def report(table: pa.Table) -> pa.Table:
         chunk = Chunk(table, key, text)
         anchor, several = chunk.anchors()
+        sizes = chunk.sizes(anchor)
         to, payload = [], []
         for part, mine in _by_part(anchor % np.uint64(parts)):
             to.append(part)
-            payload.append(_packed(_short(anchor[mine], parts), np.packbits(several[mine])))
+            payload.append(_packed(_short(anchor[mine], parts), np.packbits(several[mine]), sizes[mine]))
         return _blobs(to, table[mark_][0].as_py(), payload)
 
     def screen(table: pa.Table) -> pa.Table:
         by = table["by"].to_pylist()
-        got = [_unpacked(p, "<u4", "u1") for p in table["payload"].to_pylist()]
+        got = [_unpacked(p, "<u4", "u1", "u1") for p in table["payload"].to_pylist()]
         anchor = np.concatenate([g[0] for g in got])
         many = np.concatenate([np.unpackbits(g[1], count=len(g[0])) for g in got]).astype(bool)
         order, first = grouped(anchor)
         size = np.diff(np.append(first, len(order)))
         several = np.add.reduceat(many[order].astype(np.int64), first) + size > 1
         many[order] = np.repeat(several, size)
+        pieces = np.left_shift(1, np.concatenate([g[2] for g in got]).astype(np.int64))
+        hot = np.empty(len(anchor), bool)
+        hot[order] = np.repeat(np.add.reduceat(pieces[order], first) > hot_pieces, size)
         done, payload = 0, []
         for g in got:
-            payload.append(np.packbits(many[done: done + len(g[0])]).tobytes())
+            payload.append(b"".join(np.packbits(x[done: done + len(g[0])]).tobytes() for x in (many, hot)))
             done += len(g[0])
         return _blobs(by, table["to"][0].as_py(), payload)
 
@@ -272,9 +302,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
             return _blobs([], 0, [])
         chunk = Chunk(table, key, text)
         answers = dict(zip(told["by"].to_pylist(), told["payload"].to_pylist()))
-        _, _, start, length, anchor, low, high = chunk.pieces(chunk.repeated(answers, parts))
+        _, _, _, start, length, deal, low, high = chunk.pieces(*chunk.repeated(answers, parts))
         to, payload = [], []
-        for part, mine in _by_part(anchor % np.uint64(parts)):
+        for part, mine in _by_part(deal % np.uint64(parts)):
             to.append(part)
             payload.append(_packed(length[mine].astype("<i4"), low[mine], high[mine], chunk.data[bytewise.ranges(start[mine], length[mine])]))
         return _blobs(to, table[mark_][0].as_py(), payload)
@@ -323,21 +353,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         kind, by, payloads = told["kind"].to_pylist(), told["by"].to_pylist(), told["payload"].to_pylist()
         answers = {b: p for k, b, p in zip(kind, by, payloads) if k == 1}
         if answers:
-            run, piece, _, _, anchor, _, _ = chunk.pieces(
-                chunk.repeated({b: p for k, b, p in zip(kind, by, payloads) if k == 0}, parts)
+            run, start, piece, _, _, deal, _, _ = chunk.pieces(
+                *chunk.repeated({b: p for k, b, p in zip(kind, by, payloads) if k == 0}, parts)
             )
             by_piece = np.argsort(piece, kind="stable")
-            first = np.searchsorted(piece[by_piece], np.arange(len(anchor)))
-            uses = np.bincount(piece, minlength=len(anchor))
-            for part, mine in _by_part(anchor % np.uint64(parts)):
+            first = np.searchsorted(piece[by_piece], np.arange(len(deal)))
+            uses = np.bincount(piece, minlength=len(deal))
+            for part, mine in _by_part(deal % np.uint64(parts)):
                 if part not in answers:
                     continue
                 local, offset, count, least = _unpacked(answers[part], "<i4", "<i4", "<i4", "<i8")
                 p = mine[local]
-                used = run[by_piece[bytewise.ranges(first[p], uses[p])]]
+                used = by_piece[bytewise.ranges(first[p], uses[p])]
                 again = np.repeat(np.arange(len(p)), uses[p])
-                hit = chunk.key[chunk.row[used]] > least[again]
-                a = chunk.first[used[hit]] + offset[again[hit]]
+                hit = chunk.key[chunk.row[run[used]]] > least[again]
+                a = start[used[hit]] + offset[again[hit]]
                 np.add.at(depth, a, 1)
                 np.add.at(depth, a + count[again[hit]] + SPAN - 1, -1)
         gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
