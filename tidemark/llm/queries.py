@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter
+from tidemark.llm import (
+    brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,3 +104,16 @@ def op9_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return near.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model)
+    values, n, trace, error = (model.values, model.n, model.trace, model.identity_error) if model else ([], 0, 1.0, 0.0)
+    explained = F.array(*[F.lit(float(e / trace)) for e in values]).cast("array<double>")
+    return rows.select("vec_id", F.lit(n).cast("long").alias("n"), "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(float(error)).alias("identity_error"),
+    )
