@@ -103,3 +103,24 @@ SELECT b.doc_id, octet_length(t) AS n_bytes, coalesce(sum(z - a), 0)::BIGINT AS
        sha256(unhex(any_value(h))) AS kept_sha256
 FROM b LEFT JOIN gone USING (doc_id) JOIN kept USING (doc_id) GROUP BY b.doc_id, octet_length(t)
 """
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op12_k2_treap_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+held AS (SELECT r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+facts AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM held),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, facts GROUP BY term, docs),
+asked AS (
+  SELECT DISTINCT i, item_id, term FROM (
+    SELECT i, item_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  )
+),
+scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // l)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term), facts GROUP BY i, item_id, r, doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS n FROM scored WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM ranked WHERE n <= 10
+"""

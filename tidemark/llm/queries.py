@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, urlfilter, whitening,
+    brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, treap, urlfilter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +118,8 @@ def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
         F.get(explained, F.col("at")).alias("explained"), F.lit(float(error)).alias("identity_error"),
     )
+
+
+@query
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
