@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    brown, decontaminate, langid, packing, sharding, simhash, suffixdedup, topk, toxicity, treap, urlfilter,
-    whitening,
+    brown, decontaminate, langid, packing, pigeonhole, sharding, simhash, suffixdedup, topk, toxicity, treap,
+    urlfilter, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,8 @@ def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treap.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole.near_duplicates(_table(spark, sf_dir, "embeddings"))
