@@ -1,3 +1,5 @@
+import re
+import math
 import random
 
 import numpy as np
@@ -113,16 +115,37 @@ def test_box_plot_fences(spark):
     assert (row["whisker_low"], row["whisker_high"], row["outliers"]) == (1.0, 5.0, 1)
 
 
-def test_size_checked_refuses_many_groups(spark):
-    df = spark.range(50).toDF("k")
-    small = exprs.size_checked(df, limit=10)
-    with pytest.raises(Exception, match="too many to broadcast"):
-        df.join(small, "k").collect()
-
-
 def test_display_forms(spark):
     row = spark.range(1).select(
         exprs.as_percent(F.lit(0.163)).alias("p"), exprs.as_money(F.lit(1234.4)).alias("m"),
         exprs.as_short_money(F.lit(2_500_000.0)).alias("s"),
     ).first()
     assert tuple(row) == ("16.3%", "$1,234", "$2.5M")
+
+
+def test_quantiles_of_groups_with_ties_infinities_and_no_values(spark):
+    draw = random.Random(7)
+    rows = [
+        (draw.choice([None, "a", "b"]), draw.choice([None, math.nan, 0.0, -0.0, 3.0, 3.0, math.inf, -7.5, draw.gauss(0, 100), draw.random()]))
+        for _ in range(2000)
+    ] + [("none", None)]
+    wanted = {"low": ("x", 0.013), "half": ("x", 0.5), "high": ("x", 0.9), "top": ("x", 1.0)}
+    got = {r["g"]: r for r in ranks.quantiles(spark.createDataFrame(rows, "g string, x double"), wanted, ["g"]).collect()}
+    assert set(got) == {None, "a", "b", "none"} and got["none"]["x__n"] == 0 and got["none"]["half"] is None
+    for g in (None, "a", "b"):
+        values = [x for k, x in rows if k == g and x is not None and not math.isnan(x)]
+        assert got[g]["x__n"] == len(values)
+        for name, (_, p) in wanted.items():
+            place = p * (len(values) - 1)
+            low, high = sorted(values)[math.floor(place)], sorted(values)[math.ceil(place)]
+            want = low if low == high else low + (high - low) * (place - math.floor(place))
+            assert got[g][name] == want or math.isclose(got[g][name], want)
+
+
+def test_quantiles_take_few_exchanges(spark):
+    frame = spark.range(1000).selectExpr("id % 3 AS g", "double(id) AS x")
+    for by in ([], ["g"]):
+        found = ranks.quantiles(frame, {"m": ("x", 0.5), "q": ("x", 0.25)}, by)
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange ", final)) < 8

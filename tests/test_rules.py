@@ -160,6 +160,40 @@ def test_feature_matrix_bounds_and_fills(spark):
     assert all(0 <= r["engagement_health_score"] <= 100 for r in out.collect())
 
 
+def test_one_pass_matrix_equals_the_parts(spark):
+    m = members(spark, member(1), member(2), member(3, clv=9000.0), member(4, salary=None))
+    a = activity(spark, [(1, 2017, 1, 2, 10.0, 1.0), (1, 2017, 2, 5), (1, 2018, 3, 1), (2, 2018, 1, 4), (3, 2017, 6, 1), (3, 2016, 6, 9)])
+    parts = features.feature_matrix(labels.churn_labels(m, a, S), a, S)
+    whole = features.labelled_matrix(m, a, S)
+    assert set(parts.columns) == set(whole.columns)
+    assert sorted(map(tuple, parts.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    assert by_id(whole, "recency_months", "label_year_flights") == {1: (10, 1), 2: (0, 4), 3: (6, 0), 4: (0, 0)}
+
+
+def test_feature_matrix_is_a_scan(spark):
+    m, a = members(spark, member(1), member(2)), activity(spark, [(1, 2017, 1, 2)])
+    plan = features.labelled_matrix(m, a, S)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_record_matrix_has_every_member(spark):
+    m = members(spark, member(1), member(2), member(3, cancellation_year=2018, cancellation_month=1))
+    rows = [(1, 2017, mo, 1) for mo in range(1, 13)] + [(1, 2018, mo, 2) for mo in range(1, 13)] + [(3, 2018, 12, 1)]
+    out = features.record_matrix(m, activity(spark, rows), S)
+    got = by_id(out, "churn", "total_flights", "recency_months", "momentum_h2_minus_h1", "last_active_month")
+    assert got == {1: (0, 36, 0.0, 12, 12), 2: (1, 0, 0.0, 0, 0), 3: (1, 1, 0.0, 1, 12)}
+
+
+def test_record_matrix_takes_the_fallback_label(spark):
+    # by the day 2018-09 nobody has been away for six months; at the end of the data member 2 has
+    m = members(spark, *[member(i) for i in range(1, 60)])
+    rows = [(i, 2018, 12, 1) for i in range(1, 60)] + [(i, 2018, 4, 1) for i in range(1, 60)]
+    out = features.record_matrix(m, activity(spark, rows), S)
+    assert {r["churn"] for r in out.collect()} == {0}
+    out = features.record_matrix(m, activity(spark, [r for r in rows if r[:3] != (2, 2018, 12)]), S)
+    assert by_id(out, "churn")[2] == (1,) and by_id(out, "churn")[1] == (0,)
+
+
 # --- retention --------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 EPSILON = 1e-6
@@ -77,15 +77,9 @@ def money_sum(amount: Column | str) -> Column:
     return F.sum(x.cast("decimal(18,2)")).cast("double")
 
 
-def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put a one-row aggregate on every row. An ungrouped aggregate is one row by construction,
-    so the broadcast does not grow with the data."""
-    return df.crossJoin(F.broadcast(one_row))
-
-
-def size_checked(df: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Broadcast an aggregate over dimension levels, failing when it is not small after all."""
-    rows = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    message = F.lit(f"more than {limit} groups: too many to broadcast")
-    fits = F.when(F.col("_rows") > limit, F.raise_error(message).cast("boolean")).otherwise(True)
-    return F.broadcast(df.withColumn("_rows", rows).where(fits).drop("_rows"))
+def attach(df: DataFrame, one_row: DataFrame | Row, names: Sequence[str] | None = None) -> DataFrame:
+    """Put a one-row aggregate (its columns `names`) on every row. An ungrouped aggregate is one row by
+    construction, so the broadcast does not grow with the data. A row of numbers already taken becomes literals."""
+    if isinstance(one_row, Row):
+        return df.withColumns({n: F.lit(one_row[n]).cast("double") for n in names or one_row.asDict()})
+    return df.crossJoin(F.broadcast(one_row.select(*names) if names else one_row))

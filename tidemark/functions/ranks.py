@@ -1,8 +1,8 @@
 """Exact order statistics without putting a table, or a large group, into one task.
 
 `percentile` keeps a value -> count map of its whole group, and a window with no partition sorts
-everything in one task. Here rows are first counted per distinct value; counts of value ranges then
-narrow the search twice, and only the values of the last range are put in order.
+everything in one task. Here rows are first counted per value range; the counts say in which range a
+wanted position lies, and only the values of those ranges are shuffled, counted and put in order.
 """
 
 from __future__ import annotations
@@ -12,22 +12,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import attach
-
-# the sixteenth part of the octave that a value lies in; ranges are in the order of their values
+# the 1,024th part of the octave that a value lies in; ranges are in the order of their values
 OCTAVE_PART = """CASE WHEN _v = 0 THEN 0
-    WHEN _v > 0 THEN 1 + bigint((least(log2(_v), 1025D) + 1080) * 16)
-    ELSE -1 - bigint((least(log2(-_v), 1025D) + 1080) * 16) END"""
-# its 65,536 equal parts
-FINE_PART = """CASE WHEN _hi > _lo AND _hi - _lo < double('inf')
-    THEN bigint(least((_v - _lo) / (_hi - _lo), 1D) * 65535) ELSE 0 END"""
-
-
-def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", where: str | None = None) -> DataFrame:
-    """Join on keys that may be NULL; the keys appear once."""
-    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys] + ([F.expr(where)] if where else [])
-    return left.join(other, on, how).drop(*[f"_right_{k}" for k in keys])
+    WHEN _v > 0 THEN 1 + bigint((least(log2(_v), 1025D) + 1080) * 1024)
+    ELSE -1 - bigint((least(log2(-_v), 1025D) + 1080) * 1024) END"""
 
 
 def quantiles(
@@ -36,61 +24,64 @@ def quantiles(
     """A row per group (one row without `by`): `by...`, the wanted quantiles `{name: (column,
     prob)}` and `<column>__n`, the number of values. Exact, linear between neighbours.
 
-    One pass over the rows counts each distinct value of a group. Counts per sixteenth of an octave say
-    in which of these a wanted position lies, counts of its 65,536 parts say in which part, and a window
-    orders the distinct values of that part alone. Each step combines before its shuffle.
+    Two passes over the rows. The first counts rows per range (the 1,024th part of an octave), a running sum over
+    ranges gives each wanted position its range and its place there. The second keeps the rows of those ranges
+    and counts equal values, so ties and copies combine before the shuffle; their running sum finds the value.
+    A column whose values differ by less than a thousandth of their size has few ranges, and then a
+    range's distinct values are sorted in one task, which spills.
     """
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
     probs = {c: sorted({p for name, p in wanted.values() if name == c}) for c in columns}
     keys = [*by, "_c"]
     # NaN is an absent value here
-    entries = ", ".join(f"struct('{c}' AS _c, nanvl(double(`{c}`), NULL) AS _v)" for c in columns)
-    rows = df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))")
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
-    base = counts.groupBy(*by).agg(*[
-        F.expr(f"coalesce(sum(_m) FILTER (WHERE _c = '{c}' AND _v IS NOT NULL), 0L) AS `{c}__n`") for c in columns
-    ])
-
-    present = counts.where("_v IS NOT NULL").withColumn("_d", F.expr(OCTAVE_PART))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = present.groupBy(*keys, "_d").agg(
-        F.sum("_m").alias("_size"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    ).withColumns({"_n": F.sum("_size").over(group), "_ahead": F.coalesce(F.sum("_size").over(before), F.lit(0))})
-    asked = " ".join(f"WHEN _c = '{c}' THEN array({', '.join(f'{p!r}D' for p in probs[c])})" for c in columns)
+    entries = ", ".join(f"struct({k} AS _c, nanvl(double(`{c}`), NULL) AS _v)" for k, c in enumerate(columns))
+    rows = df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))").withColumn("_d", F.expr(OCTAVE_PART))
+
+    # a NULL range holds the absent values, and comes first
+    group = Window.partitionBy(*keys).orderBy("_d")
+    ranges = rows.groupBy(*keys, "_d").agg(F.count("_v").alias("_size")).withColumns({
+        "_n": F.sum("_size").over(Window.partitionBy(*keys)),
+        "_ahead": F.sum("_size").over(group.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size"),
+        "_lead": F.row_number().over(group) == 1,
+    })
+    asked = " ".join(f"WHEN _c = {k} THEN array({', '.join(f'{p!r}D' for p in probs[c])})" for k, c in enumerate(columns))
     sought = ranges.selectExpr(
-        *[f"`{k}`" for k in keys], "_d", "_lo", "_hi", "_n", "_size", "_ahead",
-        f"""inline(flatten(transform(CASE {asked} END, p -> array(
-            named_struct('_p', p, '_rank', bigint(floor(p * (_n - 1)))),
-            named_struct('_p', p, '_rank', bigint(ceil(p * (_n - 1))))))))""",
-    ).where("_rank >= _ahead AND _rank < _ahead + _size").withColumn("_rank", F.expr("_rank - _ahead")).drop("_size", "_ahead")
-
-    inside = _meet(
-        present, sought.select(*keys, "_d", "_lo", "_hi").distinct(), [*keys, "_d"]
-    ).withColumn("_e", F.expr(FINE_PART)).drop("_lo", "_hi")
-    part = Window.partitionBy(*keys, "_d").orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
-    parts = inside.groupBy(*keys, "_d", "_e").agg(F.sum("_m").alias("_size")).withColumn(
-        "_ahead", F.coalesce(F.sum("_size").over(part), F.lit(0))
-    )
-    found = _meet(
-        sought.drop("_lo", "_hi"), parts, [*keys, "_d"], where="_rank >= _ahead AND _rank < _ahead + _size"
-    ).withColumn("_rank", F.expr("_rank - _ahead")).drop("_size", "_ahead")
-    last = [*keys, "_d", "_e"]
-    ordered = _meet(inside, found.select(*last).distinct(), last).withColumn(
-        "_upto", F.sum("_m").over(Window.partitionBy(*last).orderBy("_v"))
-    )
-    ends = _meet(found, ordered, last, where="_rank >= _upto - _m AND _rank < _upto").groupBy(*keys, "_p").agg(
-        F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max("_n").alias("_n")
-    )
-    at = "_p * (_n - 1)"
-    valued = ends.withColumn(
-        "_q", F.expr(f"CASE WHEN _a = _b THEN _a ELSE (ceil({at}) - {at}) * _a + ({at} - floor({at})) * _b END")
+        *[f"`{k}`" for k in keys], "_d", "_n", "_size", "_ahead", "_lead",
+        f"""inline(concat(
+            array(named_struct('_p', CAST(NULL AS DOUBLE), '_side', 0, '_rank', CAST(NULL AS BIGINT))),
+            flatten(transform(CASE {asked} END, p -> array(
+                named_struct('_p', p, '_side', 0, '_rank', bigint(floor(p * (_n - 1))) - _ahead),
+                named_struct('_p', p, '_side', 1, '_rank', bigint(ceil(p * (_n - 1))) - _ahead))))))""",
+    ).where("(_p IS NULL AND _lead) OR (_rank >= 0 AND _rank < _size)").drop("_size", "_ahead", "_lead")
+
+    # without groups a row per wanted position; with groups at most a row per range
+    places = sought.where("_p IS NOT NULL").select("_c", "_d")
+    places = F.broadcast(places.distinct() if by else places)
+    counts = rows.join(places, ["_c", "_d"], "left_semi").groupBy(*keys, "_d", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    ordered = counts.withColumn("_upto", F.sum("_m").over(Window.partitionBy(*keys, "_d").orderBy("_v")))
+
+    other = ordered.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, "_d"]})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in [*keys, "_d"]]
+    # without groups the wanted positions are a handful, so the ordered values stay where they are
+    lead = sought if by else F.broadcast(sought)
+    inside = F.expr("_rank >= _upto - _m AND _rank < _upto")
+    found = lead.join(other, [*on, inside], "left") if by else lead.where("_p IS NOT NULL").join(other, [*on, inside])
+    if not by:
+        found = found.unionByName(sought.where("_p IS NULL"), allowMissingColumns=True)
+
+    def value(c: str, p: float) -> str:
+        at = f"_c = {columns.index(c)} AND _p = {p!r}D"
+        low, high = (f"max(_v) FILTER (WHERE {at} AND _side = {side})" for side in (0, 1))
+        place = f"({p!r}D * (max(_n) FILTER (WHERE {at}) - 1))"
+        return (
+            f"CASE WHEN {low} = {high} THEN {low} "
+            f"ELSE (ceil({place}) - {place}) * {low} + ({place} - floor({place})) * {high} END"
+        )
+
+    return found.groupBy(*by).agg(
+        *[F.expr(f"{value(c, p)} AS `{name}`") for name, (c, p) in wanted.items()],
+        *[F.expr(f"coalesce(max(_n) FILTER (WHERE _c = {k}), 0L) AS `{c}__n`") for k, c in enumerate(columns)],
     )
-    wide = valued.groupBy(*by).agg(*[
-        F.expr(f"max(_q) FILTER (WHERE _c = '{c}' AND _p = {p!r}D) AS `{name}`") for name, (c, p) in wanted.items()
-    ])
-    joined = _meet(base, wide, list(by), "left") if by else attach(base, wide)
-    return joined.select(*by, *wanted, *[f"{c}__n" for c in columns])
 
 
 def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:

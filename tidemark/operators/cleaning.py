@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import at_least, attach, flag, month_start
@@ -35,14 +35,14 @@ def member_statistics(members: DataFrame) -> DataFrame:
     return quantile_row(members, {"salary_median": ("salary", 0.5), "high_clv": ("clv", 0.75)})
 
 
-def fill_salary(members: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
+def fill_salary(members: DataFrame, statistics: DataFrame | Row | None = None) -> DataFrame:
     """Flag missing salaries, then put the median (taken before any fix) where the salary is
     missing or negative."""
     if statistics is None:
         statistics = member_statistics(members)
     salary, median = F.col("salary"), F.col("salary_median")
     return (
-        attach(members, statistics.select("salary_median"))
+        attach(members, statistics, ["salary_median"])
         .withColumns({
             "salary_missing": flag(salary.isNull()),
             "salary": F.when(salary.isNull() | (salary < 0), median).otherwise(salary),

@@ -8,14 +8,15 @@ month (see `cleaning.clean_activity`), so counting rows counts months.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import EPSILON, at_least, attach, clip, flag, lookup, months_since_zero
 from tidemark.functions.stats import minmax, ranges
 from tidemark.operators.cleaning import fill_salary, member_statistics
-from tidemark.operators.labels import ID, activity_date, prediction_date
+from tidemark.operators.labels import ID, activity_date, by_date, prediction_date, put_labels, put_window_labels
 from tidemark.session import cut_lineage
 from tidemark.settings import Settings
 
@@ -41,30 +42,39 @@ def until(activity: DataFrame, date: str) -> DataFrame:
     return activity.where((F.col("year") <= F.year(day)) & (activity_date() <= day))
 
 
-def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
-    """Totals, means and shape of the feature year per member."""
-    flights, month = F.col("total_flights"), F.col("month")
-    late, early = _sum_when(month >= 7), _sum_when(month <= 6)
-    last = month if settings.recency_basis == "recorded" else F.when(flights > 0, month)
-    base = in_year(activity, settings.feature_year).groupBy(ID).agg(
-        F.sum("total_flights").alias("total_flights"),
-        F.avg("total_flights").alias("avg_flights_per_month"),
-        F.max("total_flights").alias("max_flights_month"),
-        F.coalesce(F.stddev_samp("total_flights"), F.lit(0.0)).alias("flight_std"),
-        F.sum("distance").alias("total_distance"),
-        F.avg("distance").alias("avg_distance_per_month"),
-        F.sum("points_accumulated").alias("total_points_accumulated"),
-        F.sum("points_redeemed").alias("total_points_redeemed"),
-        F.avg("points_accumulated").alias("avg_points_per_month"),
-        F.sum("dollar_cost_points_redeemed").alias("total_dollar_cost_redeemed"),
+def _programme_sums(settings: Settings, inside: Column | None = None) -> list[Column]:
+    """Totals, means and shape per member of the rows that are `inside` (all rows without it)."""
+    def at(x: str) -> Column:
+        return F.col(x) if inside is None else F.when(inside, F.col(x))
+
+    flights, month = at("total_flights"), F.col("month")
+
+    def in_months(condition: Column) -> Column:
+        return F.sum(F.when(condition, flights))
+
+    last = at("month") if settings.recency_basis == "recorded" else F.when(flights > 0, month)
+    return [
+        F.sum(flights).alias("total_flights"),
+        F.avg(flights).alias("avg_flights_per_month"),
+        F.max(flights).alias("max_flights_month"),
+        F.coalesce(F.stddev_samp(flights), F.lit(0.0)).alias("flight_std"),
+        F.sum(at("distance")).alias("total_distance"),
+        F.avg(at("distance")).alias("avg_distance_per_month"),
+        F.sum(at("points_accumulated")).alias("total_points_accumulated"),
+        F.sum(at("points_redeemed")).alias("total_points_redeemed"),
+        F.avg(at("points_accumulated")).alias("avg_points_per_month"),
+        F.sum(at("dollar_cost_points_redeemed")).alias("total_dollar_cost_redeemed"),
         F.count_if(flights > 0).alias("active_months"),
-        F.count("total_flights").alias("months_recorded"),
+        F.count(flights).alias("months_recorded"),
         _zero(F.max(last)).alias("last_active_month"),
         # NULL when a half has no rows, hence 0 for a member seen in one half only
-        _zero(late - early).alias("momentum_h2_minus_h1"),
-        _zero(_sum_when(month >= 10)).alias("q4_flights"),
-        _zero(_sum_when(month <= 3)).alias("q1_flights"),
-    )
+        _zero(in_months(month >= 7) - in_months(month <= 6)).alias("momentum_h2_minus_h1"),
+        _zero(in_months(month >= 10)).alias("q4_flights"),
+        _zero(in_months(month <= 3)).alias("q1_flights"),
+    ]
+
+
+def _programme_rates(base: DataFrame) -> DataFrame:
     earned, burned = F.col("total_points_accumulated"), F.col("total_points_redeemed")
     spread = F.col("flight_std") / (F.col("avg_flights_per_month") + EPSILON)
     return base.withColumns({
@@ -79,6 +89,28 @@ def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
+def activity_features(activity: DataFrame, settings: Settings) -> DataFrame:
+    """Totals, means and shape of the feature year per member."""
+    base = in_year(activity, settings.feature_year).groupBy(ID).agg(*_programme_sums(settings))
+    return _programme_rates(base)
+
+
+def member_history(activity: DataFrame, settings: Settings) -> DataFrame:
+    """`label_year_flights` and the feature year's features per member, from one aggregate over the two years.
+    The features are NULL for a member without rows in the feature year."""
+    feature, label = (F.col("year") == y for y in (settings.feature_year, settings.label_year))
+    base = activity.where(feature | label).groupBy(ID).agg(
+        F.sum(F.when(label, F.col("total_flights"))).alias("label_year_flights"),
+        F.count_if(feature).alias("_rows"),
+        F.struct(*_programme_sums(settings, feature)).alias("_year"),
+    )
+    rated = _programme_rates(base.select(ID, "label_year_flights", "_rows", "_year.*"))
+    measured = [c for c in rated.columns if c not in (ID, "label_year_flights", "_rows")]
+    return rated.select(
+        ID, "label_year_flights", *[F.when(F.col("_rows") > 0, F.col(c)).alias(c) for c in measured]
+    )
+
+
 def encode_members(members: DataFrame, settings: Settings) -> DataFrame:
     """Encoded demographics and tenure: everything that needs the member's own row only."""
     year, month = map(int, settings.prediction_date.split("-")[:2])
@@ -102,12 +134,12 @@ def encode_members(members: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def flag_high_clv(members: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
+def flag_high_clv(members: DataFrame, statistics: DataFrame | Row | None = None) -> DataFrame:
     """`has_high_clv`: above the 75th percentile of all members."""
     if statistics is None:
         statistics = member_statistics(members)
     above = flag(F.col("clv") > F.col("high_clv"))
-    return attach(members, statistics.select("high_clv")).withColumn("has_high_clv", above).drop("high_clv")
+    return attach(members, statistics, ["high_clv"]).withColumn("has_high_clv", above).drop("high_clv")
 
 
 def member_features(members: DataFrame, settings: Settings) -> DataFrame:
@@ -119,7 +151,9 @@ ENGAGEMENT_PARTS = (
 )
 
 
-def engagement_minmax(features: DataFrame, name: str = "engagement_health_score") -> DataFrame:
+def engagement_minmax(
+    features: DataFrame, name: str = "engagement_health_score", spans: DataFrame | Row | None = None
+) -> DataFrame:
     """Mean of five min-max scaled parts, x 100.
 
     Recency is scaled, inverted and scaled again; that equals (max - x) / (max - min), and 0 for
@@ -132,8 +166,11 @@ def engagement_minmax(features: DataFrame, name: str = "engagement_health_score"
         return minmax(F.col(c), low, high)
 
     mean = sum((scaled(c) for c in ENGAGEMENT_PARTS[1:]), scaled(ENGAGEMENT_PARTS[0])) / 5
-    scored = attach(features, ranges(features, ENGAGEMENT_PARTS)).withColumn(name, F.round(mean * 100, 1))
-    return scored.drop(*[f"{c}__{edge}" for c in ENGAGEMENT_PARTS for edge in ("min", "max")])
+    if spans is None:
+        spans = ranges(features, ENGAGEMENT_PARTS)
+    edges = [f"{c}__{edge}" for c in ENGAGEMENT_PARTS for edge in ("min", "max")]
+    scored = attach(features, spans, edges).withColumn(name, F.round(mean * 100, 1))
+    return scored.drop(*edges)
 
 
 def engagement_weighted(features: DataFrame, name: str = "engagement_health_score") -> DataFrame:
@@ -160,19 +197,28 @@ def engagement_additive(features: DataFrame, name: str = "engagement_score") ->
     return features.withColumn(name, clip(score, 0, 100))
 
 
-def feature_matrix(labelled: DataFrame, activity: DataFrame, settings: Settings) -> DataFrame:
-    """One row per member: labels, demographics, activity features (0 where the year is empty)
-    and the engagement score.
+def _matrix(joined: DataFrame, settings: Settings, measured: Sequence[str]) -> DataFrame:
+    """Members joined with their features, 0 where the year is empty. The joined table is the only one written; the figures over
+    all members are taken from it, so what follows is a scan and a projection."""
+    encoded = encode_members(cut_lineage(joined.fillna(0, subset=list(measured))), settings)
+    figures = attach(ranges(encoded, ENGAGEMENT_PARTS), member_statistics(encoded)).first()
+    return flag_high_clv(fill_salary(engagement_minmax(encoded, spans=figures), figures), figures)
 
-    The raw tables are read once: their join is written, and the figures over all members
-    (salary median, CLV quantile, ranges of the score's parts) are taken from that table.
-    """
+
+def feature_matrix(labelled: DataFrame, activity: DataFrame, settings: Settings) -> DataFrame:
+    """One row per member: labels as they are, demographics, activity features (0 where the year is empty)
+    and the engagement score."""
     behaviour = activity_features(activity, settings)
-    measured = [c for c in behaviour.columns if c != ID]
-    joined = cut_lineage(labelled.join(behaviour, ID, "left").fillna(0, subset=measured))
-    scored = engagement_minmax(encode_members(joined, settings))
-    statistics = member_statistics(joined)
-    return flag_high_clv(fill_salary(scored, statistics), statistics)
+    return _matrix(labelled.join(behaviour, ID, "left"), settings, [c for c in behaviour.columns if c != ID])
+
+
+def labelled_matrix(members: DataFrame, activity: DataFrame, settings: Settings) -> DataFrame:
+    """The feature matrix with its churn labels, from one pass over activity."""
+    history = member_history(activity, settings)
+    measured = [c for c in history.columns if c not in (ID, "label_year_flights")]
+    labelled = put_labels(members.join(history, ID, "left"), settings)
+    order = [*members.columns, "hard_churn", "label_year_flights", "activity_churn", "churned", *measured]
+    return _matrix(labelled.select(*order), settings, measured)
 
 
 # --- features up to a date: recency, momentum, volatility, season, points, trajectory -----------
@@ -242,13 +288,10 @@ def trailing_matrix(labelled: DataFrame, activity: DataFrame, date: str, label:
 # --- features over all records, measured from a date -----------------------------------------------
 
 
-def record_features(activity: DataFrame, years: tuple[int, int], date: str | None = None) -> DataFrame:
-    """Totals over every row given (pass `until(...)` to keep later rows out). Without a date,
-    recency counts from three months before the last record."""
-    at = activity_date()
+def _record_sums(years: tuple[int, int]) -> list[Column]:
     month = F.col("month")
     first_year, second_year = years
-    base = activity.groupBy(ID).agg(
+    return [
         F.sum("total_flights").alias("total_flights"),
         F.sum("distance").alias("total_distance"),
         F.count(F.lit(1)).alias("active_months"),
@@ -257,15 +300,15 @@ def record_features(activity: DataFrame, years: tuple[int, int], date: str | Non
         F.coalesce(F.stddev_samp("total_flights"), F.lit(0.0)).alias("flight_std"),
         F.sum("points_accumulated").alias("total_points_accumulated"),
         F.sum("points_redeemed").alias("total_points_redeemed"),
-        F.max(at).alias("_last"),
+        F.max(activity_date()).alias("_last"),
         (_zero(_sum_when(F.col("year") == second_year)) - _zero(_sum_when(F.col("year") == first_year)))
         .alias("momentum_h2_minus_h1"),
         _zero(_sum_when(month.isin(10, 11, 12))).alias("q4_flights"),
-    )
-    if date is None:
-        base = attach(base, prediction_date(activity).select(F.col("prediction_date").alias("_date")))
-    else:
-        base = base.withColumn("_date", F.lit(date).cast("date"))
+    ]
+
+
+def _record_rates(base: DataFrame) -> DataFrame:
+    """Rates of the sums, measured from `_date`."""
     months = at_least(F.col("active_months"), 1)
     earned, burned = F.col("total_points_accumulated"), F.col("total_points_redeemed")
     mean = F.col("avg_flights_per_month")
@@ -287,6 +330,47 @@ def record_features(activity: DataFrame, years: tuple[int, int], date: str | Non
     )
 
 
+def record_features(activity: DataFrame, years: tuple[int, int], date: str | None = None) -> DataFrame:
+    """Totals over every row given (pass `until(...)` to keep later rows out). Without a date,
+    recency counts from three months before the last record."""
+    base = activity.groupBy(ID).agg(*_record_sums(years))
+    if date is None:
+        base = attach(base, prediction_date(activity).select(F.col("prediction_date").alias("_date")))
+    else:
+        base = base.withColumn("_date", F.lit(date).cast("date"))
+    return _record_rates(base)
+
+
+def record_matrix(
+    members: DataFrame, activity: DataFrame, settings: Settings, date: str | None = None, rates: tuple[float, float] = (0.02, 0.90)
+) -> DataFrame:
+    """One row per member, seen or not: demographics, the features over all records (0 without records), the record
+    window label `churn` and the weighted engagement score. Without a date the day is three months before the last record.
+
+    One aggregate gives the features and the last record by the date. A label rate outside `rates` puts the fallback
+    label in its place (last record over six months before the data end, or a cancellation).
+    """
+    ends = prediction_date(activity).first()
+    day = date or str(ends["prediction_date"])
+    base = activity.groupBy(ID).agg(
+        *_record_sums((settings.feature_year, settings.label_year)),
+        F.max(F.when(by_date(day), activity_date())).alias("last_activity_date"),
+    ).withColumns({"_date": F.lit(day).cast("date"), "_recorded": F.col("_last")})
+    history = _record_rates(base)
+    joined = put_window_labels(members.join(history, ID, "left"), day)
+    end = F.add_months(F.lit(str(ends["last_date"])).cast("date"), -6)
+    fallback = F.greatest(flag(F.col("_recorded").isNull() | (F.col("_recorded") < end)), F.col("hard_churn"))
+    measured = [c for c in history.columns if c not in (ID, "last_activity_date", "_recorded")]
+    whole = cut_lineage(
+        joined.withColumn("_fallback", fallback).drop("_recorded").fillna(0, subset=measured)
+    )
+    figures = attach(whole.agg(F.avg("churn").alias("rate")), member_statistics(whole)).first()
+    usable = figures["rate"] is not None and rates[0] <= figures["rate"] <= rates[1]
+    chosen = whole if usable else whole.withColumn("churn", F.col("_fallback"))
+    encoded = encode_members(chosen.drop("_fallback"), replace(settings, prediction_date=day, ignore_case=True))
+    return engagement_weighted(flag_high_clv(fill_salary(encoded, figures), figures))
+
+
 def feature_means(features: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     """`feature_group, feature, mean`, one aggregate for all groups."""
     listed = [(g, c) for g, columns in groups.items() for c in columns if c in features.columns]

@@ -48,8 +48,13 @@ def churn_labels(members: DataFrame, activity: DataFrame, settings: Settings) ->
         .groupBy(ID)
         .agg(F.sum("total_flights").alias("label_year_flights"))
     )
+    return put_labels(members.join(flown, ID, "left"), settings)
+
+
+def put_labels(members: DataFrame, settings: Settings) -> DataFrame:
+    """The labels of members whose `label_year_flights` is there, NULL without rows."""
     return (
-        members.join(flown, ID, "left")
+        members
         .withColumns({
             "hard_churn": hard_churn(settings.hard_churn_year),
             "label_year_flights": F.coalesce("label_year_flights", F.lit(0)),
@@ -83,6 +88,11 @@ def record_window_labels(
     """Churn by the age of the last record at `date`, or by having none; `churn` joins the
     `combine_months` window with any cancellation. `cutoff_filter=False` reads later rows too."""
     last = last_activity(activity, date if cutoff_filter else None, active_only)
+    return put_window_labels(members.join(last, ID, "left"), date, months, combine_months)
+
+
+def put_window_labels(members: DataFrame, date: str, months: tuple[int, ...] = (6, 12), combine_months: int = 6) -> DataFrame:
+    """The same labels of members whose `last_activity_date` is there, NULL without records."""
     cutoff = {m: F.add_months(F.lit(date).cast("date"), -m) for m in {*months, combine_months}}
     silent = {
         f"activity_churn_{m}m": flag(
@@ -91,7 +101,7 @@ def record_window_labels(
         for m in cutoff
     }
     return (
-        members.join(last, ID, "left")
+        members
         .withColumns({"hard_churn": hard_churn(None), **silent})
         .withColumn("churn", F.greatest("hard_churn", f"activity_churn_{combine_months}m"))
     )

@@ -14,7 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import attach, size_checked
+from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import quantile_row, quantiles
 from tidemark.functions.stats import moments
 from tidemark.operators.evaluation import evaluate
@@ -84,7 +84,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add `is_test`: the same share of each class to the row, without sorting a class."""
     cuts = _strata_cuts(df, label, id_column, seed, [test_share])
-    joined = df.join(size_checked(cuts), F.col(label) == F.col("_stratum"))
+    joined = df.join(cuts, F.col(label) == F.col("_stratum"))
     inside = uniform(id_column, seed) <= F.col("_cuts")[0]
     return joined.withColumn("is_test", inside.cast("int")).drop("_stratum", "_cuts")
 
@@ -95,7 +95,7 @@ def stratified_folds(
     """Add `fold` 0..folds-1 with the classes spread evenly."""
     shares = [i / folds for i in range(1, folds)]
     cuts = _strata_cuts(df, label, id_column, seed + 1, shares)
-    joined = df.join(size_checked(cuts), F.col(label) == F.col("_stratum"))
+    joined = df.join(cuts, F.col(label) == F.col("_stratum"))
     u = uniform(id_column, seed + 1)
     number = F.size(F.filter("_cuts", lambda c: c < u))
     return joined.withColumn("fold", number.cast("int")).drop("_stratum", "_cuts")

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import clip, lookup
 from tidemark.operators import features, labels, retention
-from tidemark.session import cut_lineage
 from tidemark.settings import Settings
 from tidemark.sources import testbed
 
@@ -50,10 +49,8 @@ class Bed:
     @cached_property
     def features(self) -> DataFrame:
         s = self.settings
-        # derived from orders here, a stored table otherwise: derive it once for labels and features
-        staged = cut_lineage(testbed.activity(self.spark, self.folder, (s.feature_year, s.label_year)))
-        labelled = labels.churn_labels(self.members, staged, s)
-        return features.feature_matrix(labelled, staged, s)
+        recorded = testbed.activity(self.spark, self.folder, (s.feature_year, s.label_year))
+        return features.labelled_matrix(self.members, recorded, s)
 
     def _score(self, names: list[str]) -> DataFrame:
         risk = F.round(clip(1 - F.col("engagement_health_score") / 100, 0, 1), 4)

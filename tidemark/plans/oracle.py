@@ -360,6 +360,27 @@ CTES = {
                    1 - {clip("flight_std / greatest(total_flights / greatest(active_months, 1), 0.01)", "0", "1")}
                    ELSE 0 END AS flight_consistency
         FROM record_totals r, data_end d""",
+    "record_seen": f"""
+        SELECT loyalty_number, max({AT}) FILTER ({AT} <= CAST(d.prediction_date AS DATE)) AS last_activity_date,
+               max({AT}) AS recorded FROM activity, data_end d GROUP BY 1""",
+    "record_windows": f"""
+        SELECT m.*, s.last_activity_date, {flag("cancellation_year IS NOT NULL")} AS hard_churn,
+               {flag("s.last_activity_date IS NULL OR s.last_activity_date < CAST(d.prediction_date AS DATE) - INTERVAL 6 MONTH")}
+                   AS activity_churn_6m,
+               {flag("s.last_activity_date IS NULL OR s.last_activity_date < CAST(d.prediction_date AS DATE) - INTERVAL 12 MONTH")}
+                   AS activity_churn_12m,
+               {flag("cancellation_year IS NOT NULL OR recorded IS NULL OR recorded < (SELECT max(make_date(year, month, 1)) FROM activity) - INTERVAL 6 MONTH")}
+                   AS fallback,
+               greatest(year(CAST(d.prediction_date AS DATE)) * 12 + month(CAST(d.prediction_date AS DATE))
+                        - (enrollment_year * 12 + enrollment_month), 0) AS tenure
+        FROM member m LEFT JOIN record_seen s USING (loyalty_number), data_end d""",
+    "record_matrix_rows": f"""
+        SELECT w.* EXCLUDE (salary, tenure, fallback), s.salary, s.salary_missing, w.tenure AS tenure_months,
+               e.* EXCLUDE (loyalty_number, tenure_months), COALESCE(COLUMNS(r.* EXCLUDE (loyalty_number)), 0),
+               CASE WHEN (SELECT avg(greatest(hard_churn, activity_churn_6m)) FROM record_windows) BETWEEN 0.02 AND 0.9
+                    THEN greatest(hard_churn, activity_churn_6m) ELSE fallback END AS churn
+        FROM record_windows w JOIN salary_filled s USING (loyalty_number) JOIN member_encoded e USING (loyalty_number)
+        LEFT JOIN record_rates r USING (loyalty_number)""",
     "grouped_profiles": """
         SELECT loyalty_number % 7 AS segment_id, count(*) AS size, avg(clv) AS clv, avg(recency_months * 30) AS recency,
                avg(active_month_ratio) AS engagement, avg(redemption_rate) AS redemption,
@@ -729,6 +750,16 @@ _SELECTS = {
         "cancellation_month", "label_year_flights", "hard_churn", "activity_churn", "churned", "salary_missing",
         *_ENCODED, *_WHOLE)}, province, gender, education, marital_status, loyalty_card, enrollment_type,
         {nums("salary", "clv", "clv_log", *_REAL, "engagement_health_score")} FROM features""",
+    "record_matrix": f"""SELECT {ints("loyalty_number", "enrollment_year", "enrollment_month", "cancellation_year",
+        "cancellation_month", "hard_churn", "activity_churn_6m", "activity_churn_12m", "churn", "salary_missing", *_ENCODED,
+        "total_flights", "active_months", "months_recorded", "max_flights_month", "momentum_h2_minus_h1", "q4_flights",
+        "last_active_month")}, CAST(last_activity_date AS VARCHAR) AS last_activity_date, province, gender, education,
+        marital_status, loyalty_card, enrollment_type,
+        {nums("salary", "clv", "clv_log", "total_distance", "flight_std", "total_points_accumulated", "total_points_redeemed",
+        "avg_flights_per_month", "avg_distance_per_month", "active_month_ratio", "avg_points_per_month",
+        "redemption_rate", "points_balance", "recency_months", "flight_consistency")},
+        {num('''least(greatest(25 * ((1 - least(greatest(recency_months, 0), 24) / 24) + least(active_month_ratio, 1)
+        + flight_consistency + redemption_rate), 0), 100)''', "engagement_health_score")} FROM record_matrix_rows""",
     "trailing_matrix": f"""SELECT {ints("loyalty_number", "recency_days", "total_flights", "active_months", "flights_3m",
         "flights_6m", "trend_direction", "flights_ly", "flights_py", "churn")}, {nums("std_flights", "total_earned",
         "total_redeemed", "avg_flights_mo", "momentum_ratio", "cv_flights", "summer_ratio", "holiday_ratio",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import stats
-from tidemark.operators import cleaning, features, labels, models, reports, retention, segments
+from tidemark.operators import cleaning, features, models, reports, retention, segments
 from tidemark.plans.training import ID, Trainer
 from tidemark.session import cut_lineage
 from tidemark.settings import Settings
@@ -68,8 +68,7 @@ def run(
     model_settings = model_settings or models.ModelSettings(seed=settings.seed)
     members, activity = clean_inputs(members, activity, order_by)
 
-    labelled = labels.churn_labels(members, activity, settings)
-    table = cut_lineage(features.feature_matrix(labelled, activity, settings))
+    table = features.labelled_matrix(members, activity, settings)
     named, k_table = segment(table, ks, restarts, settings.seed)
 
     trainer = Trainer(table, model_settings, settings.seed, settings.test_share)

@@ -508,6 +508,11 @@ def feature_matrix(b: Bed) -> DataFrame:
     return tidy(b.features.drop("last_activity_date"))
 
 
+@query
+def record_matrix(b: Bed) -> DataFrame:
+    return tidy(features.record_matrix(b.members, b.activity, b.settings))
+
+
 @query
 def trailing_matrix(b: Bed) -> DataFrame:
     return tidy(features.trailing_matrix(_windowed(b), b.activity, b.settings.prediction_date))
