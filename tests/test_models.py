@@ -1,10 +1,12 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tidemark.operators import balance, evaluation, models, segments
+from tidemark.operators import balance, evaluation, kmeans, models, segments
 from tidemark.plans import pipeline
 from tidemark.plans.bed import Bed
 
@@ -136,13 +138,49 @@ def test_clusters_of_planted_groups(spark):
     rows = [(i, float(i % 4) * 10 + (i % 7) * 0.01, float(i % 4 == 1)) for i in range(200)]
     df = spark.createDataFrame(rows, "loyalty_number long, a double, b double")
     vectors = segments.assemble(df, ["a", "b"])
-    tried = segments.try_k(vectors, [2, 4], restarts=3)
-    assert segments.best_k(tried).k == 4
+    tried = kmeans.try_k(vectors, [2, 4], restarts=3)
+    assert kmeans.best_k(tried).k == 4
     assert tried[0].inertia > tried[1].inertia
+    found = vectors.withColumn("id", kmeans.nearest(F.col("vector"), tried[1].centres)).groupBy("id").count()
+    assert sorted(r["count"] for r in found.collect()) == [50, 50, 50, 50]
     projected, explained = segments.principal_components(df, ["a", "b"], ["loyalty_number"])
     assert projected.count() == 200 and sum(explained) == pytest.approx(1.0)
 
 
+def test_kmeans_against_the_library(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in draw.normal(size=3) + 3 * (i % 5)]) for i in range(600)] + [(900, [0.0, 0.0, 0.0])] * 40
+    df = spark.createDataFrame(rows, "loyalty_number long, vector array<double>")
+    tried = kmeans.try_k(df, [3, 5], restarts=4)
+    for c in tried:
+        vectors = df.select(array_to_vector("vector").alias("features"))
+        library = min(KMeans(k=c.k, seed=s).fit(vectors).summary.trainingCost for s in range(4))
+        assert c.inertia <= library * 1.02
+        placed = df.select(array_to_vector("vector").alias("features"), kmeans.nearest(F.col("vector"), c.centres).alias("prediction"))
+        assert c.silhouette == pytest.approx(ClusteringEvaluator().evaluate(placed), abs=1e-9)
+
+
+def test_kmeans_with_more_centres_than_points(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],), ([4.0, 2.0],)], "vector array<double>")
+    tried = kmeans.try_k(df, [2, 4], restarts=2)
+    assert [round(c.inertia, 9) for c in tried] == [0.0, 0.0]
+    with pytest.raises(ValueError):
+        kmeans.try_k(df.limit(0), [2])
+
+
+def test_components_have_a_fixed_sign(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 3)) @ np.array([[2.0, 0.3, 0.1], [0.0, 1.0, 0.2], [0.0, 0.0, 0.4]])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "loyalty_number long, a double, b double, c double")
+    projected, explained = segments.principal_components(df, ["a", "b", "c"], ["loyalty_number"])
+    values, vectors = np.linalg.eigh(np.cov(x.T, bias=True))
+    for i in (0, 1):
+        v = vectors[:, 2 - i] * np.sign(vectors[np.abs(vectors[:, 2 - i]).argmax(), 2 - i])
+        want = (x - x.mean(axis=0)) @ v
+        got = [r[f"pc{i + 1}"] for r in projected.orderBy("loyalty_number").collect()]
+        assert np.allclose(got, want) and explained[i] == pytest.approx(values[2 - i] / values.sum())
+
+
 def test_whole_run(spark, tmp_path):
     bed = Bed(spark, "/root/testdata/sf0.001")
     result = pipeline.run(

@@ -3,23 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import percent_rank_mean
-from tidemark.functions.stats import moments
+from tidemark.functions.stats import minmax, ranges
 from tidemark.operators import offers as dims
 from tidemark.session import cut_lineage
 
+# The columns that each of the three published variants clusters by.
 PROGRAMME_FEATURES = [
     "avg_flights_per_month", "recency_months", "active_month_ratio", "redemption_rate", "clv_log",
     "tier_numeric", "tenure_months", "engagement_health_score", "momentum_h2_minus_h1",
@@ -45,75 +40,22 @@ ACTIVE_FLIGHTS = 0.5
 # --- clustering ---------------------------------------------------------------------------------
 
 
-def assemble(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Vectors for the iterative fits, cut from the plan that made them."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="vector").transform(scaled)
-    return cut_lineage(vectors)
-
-
-# independent fits submitted at a time; their small jobs fill the gaps of one another
-PARALLEL_FITS = 4
-
-
-def _best_starts(
-    vectors: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int = 300
-) -> dict[int, KMeansModel]:
-    """Per k, the best of several seeded starts by within-cluster cost. All starts of all k share one pool
-    and one persisted copy of the vectors."""
-    def start(task: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, i = task
-        means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector", predictionCol="segment_id")
-        return k, means.fit(vectors)
-
-    with ThreadPool(PARALLEL_FITS) as pool:
-        made = pool.map(start, [(k, i) for k in ks for i in range(restarts)], chunksize=1)
-    return {k: min((m for n, m in made if n == k), key=lambda m: m.summary.trainingCost) for k in ks}
-
-
-def fit_kmeans(
-    vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300
-) -> KMeansModel:
-    """Best of several seeded starts by within-cluster cost."""
-    held = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _best_starts(held, [k], restarts, seed, max_iter)[k]
-    finally:
-        held.unpersist()
+def point(df: DataFrame, features: Sequence[str]) -> tuple[Column, Row]:
+    """The min-max scaled features as one array, absent ones as 0, and the ranges they are scaled by."""
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    spans = ranges(filled, features).first()
 
+    def scaled(c: str) -> Column:
+        low, high = (F.lit(spans[f"{c}__{edge}"]).cast("double") for edge in ("min", "max"))
+        return minmax(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), low, high)
 
-@dataclass(frozen=True)
-class KChoice:
-    k: int
-    inertia: float
-    silhouette: float
-    model: KMeansModel
+    return F.array(*[scaled(c) for c in features]), spans
 
 
-def try_k(vectors: DataFrame, ks: Sequence[int], restarts: int = 10, seed: int = 42) -> list[KChoice]:
-    """Inertia and silhouette per k. The evaluator sums over partitions, so no sample is taken."""
-    held = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = _best_starts(held, ks, restarts, seed)
-
-        def judged(k: int) -> KChoice:
-            judge = ClusteringEvaluator(featuresCol="vector", predictionCol="segment_id")
-            score = judge.evaluate(fitted[k].transform(held))
-            return KChoice(k, float(fitted[k].summary.trainingCost), float(score), fitted[k])
-
-        with ThreadPool(PARALLEL_FITS) as pool:
-            return pool.map(judged, ks)
-    finally:
-        held.unpersist()
-
-
-def best_k(tried: Sequence[KChoice]) -> KChoice:
-    """Highest silhouette, the smaller k on a tie."""
-    return max(tried, key=lambda c: (c.silhouette, -c.k))
-
-
-def elbow_table(tried: Sequence[KChoice], vectors: DataFrame) -> DataFrame:
-    rows = [(c.k, c.inertia, c.silhouette) for c in tried]
-    return dims.literal_table(vectors.sparkSession, rows, "k int, inertia double, silhouette double")
+def assemble(df: DataFrame, features: Sequence[str], vector: Column | None = None) -> DataFrame:
+    """`vector`, an array of the features, for the iterative fits; cut from the plan that made it."""
+    array = F.array(*[F.col(c).cast("double") for c in features]) if vector is None else vector
+    return cut_lineage(df.select(array.alias("vector")))
 
 
 def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: DataFrame) -> DataFrame:
@@ -141,14 +83,30 @@ def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: DataFram
 
 
 def principal_components(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> tuple[DataFrame, list[float]]:
-    """First two components of the standardised features, and the variance they explain."""
-    stats = attach(df, moments(df, features))
-    centred = stats.select(*keep, *[(F.col(c) - F.col(f"{c}__mean")).alias(c) for c in features])
-    vectors = VectorAssembler(inputCols=list(features), outputCol="vector").transform(centred)
-    model = PCA(k=2, inputCol="vector", outputCol="components").fit(vectors)
-    xy = vector_to_array("components")
-    projected = model.transform(vectors).select(*keep, xy[0].alias("pc1"), xy[1].alias("pc2"))
-    return projected, [float(v) for v in model.explainedVariance]
+    """First two components of the features, and the shares of variance they explain.
+
+    Means and covariances are one aggregate; the d x d matrix alone is decomposed on the driver. A component's largest
+    loading is positive, so its sign does not depend on the library.
+    """
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
+    sums = df.agg(
+        *[F.avg(c).alias(f"{c}__mean") for c in features], *[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs]
+    ).first()
+    order = {c: i for i, c in enumerate(features)}
+    matrix = np.zeros((len(features), len(features)))
+    for a, b in pairs:
+        matrix[order[a], order[b]] = matrix[order[b], order[a]] = sums[f"{a}__{b}"] or 0.0
+    values, vectors = np.linalg.eigh(matrix)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    total = float(values.sum()) or 1.0
+
+    def projected(i: int) -> Column:
+        loads = vectors[:, i] * np.sign(vectors[np.abs(vectors[:, i]).argmax(), i])
+        terms = [(F.col(c) - F.lit(sums[f"{c}__mean"])) * F.lit(float(w)) for c, w in zip(features, loads)]
+        return sum(terms, F.lit(0.0))
+
+    shares = [float(v) / total for v in values[:2]]
+    return df.select(*keep, projected(0).alias("pc1"), projected(1).alias("pc2")), shares
 
 
 # --- profiles -----------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import stats
-from tidemark.operators import balance, models, offers, reports, retention, segments
+from tidemark.operators import balance, kmeans, models, offers, reports, retention, segments
 from tidemark.plans import training
 from tidemark.plans.bed import Bed, tidy
 from tidemark.plans.queries import ID, query
@@ -78,25 +78,21 @@ def model_roundtrip(b: Bed) -> DataFrame:
 # --- segments ---------------------------------------------------------------------------------------
 
 
-def _vectors(b: Bed) -> DataFrame:
-    chosen = segments.PROGRAMME_FEATURES
-    return segments.assemble(stats.minmax_scale(b.features.select(ID, *chosen), chosen), chosen)
-
-
 @query
 def kmeans_segments(b: Bed) -> DataFrame:
-    vectors = _vectors(b)
-    model = segments.fit_kmeans(vectors, 4, seed=b.settings.seed)
-    assigned = model.transform(vectors).select(ID, "segment_id")
-    whole = b.features.join(assigned, ID)
-    names = segments.names_by_rank(segments.programme_profiles(whole))
-    return tidy(segments.put_names(assigned, names), ID, "segment_id", "segment_name")
+    vector, _ = segments.point(b.features, segments.PROGRAMME_FEATURES)
+    vectors = segments.assemble(b.features, segments.PROGRAMME_FEATURES, vector)
+    centres = kmeans.fit(vectors, [4], seed=b.settings.seed)[4]
+    placed = b.features.withColumn("segment_id", kmeans.nearest(vector, centres))
+    names = segments.names_by_rank(segments.programme_profiles(placed))
+    return tidy(segments.put_names(placed, names), ID, "segment_id", "segment_name")
 
 
 def _tried(b: Bed) -> tuple[list, DataFrame]:
     def make() -> tuple[list, DataFrame]:
-        vectors = _vectors(b)
-        return segments.try_k(vectors, range(4, 9), seed=b.settings.seed), vectors
+        vector, _ = segments.point(b.features, segments.PROGRAMME_FEATURES)
+        vectors = segments.assemble(b.features, segments.PROGRAMME_FEATURES, vector)
+        return kmeans.try_k(vectors, range(4, 9), seed=b.settings.seed), vectors
 
     return _shared(b, _TRIED, make)
 
@@ -104,13 +100,40 @@ def _tried(b: Bed) -> tuple[list, DataFrame]:
 @query
 def k_selection(b: Bed) -> DataFrame:
     tried, vectors = _tried(b)
-    return segments.elbow_table([segments.best_k(tried)], vectors)
+    return kmeans.elbow_table([kmeans.best_k(tried)], vectors)
 
 
 @query
 def elbow_table(b: Bed) -> DataFrame:
     tried, vectors = _tried(b)
-    return segments.elbow_table(tried, vectors)
+    return kmeans.elbow_table(tried, vectors)
+
+
+@query
+def cluster_optimality(b: Bed) -> DataFrame:
+    """Per k, whether the reported fit is one: every cluster has members and its centre is their mean, the inertia is the sum of the squared
+    distances to the nearest centre, no larger k costs more, and the silhouette lies in its range."""
+    tried, vectors = _tried(b)
+    out = None
+    for before, c in zip([None, *tried], tried):
+        gap = F.array_min(F.array(*kmeans.gaps(F.col("vector"), c.centres)))
+        at = kmeans.nearest(F.col("vector"), c.centres)
+        placed = vectors.select("vector", gap.alias("gap"), at.alias("id"))
+        means = placed.groupBy("id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("gap").alias("cost"),
+            *[F.avg(F.col("vector")[j]).alias(f"x{j}") for j in range(c.centres.shape[1])],
+        )
+        centre = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in c.centres])[F.col("id")]
+        off = F.array_max(F.array(*[F.abs(F.col(f"x{j}") - centre[j]) for j in range(c.centres.shape[1])]))
+        falls = before is None or c.inertia <= before.inertia * 1.0001
+        row = means.agg(
+            F.lit(c.k).alias("k"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("clusters"),
+            (F.max(off) < 0.02).cast("int").alias("centres_are_means"),
+            (F.abs(F.sum("cost") - c.inertia) < 1e-6 * c.inertia).cast("int").alias("inertia_agrees"),
+            F.lit(int(falls)).alias("inertia_falls"), F.lit(int(-1 <= c.silhouette <= 1)).alias("silhouette_fits"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return tidy(out)
 
 
 @query
@@ -118,7 +141,7 @@ def pca_projection(b: Bed) -> DataFrame:
     chosen = segments.PROGRAMME_FEATURES
     scaled = cut_lineage(stats.standard_scale(b.features.select(ID, *chosen), chosen))
     projected, explained = segments.principal_components(scaled, chosen, [ID])
-    return projected.withColumns({f"explained_{i + 1}": F.lit(v) for i, v in enumerate(explained)})
+    return tidy(projected.withColumns({f"explained_{i + 1}": F.lit(v) for i, v in enumerate(explained)}))
 
 
 # --- models -----------------------------------------------------------------------------------------

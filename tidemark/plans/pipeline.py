@@ -9,8 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import stats
-from tidemark.operators import cleaning, features, models, reports, retention, segments
+from tidemark.operators import cleaning, features, kmeans, models, reports, retention, segments
 from tidemark.plans.training import ID, Trainer
 from tidemark.session import cut_lineage
 from tidemark.settings import Settings
@@ -47,16 +46,15 @@ def clean_inputs(
 
 
 def segment(table: DataFrame, ks: Sequence[int], restarts: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """`loyalty_number, segment_id, segment_name`, and the table of tried k."""
+    """The table with `segment_id` and `segment_name`, and the table of tried k. The segment is an expression over the
+    member's own row, so nothing is joined but the names."""
     chosen = segments.PROGRAMME_FEATURES
-    scaled = stats.minmax_scale(table.select(ID, *chosen).fillna(0, subset=chosen), chosen)
-    vectors = segments.assemble(scaled, chosen)
-    tried = segments.try_k(vectors, ks, restarts, seed)
-    assigned = segments.best_k(tried).model.transform(vectors).select(ID, "segment_id")
-    placed = cut_lineage(assigned)
-    profiles = segments.programme_profiles(table.join(placed, ID))
-    named = segments.put_names(placed, segments.names_by_rank(profiles))
-    return named, segments.elbow_table(tried, vectors)
+    vector, _ = segments.point(table, chosen)
+    vectors = segments.assemble(table, chosen, vector)
+    tried = kmeans.try_k(vectors, ks, restarts, seed)
+    placed = table.withColumn("segment_id", kmeans.nearest(vector, kmeans.best_k(tried).centres))
+    names = cut_lineage(segments.names_by_rank(segments.programme_profiles(placed)))
+    return segments.put_names(placed, names), kmeans.elbow_table(tried, vectors)
 
 
 def run(
@@ -78,8 +76,7 @@ def run(
     validated = {n: trainer.cross_validate(n, folds) for n in (models.LOGISTIC, models.BOOSTED)} if folds else {}
     production = models.choose_model(rows)
 
-    probability = models.score(fitted[production], table, models.PROGRAMME_FEATURES).select(ID, "churn_probability")
-    whole = table.join(probability, ID).join(named, ID)
+    whole = models.score(fitted[production], named, models.PROGRAMME_FEATURES)
     scored = cut_lineage(retention.programme_actions(retention.score_revenue(whole, settings)))
     by_model = {r[0]: r for r in rows}
     summary = reports.summary_document(scored, {
