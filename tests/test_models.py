@@ -3,12 +3,13 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import balance, evaluation, kmeans, models, segments
+from tidemark.operators import balance, evaluation, kmeans, models, segments, trees
 from tidemark.plans import pipeline
 from tidemark.plans.bed import Bed
+from tidemark.plans.training import Trainer
 
 QUICK = models.ModelSettings(forest_trees=8, forest_depth=4, boosted_trees=5, boosted_depth=3, max_iter=50)
 
@@ -54,7 +55,7 @@ def test_models_find_the_signal_and_survive_saving(spark, tmp_path):
     train = models.with_class_weight(parts["train"], "label").cache()
     prepared = models.fit_preparation(train, FEATURES)
     for learner in (models.logistic(train.count(), QUICK), models.forest(QUICK), models.boosted(QUICK)):
-        model = models.fit(learner, prepared, train)
+        model = models.fit(learner, prepared, models.learning_table(prepared, train, FEATURES, QUICK))
         scored = models.score(model, parts["test"], FEATURES, "probability")
         auc = evaluation.roc_auc(scored).first()["roc_auc"]
         assert auc > 0.75
@@ -66,8 +67,68 @@ def test_models_find_the_signal_and_survive_saving(spark, tmp_path):
     model.write().save(path)
     loaded = models.score(PipelineModel.load(path), parts["test"], FEATURES, "probability")
     assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, scored.collect()))
-    mean, deviation = models.cross_validate(models.logistic(960, QUICK), prepared, train, folds=3)
-    assert mean > 0.75 and deviation < 0.2
+    for balancing in (models.WEIGHTS, models.SYNTHETIC):
+        learner = models.logistic(960, QUICK)
+        mean, deviation = models.cross_validate(learner, prepared, train, FEATURES, QUICK, folds=3, balancing=balancing)
+        assert mean > 0.75 and deviation < 0.2
+
+
+def trained(spark, balancing=models.WEIGHTS, settings=QUICK):
+    features = planted(spark).withColumnRenamed("label", "churned")
+    return Trainer(features, settings, columns=FEATURES, balancing=balancing)
+
+
+def test_tree_table_gives_the_scores_and_importances(spark):
+    t = trained(spark)
+    for name, depth in ((models.FOREST, QUICK.forest_depth), (models.BOOSTED, QUICK.boosted_depth)):
+        model = t.fit(name)
+        nodes = trees.tree_table(spark, model.stages[-1], FEATURES)
+        leaves = nodes.where("feature IS NULL").agg(F.count(F.lit(1)), F.count("left"), F.count("threshold")).first()
+        assert leaves[0] > 0 and leaves[1:] == (0, 0)
+        ready = t.prepared.transform(t.test).withColumn("x", vector_to_array("features"))
+        walked = {r[0]: r[1] for r in trees.walk(ready, nodes, "x", ["loyalty_number"], depth).select(
+            "loyalty_number", trees.probability(F.col("total"), name == models.BOOSTED)).collect()}
+        for r in t.scored_test(model).collect():
+            assert walked[r["loyalty_number"]] == pytest.approx(r["probability"], abs=1e-12)
+        own = {r["feature"]: r["importance"] for r in trees.importances(nodes, name == models.FOREST).collect()}
+        for f, v in zip(FEATURES, model.stages[-1].featureImportances.toArray()):
+            assert own.get(f, 0.0) == pytest.approx(v, abs=1e-12)
+
+
+def test_the_gradient_shows_the_optimum(spark):
+    t = trained(spark)
+    model = t.fit(models.LOGISTIC)
+    at_best = models.logistic_gradient(model, t.weighted, FEATURES).collect()
+    assert {r["feature"] for r in at_best} == {*FEATURES, "intercept"} and all(abs(r["gradient"]) < 1e-4 for r in at_best)
+    early = models.fit(models.logistic(960, models.ModelSettings(max_iter=1)), t.prepared, t.weighted)
+    assert any(abs(r["gradient"]) > 1e-4 for r in models.logistic_gradient(early, t.weighted, FEATURES).collect())
+
+
+def test_synthetic_rows_come_from_the_training_part_alone(spark):
+    t = trained(spark, models.SYNTHETIC)
+    sizes = {(r["label"], r["synthetic"]): r["count"] for r in t.balanced.groupBy("label", "synthetic").count().collect()}
+    assert sizes == {(0.0, 0): 720, (1.0, 0): 240, (1.0, 1): 480}
+    assert t.balanced.where("synthetic = 1 AND validation").count() == 0
+    held = {r[0] for r in t.test.select("loyalty_number").collect()}
+    assert not held & {r[0] for r in t.balanced.select("loyalty_number").collect()}
+    assert t.table(models.BOOSTED) is t.weighted and t.table(models.FOREST) is t.balanced
+    for name in (models.LOGISTIC, models.BOOSTED):
+        assert evaluation.roc_auc(t.scored_test(t.fit(name))).first()["roc_auc"] > 0.75
+        mean, _ = t.cross_validate(name, 3)
+        assert mean > 0.75
+
+
+def test_boosting_ends_when_rounds_no_longer_help(spark):
+    long = models.ModelSettings(boosted_trees=40, boosted_depth=3, step=0.5)
+    rounds = trained(spark, settings=long).fit(models.BOOSTED).stages[-1].getNumTrees
+    whole = trained(spark, settings=models.ModelSettings(boosted_trees=12, boosted_depth=2, validation_share=0.0))
+    assert 1 <= rounds < 40 and whole.fit(models.BOOSTED).stages[-1].getNumTrees == 12
+
+
+def test_the_larger_class_may_churn(spark):
+    df = planted(spark, 410).fillna(0.5).withColumn("label", 1 - F.col("label"))
+    sizes = {(r["label"], r["synthetic"]): r["count"] for r in balance.oversample(df, FEATURES).groupBy("label", "synthetic").count().collect()}
+    assert sizes == {(1.0, 0): 307, (0.0, 0): 103, (0.0, 1): 204}
 
 
 def test_metrics_with_no_predicted_churn(spark):
@@ -185,8 +246,9 @@ def test_whole_run(spark, tmp_path):
     bed = Bed(spark, "/root/testdata/sf0.001")
     result = pipeline.run(
         bed.members, bed.activity_raw, bed.settings, QUICK, order_by="record_id", ks=[4, 5], restarts=1,
-        folds=0, out=str(tmp_path),
+        folds=2, out=str(tmp_path),
     )
+    assert len(result.summary.first()["cv_scores"]) == 2
     members = bed.members.count()
     assert result.scored.count() == result.labels.count() == members
     assert result.scored.where("action IS NULL").count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import quantile_row
-from tidemark.operators.models import uniform
+from tidemark.operators.draws import uniform
 from tidemark.session import cut_lineage
 
 PROJECTIONS = 6
@@ -89,16 +89,17 @@ def oversample(
     train: DataFrame, features: Sequence[str], label: str = "label", id_column: str = "loyalty_number",
     k: int = 5, seed: int = 42,
 ) -> DataFrame:
-    """`train` plus as many synthetic churners as bring the classes to 1:1, with `synthetic`.
+    """`train` plus as many synthetic rows of the smaller class as bring the classes to 1:1, with `synthetic`.
 
-    The features should be scaled. Each churner is drawn equally often, and one more time for the remainder.
+    The features should be scaled. Each of its rows is drawn equally often, and one more time for the remainder.
     """
     sizes = train.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).first()
-    minority, wanted = sizes["p"], sizes["n"] - sizes["p"]
+    smaller = 1.0 if sizes["p"] <= sizes["n"] else 0.0
+    minority, wanted = min(sizes["p"], sizes["n"]), abs(sizes["n"] - sizes["p"])
     marked = train.withColumn("synthetic", F.lit(0))
     if minority < 2 or wanted <= 0:
         return marked
-    points = cut_lineage(_points(train.where(F.col(label) == 1), features, id_column))
+    points = cut_lineage(_points(train.where(F.col(label) == smaller), features, id_column))
     near = line_neighbours(points, k, seed)
 
     each, extra = divmod(wanted, minority)
@@ -118,7 +119,7 @@ def oversample(
         "_new", F.zip_with("x", "_pick", lambda a, b: a + (b - a) * F.col("_step"))
     )
     rows = made.select(
-        F.col("id").alias(id_column), F.lit(1.0).alias(label),
+        F.col("id").alias(id_column), F.lit(smaller).alias(label),
         *[F.col("_new")[i].alias(c) for i, c in enumerate(features)], F.lit(1).alias("synthetic"),
     )
     return marked.select(*rows.columns).unionByName(rows)

@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import quantile_row, quantiles
 from tidemark.functions.stats import moments
+from tidemark.operators import balance
+from tidemark.operators.draws import uniform
 from tidemark.operators.evaluation import evaluate
 from tidemark.operators.offers import literal_table
 from tidemark.session import cut_lineage
 
+# The published training columns
 PROGRAMME_FEATURES = [
     "recency_months", "active_month_ratio", "avg_flights_per_month", "redemption_rate", "clv_log",
     "tenure_months", "active_months", "q4_flights", "total_distance", "momentum_h2_minus_h1",
@@ -30,7 +34,7 @@ PROGRAMME_FEATURES = [
     "is_recent_member", "is_ontario", "is_bc", "is_quebec",
 ]
 
-# ids, labels and text, which never train a model; the partial labels would leak the target
+# Ids, labels and text, which never train a model; the partial labels would leak the target
 NOT_FEATURES = {
     "loyalty_number", "loyalty_card", "churn", "churned", "hard_churn", "activity_churn",
     "label_year_flights", "country", "province", "city", "postal_code", "gender", "education",
@@ -40,7 +44,6 @@ NOT_FEATURES = {
 }
 
 LOGISTIC, FOREST, BOOSTED = "Logistic Regression", "Random Forest", "Boosted Trees"
-_UNIFORM_BITS = 52
 
 
 @dataclass(frozen=True)
@@ -58,18 +61,14 @@ class ModelSettings:
     column_share: float = 0.8
     max_iter: int = 1000
     seed: int = 42
+    # boosting ends when these training rows gain less than `validation_gain` by another round; 0: all rounds
+    validation_share: float = 0.1
+    validation_gain: float = 0.001
 
 
 # --- split ------------------------------------------------------------------------------------------
 
 
-def uniform(id_column: str, seed: int) -> Column:
-    """Repeatable number in [0, 1) per id: it does not depend on partitioning."""
-    mask = (1 << _UNIFORM_BITS) - 1
-    bits = F.xxhash64(F.col(id_column), F.lit(seed)).bitwiseAND(F.lit(mask))
-    return bits / F.lit(float(1 << _UNIFORM_BITS))
-
-
 def _strata_cuts(df: DataFrame, label: str, id_column: str, seed: int, shares: Sequence[float]) -> DataFrame:
     """Per label value, the quantiles of the uniform number at `shares`: a share s has exactly
     floor((n - 1) x s) + 1 of the n rows at or under its cut."""
@@ -176,12 +175,15 @@ def forest(settings: ModelSettings) -> RandomForestClassifier:
 
 
 def boosted(settings: ModelSettings) -> GBTClassifier:
-    """`checkpointInterval` cuts the residual lineage through the session's checkpoint folder."""
-    return GBTClassifier(
+    """`checkpointInterval` cuts the residual lineage through the session's checkpoint folder. The rows marked `validation`
+    say when a further round no longer helps."""
+    learner = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=settings.boosted_trees,
         maxDepth=settings.boosted_depth, stepSize=settings.step, subsamplingRate=settings.row_share,
         featureSubsetStrategy=str(settings.column_share), seed=settings.seed, checkpointInterval=10,
+        validationTol=settings.validation_gain,
     )
+    return learner.setValidationIndicatorCol("validation") if settings.validation_share > 0 else learner
 
 
 def probability(df: DataFrame, name: str = "probability") -> DataFrame:
@@ -191,24 +193,84 @@ def probability(df: DataFrame, name: str = "probability") -> DataFrame:
     return df.select(*kept, churn.alias(name))
 
 
-def fit(learner, prepared: PipelineModel, train: DataFrame) -> PipelineModel:
-    """The preparation and the fitted learner as one saveable model."""
-    fitted = learner.fit(prepared.transform(train))
-    return PipelineModel(stages=[*prepared.stages, fitted])
+SYNTHETIC, WEIGHTS = "synthetic", "weights"
+ROWS_PER_TASK = 50_000  # of an iterative fit
+
 
+def learning_table(
+    prepared: PipelineModel, train: DataFrame, features: Sequence[str], settings: ModelSettings, balancing: str = WEIGHTS,
+    id_column: str = "loyalty_number",
+) -> DataFrame:
+    """What the learners read: id, `features`, `label`, `weight`, `validation`, `synthetic`, over the rows of `train`.
 
-def cross_validate(learner, prepared: PipelineModel, train: DataFrame, folds: int = 5, seed: int = 42) -> tuple[float, float]:
-    """Mean and deviation of the AUC over stratified folds of the rows as they are (synthetic rows
-    in the folds would be neighbours of their own test rows)."""
-    folded = stratified_folds(train, "label", folds=folds, seed=seed)
-    validator = CrossValidator(
-        estimator=learner, estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=folds, foldCol="fold", parallelism=folds,
+    `weights` keeps the rows and their class weights. `synthetic` adds rows between a member of the smaller class and
+    its neighbours, among these training rows alone, and all rows weigh the same. Only real rows validate.
+    """
+    ready = prepared.transform(train)
+    scaled = [f"x_{c}" for c in features]
+    if balancing == SYNTHETIC:
+        table = cut_lineage(ready.select(id_column, "label", *scaled))
+        whole = balance.oversample(table, scaled, seed=settings.seed).withColumn("weight", F.lit(1.0))
+    else:
+        whole = ready.select(id_column, "label", *scaled, "weight").withColumn("synthetic", F.lit(0))
+    held = (uniform(id_column, settings.seed + 2) < settings.validation_share) & (F.col("synthetic") == 0)
+    vector = array_to_vector(F.array(*[F.col(c) for c in scaled]))
+    return whole.select(id_column, vector.alias("features"), "label", "weight", held.alias("validation"), "synthetic")
+
+
+def gathered(table: DataFrame) -> DataFrame:
+    """The staged table in as many partitions as its rows need: the many short jobs of a fit over few rows are
+    mostly the cost of their tasks."""
+    held = cut_lineage(table)
+    return held.coalesce(held.count() // ROWS_PER_TASK + 1)
+
+
+def fit(learner, prepared: PipelineModel, table: DataFrame) -> PipelineModel:
+    """The preparation and the learner, fitted on a learning table, as one saveable model."""
+    return PipelineModel(stages=[*prepared.stages, learner.fit(table)])
+
+
+def cross_validate(
+    learner, prepared: PipelineModel, train: DataFrame, features: Sequence[str], settings: ModelSettings, folds: int = 5,
+    balancing: str = WEIGHTS,
+) -> tuple[float, float]:
+    """Mean and deviation of the AUC over stratified folds. All folds are masks over one staged table and are fitted together.
+    Synthetic rows are made inside each fold's training part, so none is a neighbour of its own test row, and the test
+    rows are the members as they are."""
+    folded = cut_lineage(stratified_folds(train, "label", folds=folds, seed=settings.seed))
+    judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    whole = None
+    if balancing == WEIGHTS:
+        marks = folded.select("loyalty_number", "fold")
+        whole = gathered(learning_table(prepared, folded, features, settings).join(marks, "loyalty_number"))
+
+    def one(k: int) -> float:
+        if whole is not None:
+            table, test = whole.where(F.col("fold") != k), whole.where(F.col("fold") == k)
+        else:
+            table = gathered(learning_table(prepared, folded.where(F.col("fold") != k), features, settings, balancing))
+            test = prepared.transform(folded.where(F.col("fold") == k))
+        return float(judge.evaluate(learner.copy().fit(table).transform(test)))
+
+    with ThreadPool(folds) as pool:
+        found = pool.map(one, range(folds), chunksize=1)
+    return float(np.mean(found)), float(np.std(found))
+
+
+def logistic_gradient(model: PipelineModel, table: DataFrame, features: Sequence[str]) -> DataFrame:
+    """`feature, gradient` of the penalised loss at the fitted weights, one aggregate over the learning table; all are 0 at the
+    optimum. The row `intercept` has no penalty."""
+    fitted = model.stages[-1]
+    weights, penalty = [float(w) for w in fitted.coefficients], fitted.getRegParam()
+    x = vector_to_array("features")
+    margin = sum((x[i] * w for i, w in enumerate(weights)), F.lit(float(fitted.intercept)))
+    pull = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
+    mass = F.sum("weight")
+    wide = table.agg(
+        *[(F.sum(pull * x[i]) / mass + F.lit(penalty * w)).alias(c) for i, (c, w) in enumerate(zip(features, weights))],
+        (F.sum(pull) / mass).alias("intercept"),
     )
-    table = cut_lineage(prepared.transform(folded).select("features", "label", "weight", "fold"))
-    scored = validator.fit(table)
-    return float(scored.avgMetrics[0]), float(scored.stdMetrics[0])
+    return wide.unpivot([], [*features, "intercept"], "feature", "gradient")
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], name: str = "churn_probability") -> DataFrame:

@@ -6,11 +6,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import stats
-from tidemark.operators import balance, kmeans, models, offers, reports, retention, segments
+from tidemark.operators import balance, kmeans, models, offers, reports, retention, segments, trees
 from tidemark.plans import training
 from tidemark.plans.bed import Bed, tidy
 from tidemark.plans.queries import ID, query
@@ -149,7 +150,7 @@ def pca_projection(b: Bed) -> DataFrame:
 
 @query
 def stratified_split(b: Bed) -> DataFrame:
-    split = models.stratified_split(b.labels.select(ID, "churned"), "churned")
+    split = models.stratified_split(cut_lineage(b.labels.select(ID, "churned")), "churned")
     return tidy(split.groupBy("churned").agg(
         F.count(F.lit(1)).alias("members"), F.sum("is_test").alias("test_members")
     ))
@@ -157,7 +158,7 @@ def stratified_split(b: Bed) -> DataFrame:
 
 @query
 def stratified_folds(b: Bed) -> DataFrame:
-    folded = models.stratified_folds(b.labels.select(ID, "churned"), "churned")
+    folded = models.stratified_folds(cut_lineage(b.labels.select(ID, "churned")), "churned")
     return tidy(folded.groupBy("churned", "fold").agg(F.count(F.lit(1)).alias("members")))
 
 
@@ -192,10 +193,106 @@ def boosted_scores(b: Bed) -> DataFrame:
 @query
 def cv_auc(b: Bed) -> DataFrame:
     t = trainer(b)
-    mean, std = models.cross_validate(t.learner(models.LOGISTIC), t.prepared, t.train)
-    return offers.literal_table(
-        b.spark, [(models.LOGISTIC, mean, std)], "model string, cv_auc_mean double, cv_auc_std double"
-    )
+    rows = [(name, *t.cross_validate(name)) for name in (models.LOGISTIC, models.BOOSTED)]
+    return offers.literal_table(b.spark, rows, "model string, cv_auc_mean double, cv_auc_std double")
+
+
+@query
+def smote_training_counts(b: Bed) -> DataFrame:
+    """What the synthetic balancing trains on: the training part, and each fold's training part."""
+    t = trainer(b)
+    folded = cut_lineage(models.stratified_folds(t.train, "label", folds=5, seed=t.settings.seed))
+    parts = {"train": t.train, **{f"fold {k}": folded.where(F.col("fold") != k) for k in range(5)}}
+    out = None
+    for name, part in parts.items():
+        table = models.learning_table(t.prepared, part, t.columns, t.settings, models.SYNTHETIC)
+        row = table.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("members")).withColumn("part", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return tidy(out)
+
+
+def _walked(t: training.Trainer, name: str, df: DataFrame, keep: list[str]) -> DataFrame:
+    """`keep...` and the probability read off the model's tree table."""
+    model = t.fit(name).stages[-1]
+    nodes = cut_lineage(trees.tree_table(df.sparkSession, model, t.columns))
+    ready = t.prepared.transform(df).withColumn("x", vector_to_array("features"))
+    depth = t.settings.forest_depth if name == models.FOREST else t.settings.boosted_depth
+    total = trees.walk(ready, nodes, "x", keep, depth)
+    return total.withColumn("walked", trees.probability(F.col("total"), name == models.BOOSTED)).drop("total")
+
+
+@query
+def tree_table_scores(b: Bed) -> DataFrame:
+    """Per ensemble, how many members get another probability from the exported tree table than from the model."""
+    t = trainer(b)
+    t.fit_all([models.FOREST, models.BOOSTED])
+    out = None
+    for name in (models.FOREST, models.BOOSTED):
+        scored = models.score(t.fit(name), b.features, t.columns).select(ID, "churn_probability")
+        both = scored.join(_walked(t, name, b.features, [ID]), ID, "left")
+        p = F.col("churn_probability")
+        row = both.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("members"),
+            F.count_if(F.abs(p - F.col("walked")).isNull() | (F.abs(p - F.col("walked")) > 1e-9)).alias("differing"),
+            F.count_if((p < 0) | (p > 1)).alias("out_of_range"),
+            F.count_if((p >= 0.5) != (F.col("walked") >= 0.5)).alias("at_risk_differing"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return tidy(out)
+
+
+@query
+def tree_table_importance(b: Bed) -> DataFrame:
+    """Per ensemble and feature, whether the gains in the tree table give the model's importance."""
+    t = trainer(b)
+    out = None
+    for name in (models.FOREST, models.BOOSTED):
+        model = t.fit(name)
+        own = trees.importances(trees.tree_table(b.spark, model.stages[-1], t.columns), per_tree=name == models.FOREST)
+        listed = models.importance_table(model, t.train, t.columns).withColumnRenamed("importance", "listed")
+        same = F.abs(F.col("listed") - F.coalesce("importance", F.lit(0.0))) < 1e-9
+        row = listed.join(own, "feature", "left").select(F.lit(name).alias("model"), "feature", same.cast("int").alias("agrees"))
+        out = row if out is None else out.unionByName(row)
+    return tidy(out)
+
+
+@query
+def tree_table_predictions(b: Bed) -> DataFrame:
+    """Test rows per class, and those whose class or risk band differs between the tree table and the model."""
+    t = trainer(b)
+    scored = t.scored_test(t.fit(models.FOREST))
+    both = scored.join(_walked(t, models.FOREST, t.test, [ID]), ID, "left")
+
+    def band(p: str) -> Column:
+        return retention.risk_level(F.col(p), retention.STAGED_CUTS, retention.STAGED_BANDS)
+
+    return tidy(both.groupBy(F.col("label").cast("int").alias("churned")).agg(
+        F.count(F.lit(1)).alias("test_members"),
+        F.count_if((F.col("probability") >= 0.5) != (F.col("walked") >= 0.5)).alias("class_differs"),
+        F.count_if(~band("probability").eqNullSafe(band("walked"))).alias("band_differs"),
+    ))
+
+
+@query
+def logistic_optimality(b: Bed) -> DataFrame:
+    """Whether each derivative of the penalised loss is 0 at the fitted weights."""
+    t = trainer(b)
+    found = models.logistic_gradient(t.fit(models.LOGISTIC), t.table(models.LOGISTIC), t.columns)
+    return tidy(found.select("feature", (F.abs("gradient") < 1e-4).cast("int").alias("is_zero")))
+
+
+@query
+def saved_model_scores(b: Bed) -> DataFrame:
+    """Test rows per class whose probability changes when a model is saved and loaded."""
+    t = trainer(b)
+    path = _scratch(b)
+    t.fit(models.LOGISTIC).write().overwrite().save(path)
+    before = t.scored_test(t.fit(models.LOGISTIC))
+    after = t.scored_test(PipelineModel.load(path)).select(ID, F.col("probability").alias("loaded"))
+    return tidy(before.join(after, ID, "left").groupBy(F.col("label").cast("int").alias("churned")).agg(
+        F.count(F.lit(1)).alias("test_members"),
+        F.count_if(~F.col("probability").eqNullSafe(F.col("loaded"))).alias("changed"),
+    ))
 
 
 @query

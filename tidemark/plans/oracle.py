@@ -442,6 +442,14 @@ CTES["zero_filled"] = (
 del CTES["matrix"]
 
 
+# The published training columns
+_TRAINED = [
+    "recency_months", "active_month_ratio", "avg_flights_per_month", "redemption_rate", "clv_log", "tenure_months",
+    "active_months", "q4_flights", "total_distance", "momentum_h2_minus_h1", "flight_consistency",
+    "total_points_accumulated", "salary", "salary_missing", "engagement_health_score", "points_balance", "tier_numeric",
+    "education_numeric", "is_female", "is_married", "is_promo_enrollment", "dollar_cost_per_flight", "is_early_member",
+    "is_recent_member", "is_ontario", "is_bc", "is_quebec",
+]
 # The columns of the published clustering
 _CLUSTERED = [
     "avg_flights_per_month", "recency_months", "active_month_ratio", "redemption_rate", "clv_log", "tier_numeric",
@@ -979,6 +987,26 @@ _SELECTS = {
     "stratified_folds": f"""WITH n AS (SELECT churned, count(*) AS n FROM labelled GROUP BY 1)
         SELECT {ints("churned")}, {integer("f", "fold")}, {integer("""CASE WHEN f = 4 THEN n ELSE floor((n - 1) * CAST((f + 1) / 5 AS DOUBLE)) + 1 END
         - CASE WHEN f = 0 THEN 0 ELSE floor((n - 1) * CAST(f / 5 AS DOUBLE)) + 1 END""", "members")} FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)""",
+    "smote_training_counts": f"""WITH n AS (SELECT churned, count(*) - CAST(floor((count(*) - 1) * CAST(0.2 AS DOUBLE)) + 1 AS BIGINT) AS n
+            FROM labelled GROUP BY 1),
+        folds AS (SELECT churned, f, n - CAST(CASE WHEN f = 4 THEN n ELSE floor((n - 1) * CAST((f + 1) / 5 AS DOUBLE)) + 1 END
+            - CASE WHEN f = 0 THEN 0 ELSE floor((n - 1) * CAST(f / 5 AS DOUBLE)) + 1 END AS BIGINT) AS n
+            FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS f)),
+        parts AS (SELECT 'train' AS part, churned, n FROM n UNION ALL SELECT 'fold ' || f, churned, n FROM folds),
+        counted AS (SELECT part, churned, 0 AS synthetic, n FROM parts
+            UNION ALL SELECT part, arg_min(churned, n), 1, max(n) - min(n) FROM parts GROUP BY part)
+        SELECT part, {num("churned", "label")}, {integer("synthetic", "synthetic")}, {integer("n", "members")} FROM counted WHERE n > 0""",
+    "tree_table_scores": " UNION ALL ".join(
+        f"SELECT '{m}' AS model, (SELECT count(*) FROM member) AS members, {integer('0', 'differing')}, "
+        f"{integer('0', 'out_of_range')}, {integer('0', 'at_risk_differing')}" for m in ("Random Forest", "Boosted Trees")
+    ),
+    "tree_table_importance": f"SELECT model, feature, {integer('1', 'agrees')} FROM "
+        f"(SELECT unnest(['Random Forest', 'Boosted Trees']) AS model), (SELECT unnest({_TRAINED!r}) AS feature)",
+    "tree_table_predictions": f"""SELECT {ints("churned")}, {integer("floor((count(*) - 1) * CAST(0.2 AS DOUBLE)) + 1", "test_members")},
+        {integer("0", "class_differs")}, {integer("0", "band_differs")} FROM labelled GROUP BY labelled.churned""",
+    "logistic_optimality": f"SELECT feature, {integer('1', 'is_zero')} FROM (SELECT unnest({[*_TRAINED, 'intercept']!r}) AS feature)",
+    "saved_model_scores": f"""SELECT {ints("churned")}, {integer("floor((count(*) - 1) * CAST(0.2 AS DOUBLE)) + 1", "test_members")},
+        {integer("0", "changed")} FROM labelled GROUP BY labelled.churned""",
     "cluster_optimality": f"""SELECT {integer("k", "k")}, (SELECT count(*) FROM member) AS members, {integer("k", "clusters")},
         {integer("1", "centres_are_means")}, {integer("1", "inertia_agrees")}, {integer("1", "inertia_falls")},
         {integer("1", "silhouette_fits")} FROM range(4, 9) t(k)""",

@@ -61,7 +61,9 @@ def run(
     members: DataFrame, activity: DataFrame, settings: Settings | None = None,
     model_settings: models.ModelSettings | None = None, order_by: str | None = None,
     ks: Sequence[int] = range(4, 9), restarts: int = 10, folds: int = 5, out: str | None = None,
+    balancing: str = models.SYNTHETIC,
 ) -> Run:
+    """The programme's run. The published logistic and forest models learn on synthetic rows, the boosted one on weights."""
     settings = settings or Settings()
     model_settings = model_settings or models.ModelSettings(seed=settings.seed)
     members, activity = clean_inputs(members, activity, order_by)
@@ -69,7 +71,7 @@ def run(
     table = features.labelled_matrix(members, activity, settings)
     named, k_table = segment(table, ks, restarts, settings.seed)
 
-    trainer = Trainer(table, model_settings, settings.seed, settings.test_share)
+    trainer = Trainer(table, model_settings, settings.seed, settings.test_share, balancing=balancing)
     names = (models.LOGISTIC, models.FOREST, models.BOOSTED)
     fitted = trainer.fit_all(names)
     rows = [models.comparison_row(n, cut_lineage(trainer.scored_test(m))) for n, m in fitted.items()]

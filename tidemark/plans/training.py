@@ -16,31 +16,50 @@ ID = "loyalty_number"
 
 
 class Trainer:
-    """The split and the weighted training part are written once; every fit starts from the table."""
+    """The split and the training part are written once; every fit starts from the table.
+
+    `balancing` is `weights` (class weights) or `synthetic` (rows between neighbours of the smaller class, made from
+    the training part alone; the boosted model keeps the members as they are, with class weights, as published).
+    """
 
     def __init__(
         self, features: DataFrame, settings: models.ModelSettings, seed: int = 42,
-        test_share: float = 0.2, label: str = "churned",
+        test_share: float = 0.2, label: str = "churned", balancing: str = models.WEIGHTS,
+        columns: Sequence[str] = models.PROGRAMME_FEATURES,
     ):
-        table = models.training_table(features, label, models.PROGRAMME_FEATURES)
-        self.settings = settings
+        self.columns = list(columns)
+        table = models.training_table(features, label, self.columns)
+        self.settings, self.balancing = settings, balancing
         self.fitted: dict[str, PipelineModel] = {}
-        self.split = cut_lineage(models.stratified_split(table, "label", ID, test_share, seed))
+        self.split = cut_lineage(models.stratified_split(cut_lineage(table), "label", ID, test_share, seed))
         parts = models.split_parts(self.split)
         self.train = cut_lineage(models.with_class_weight(parts["train"], "label"))
         self.test = parts["test"]
 
     @cached_property
     def prepared(self) -> PipelineModel:
-        return models.fit_preparation(self.train, models.PROGRAMME_FEATURES)
+        return models.fit_preparation(self.train, self.columns)
+
+    @cached_property
+    def weighted(self) -> DataFrame:
+        return models.gathered(models.learning_table(self.prepared, self.train, self.columns, self.settings))
 
     @cached_property
-    def train_rows(self) -> int:
-        return self.train.count()
+    def balanced(self) -> DataFrame:
+        return models.gathered(
+            models.learning_table(self.prepared, self.train, self.columns, self.settings, models.SYNTHETIC)
+        )
+
+    def balancing_of(self, name: str) -> str:
+        return models.WEIGHTS if name == models.BOOSTED else self.balancing
+
+    def table(self, name: str) -> DataFrame:
+        """What the named learner is fitted on."""
+        return self.balanced if self.balancing_of(name) == models.SYNTHETIC else self.weighted
 
     def learner(self, name: str):
         if name == models.LOGISTIC:
-            return models.logistic(self.train_rows, self.settings)
+            return models.logistic(self.table(name).count(), self.settings)
         return models.forest(self.settings) if name == models.FOREST else models.boosted(self.settings)
 
     def fit(self, name: str) -> PipelineModel:
@@ -48,17 +67,19 @@ class Trainer:
 
     def fit_all(self, names: Sequence[str]) -> dict[str, PipelineModel]:
         """Each learner is fitted once. They are independent, so their jobs are submitted together."""
-        prepared = self.prepared
-        missing = {name: self.learner(name) for name in names if name not in self.fitted}
+        missing = [name for name in names if name not in self.fitted]
         if missing:
+            tasks = [(self.learner(name), self.prepared, self.table(name)) for name in missing]
             with ThreadPool(len(missing)) as pool:
-                fits = pool.map(lambda learner: models.fit(learner, prepared, self.train), missing.values())
+                fits = pool.starmap(models.fit, tasks, chunksize=1)
             self.fitted.update(zip(missing, fits))
         return {name: self.fitted[name] for name in names}
 
     def scored_test(self, model: PipelineModel) -> DataFrame:
-        scored = models.score(model, self.test, models.PROGRAMME_FEATURES, "probability")
+        scored = models.score(model, self.test, self.columns, "probability")
         return scored.select(ID, "label", "probability")
 
     def cross_validate(self, name: str, folds: int = 5) -> tuple[float, float]:
-        return models.cross_validate(self.learner(name), self.prepared, self.train, folds, self.settings.seed)
+        return models.cross_validate(
+            self.learner(name), self.prepared, self.train, self.columns, self.settings, folds, self.balancing_of(name)
+        )
