@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import balance, evaluation, kmeans, models, segments, trees
-from tidemark.plans import pipeline
+from tidemark.plans import pipeline, variants
 from tidemark.plans.bed import Bed
 from tidemark.plans.training import Trainer
 
@@ -257,3 +257,20 @@ def test_whole_run(spark, tmp_path):
     assert result.summary.first()["members"] == members
     assert spark.read.parquet(f"{tmp_path}/segments").count() == members
     assert {r["model"] for r in result.comparison.collect()} == {models.LOGISTIC, models.FOREST, models.BOOSTED}
+
+
+@pytest.mark.parametrize("variant", ["staged", "module"])
+def test_staged_and_module_runs(spark, variant):
+    bed = Bed(spark, "/root/testdata/sf0.001")
+    result = variants.run(bed.members, bed.activity_raw, variant, bed.settings, QUICK, "record_id", ks=[3, 4], restarts=1)
+    found = result.recommendations
+    rows = result.features.count()
+    assert found.count() == rows and found.select("loyalty_number").distinct().count() == rows
+    assert rows == (bed.members.count() if variant == "staged" else bed.activity.where("year <= 2000").select("loyalty_number").distinct().count())
+    names = [r["segment_name"] for r in result.segments.collect()]
+    assert len(set(names)) == len(names) in (3, 4) and result.segments.where("strategy IS NULL").count() == 0
+    offer = "recommended_offer" if variant == "staged" else "offer"
+    assert found.where(f"{offer} IS NULL OR priority_score IS NULL").count() == 0
+    bands = {r[0] for r in result.priorities.select("risk_level").distinct().collect()}
+    assert bands <= ({"High Risk", "Medium Risk"} if variant == "staged" else {"high", "medium"})
+    assert result.best in {r["model"] for r in result.comparison.collect()}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning, features, labels, offers, reports, retention, segments
 from tidemark.settings import Settings
-from tidemark.sources import columns, files, schemas
+from tidemark.sources import columns, files, schemas, stores
 
 S = Settings()
 
@@ -364,3 +364,30 @@ def test_indented_json_document(spark, tmp_path):
     (tmp_path / "d.json").write_text('{\n  "a": 1,\n  "b": {\n    "c": [1, 2]\n  }\n}\n')
     row = files.read_json(spark, str(tmp_path / "d.json"), document=True).first()
     assert row["a"] == 1 and row["b"]["c"] == [1, 2]
+
+
+# --- stored tables ----------------------------------------------------------------------------------
+
+
+def test_stored_tables_are_pruned_and_joined_in_place(spark):
+    m = members(spark, *[member(i) for i in range(1, 40)])
+    rows = [(i, y, mo, 1) for i in range(1, 40) for y in (2015, 2016, 2017, 2018) for mo in (1, 7)]
+    store = stores.write_store(m, activity(spark, rows), buckets=4)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        joined = store.members.join(features.member_history(store.activity, S), "loyalty_number", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "PartitionFilters: [((year" in plan
+        audit = labels.leaking_members(labels.churn_labels(store.members, store.activity, S), store.activity, "2017-12-31")
+        plan = audit._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("PartitionFilters: [isnotnull(year") == 2
+        read = features.until(store.activity, "2015-12-31")
+        assert len(read.inputFiles()) >= 1 and read.count() == 78
+        files = {f.split("year=")[1][:4] for f in store.activity.where("year = 2015").select("month", F.input_file_name().alias("f")).select("f").distinct().toPandas()["f"]}
+        assert files == {"2015"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    whole = features.labelled_matrix(store.members, store.activity, S)
+    direct = features.labelled_matrix(m, activity(spark, rows), S)
+    columns = sorted(direct.columns)
+    assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, direct.select(columns).collect()))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.exprs import attach, lookup, money_sum, month_start
 from tidemark.functions.ranks import quantile_row
@@ -283,3 +284,32 @@ def summary_document(scored: DataFrame, extra: Mapping[str, Column] | None = Non
     )
     out = attach(attach(attach(kpis, by_segment), by_province), by_cohort)
     return out.withColumns(dict(extra)) if extra else out
+
+
+def document_rows(document: DataFrame) -> DataFrame:
+    """The summary document as `section, name, measure, value` rows, a row per number."""
+    totals = [c for c, kind in document.dtypes if kind in ("bigint", "int", "double")]
+
+    def measures(entry: Column, kind: T.StructType) -> Column:
+        return F.array(*[
+            F.struct(F.lit(f.name).alias("measure"), entry[f.name].cast("double").alias("value"))
+            for f in kind.fields if isinstance(f.dataType, T.NumericType)
+        ])
+
+    def entries(column: str) -> DataFrame:
+        kind = document.schema[column].dataType
+        if isinstance(kind, T.MapType):
+            found = document.select(F.explode(column).alias("name", "entry"))
+            inner = kind.valueType
+        else:
+            inner = kind.elementType
+            label = next(f.name for f in inner.fields if isinstance(f.dataType, T.StringType))
+            found = document.select(F.explode(column).alias("entry")).withColumn("name", F.col(f"entry.{label}"))
+        rows = found.select("name", F.explode(measures(F.col("entry"), inner)).alias("m"))
+        return rows.select(F.lit(column).alias("section"), "name", "m.measure", "m.value")
+
+    whole = document.select(F.explode(measures(F.struct(*totals), T.StructType([document.schema[c] for c in totals]))).alias("m"))
+    out = whole.select(F.lit("totals").alias("section"), F.lit("all").alias("name"), "m.measure", "m.value")
+    for column in ("segment_profiles", "geographic", "cohorts"):
+        out = out.unionByName(entries(column))
+    return out

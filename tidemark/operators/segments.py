@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import attach
 from tidemark.functions.ranks import percent_rank_mean
-from tidemark.functions.stats import minmax, ranges
+from tidemark.functions.stats import minmax, moments, ranges, standardised
 from tidemark.operators import offers as dims
 from tidemark.session import cut_lineage
 
@@ -40,16 +40,16 @@ ACTIVE_FLIGHTS = 0.5
 # --- clustering ---------------------------------------------------------------------------------
 
 
-def point(df: DataFrame, features: Sequence[str]) -> tuple[Column, Row]:
-    """The min-max scaled features as one array, absent ones as 0, and the ranges they are scaled by."""
+def point(df: DataFrame, features: Sequence[str], standard: bool = False) -> tuple[Column, Row]:
+    """The min-max (or standard) scaled features as one array, absent ones as 0, and the figures they are scaled by."""
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    spans = ranges(filled, features).first()
+    figures = (moments if standard else ranges)(filled, features).first()
 
     def scaled(c: str) -> Column:
-        low, high = (F.lit(spans[f"{c}__{edge}"]).cast("double") for edge in ("min", "max"))
-        return minmax(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), low, high)
+        low, high = (F.lit(figures[f"{c}__{n}"]).cast("double") for n in (("mean", "std") if standard else ("min", "max")))
+        return (standardised if standard else minmax)(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), low, high)
 
-    return F.array(*[scaled(c) for c in features]), spans
+    return F.array(*[scaled(c) for c in features]), figures
 
 
 def assemble(df: DataFrame, features: Sequence[str], vector: Column | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import clip, lookup
 from tidemark.operators import features, labels, retention
 from tidemark.settings import Settings
-from tidemark.sources import testbed
+from tidemark.sources import stores, testbed
 
 # names by key, so that queries on segments need no fitted clusters
 PROGRAMME_SEGMENTS = ["Active Champions", "Miles Hoarders", "Premium Dormant", "Seasonal Travelers"]
@@ -52,6 +52,11 @@ class Bed:
         recorded = testbed.activity(self.spark, self.folder, (s.feature_year, s.label_year))
         return features.labelled_matrix(self.members, recorded, s)
 
+    @cached_property
+    def store(self) -> stores.Store:
+        """Members and activity as tables partitioned by year and bucketed by member."""
+        return stores.write_store(self.members, self.activity)
+
     def _score(self, names: list[str]) -> DataFrame:
         risk = F.round(clip(1 - F.col("engagement_health_score") / 100, 0, 1), 4)
         segment = (F.col("loyalty_number") % 4).cast("int")

@@ -1099,6 +1099,28 @@ _SELECTS = {
     ),
 }
 
+
+def _document() -> str:
+    """The numbers of the nested summary, a row each."""
+    totals = [
+        "members", "churn_rate_combined", "churn_rate_hard", "churn_rate_activity", "at_risk_high", "at_risk_medium",
+        "total_revenue_at_risk", "total_potential_save", "at_risk_revenue", "at_risk_save", "num_segments",
+    ]
+    parts = [
+        ("totals", "'all'", f"({_SELECTS['portfolio_kpis']})", totals),
+        ("segment_profiles", "segment_name", "segment_groups", ["members", "churn_rate", "avg_clv", "avg_revenue_at_risk"]),
+        ("geographic", "province", "province_groups", ["churn_rate", "members", "avg_clv", "revenue_at_risk"]),
+        ("cohorts", "CAST(enrollment_year AS VARCHAR)", "(SELECT * FROM cohorts WHERE enrollment_year IS NOT NULL)",
+         ["members", "churn_rate", "avg_clv"]),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {name} AS name, '{m}' AS measure, {num(m, 'value')} FROM {source}"
+        for section, name, source, measures in parts for m in measures
+    )
+
+
+_SELECTS["summary_document_rows"] = _document()
+
 ORACLE = {}
 for _name, _select in _SELECTS.items():
     _full = statement(_select)
@@ -1107,3 +1129,7 @@ for _name, _select in _SELECTS.items():
     if _inner.startswith("WITH ") and _full is not _select:
         _full = statement(_inner).replace("\nWITH ", ",\n", 1)
     ORACLE[_name] = _full
+
+# the same results from the stored tables
+for _name in ("activity_features", "churn_labels", "leakage_audit", "feature_matrix"):
+    ORACLE[f"stored_{_name}"] = ORACLE[_name]

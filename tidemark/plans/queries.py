@@ -892,3 +892,35 @@ def sampled_scatter(b: Bed) -> DataFrame:
 @query
 def summary_document(b: Bed) -> DataFrame:
     return reports.summary_document(b.scored)
+
+
+@query
+def summary_document_rows(b: Bed) -> DataFrame:
+    return tidy(reports.document_rows(reports.summary_document(b.scored)))
+
+
+# --- stored tables: partitioned by year, bucketed by member ------------------------------------------
+
+
+@query
+def stored_activity_features(b: Bed) -> DataFrame:
+    return tidy(features.activity_features(b.store.activity, b.settings))
+
+
+@query
+def stored_churn_labels(b: Bed) -> DataFrame:
+    labelled = labels.churn_labels(b.store.members, b.store.activity, b.settings)
+    return tidy(labelled, ID, "hard_churn", "label_year_flights", "activity_churn", "churned")
+
+
+@query
+def stored_leakage_audit(b: Bed) -> DataFrame:
+    date = b.settings.prediction_date
+    windowed = labels.record_window_labels(b.store.members, b.store.activity, date)
+    leaking = labels.leaking_members(windowed, b.store.activity, date, "churn")
+    return tidy(leaking, ID, "last_activity_date", "hard_churn")
+
+
+@query
+def stored_feature_matrix(b: Bed) -> DataFrame:
+    return tidy(features.labelled_matrix(b.store.members, b.store.activity, b.settings))
