@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -94,3 +95,30 @@ def test_any_alignment_that_agrees_is_a_leak(spark):
         broken + "Some other words stand between them here. " + cut,
     ])
     assert got == [[(7, True)], [(7, True)], [], [(7, True)]]
+
+
+def sums(k, name="Anna"):
+    return f"On Monday the farmer {name} sold {k} crates for {k + 9} dollars each while her neighbour sold {2 * k + 100} crates for less."
+
+
+def test_a_family_of_items_is_looked_up_as_one(spark):
+    items = [(k, sums(k)) for k in range(1, 5001)] + [(9000, sums(77, "Clara")), (9001, ITEMS[1][1])]
+    table = decontaminate.Table(items)
+    assert len(set(table.group.tolist())) == 2
+    page = " ".join(sums(k) for k in range(20_000, 29_000))  # some 1 MB of other values
+    began = time.time()
+    rows = leaks_of(spark, items, [page, page + " " + sums(4321), "So " + sums(77, "CLARA").upper(), sums(12) + " " + sums(13), sums(6000, "Clara")])
+    assert time.time() - began < 120
+    assert rows == [[(1, False)], [(4321, True)], [(9000, True)], [(12, True), (13, True)], [(1, False)]]
+
+
+def test_one_class_needs_one_pattern_of_equal_values(spark):
+    text = "Both tanks hold {} liters and after {} minutes the valve lets {} liters pass into the lower tank of the plant."
+    items = [(1, text.format(5, 6, 5)), (2, text.format(5, 6, 7)), (3, text.format(1, 2, 3))]
+    got = leaks_of(spark, items, [text.format(8, 9, 8), text.format(8, 9, 4), text.format(1, 2, 3), text.format(8, 9, 9)])
+    assert got == [[(1, False)], [(2, False)], [(3, True)], []]
+
+
+def test_short_items_leak_into_documents_that_are_nothing_else(spark):
+    got = leaks_of(spark, [(1, "12 * 7"), (2, "of the"), (3, "Why?")], ["12 * 7 =", "and 12 * 7 is", "Of the", "of the of the", "why", "", None])
+    assert got == [[(1, True)], [], [(2, True)], [], [(3, True)], [], []]

@@ -15,8 +15,13 @@ enough is a leak.
 The benchmark is cut into blocks of at most about `BLOCK_BYTES`, whose tables are broadcast one after the other; a benchmark of
 any size is looked up whole. Documents are never shuffled.
 
+Items of one template whose values are equal at the same places are a class and are looked up as one. A document that holds whole copies of
+members leaks those (a second look-up by the values); one that holds the template with other values leaks the class, which is
+reported once, as its first item. So the work does not grow with the number of items of a template.
+
 Windows with fewer than `LITERALS` literal words are evidence of the same values only: the table has them with their real values
-in place of placeholders. Items of fewer than `LITERALS` tokens are no evidence ("of the" is no leak). Null and empty texts leak nothing; repeated items
+in place of placeholders. Items of fewer than `LITERALS` tokens leak only into a document that is nothing but the item ("of the"
+within a text is no leak). Null and empty texts leak nothing; repeated items
 are reported each; an empty benchmark or table gives no leaks.
 """
 
@@ -172,8 +177,17 @@ class Tokens:
         return np.flatnonzero(fit), value[fit]
 
 
+def _digest(values: np.ndarray) -> np.ndarray:
+    """A 64-bit value of each row of token values."""
+    return bytewise.mixed((bytewise.mixed(values) * bytewise.powers(bytewise.BASE, values.shape[1])).sum(axis=1, dtype=np.uint64))
+
+
 class Table:
-    """The hash table of one benchmark block."""
+    """The hash table of one benchmark block.
+
+    Items of one template (and one pattern of equal values) are a class: their windows are those of its first item, so a family of
+    thousands of items is looked up as one. `owner` is the item of a window of real values, -1 of a template window.
+    """
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.ids = [i for i, _ in items]
@@ -181,28 +195,55 @@ class Table:
         self.tokens = Tokens(data, offsets)
         size = np.bincount(self.tokens.row, minlength=len(items)) if len(items) else np.zeros(0, np.int64)
         self.size, self.first = size, np.cumsum(size) - size
+        self.group = self._classes()
+        self.members: dict[int, list[int]] = defaultdict(list)
+        for k, rep in enumerate(self.group):
+            self.members[int(rep)].append(k)
+        self.exact: dict[tuple[int, int], list[int]] = defaultdict(list)
+        self.short: dict[tuple[int, ...], list[int]] = defaultdict(list)
+        for k, n in enumerate(size):
+            values = self.tokens.value[self.first[k]: self.first[k] + n]
+            if 0 < n < LITERALS:
+                self.short[tuple(values.tolist())].append(k)
+            elif n and len(self.members[int(self.group[k])]) > 1:
+                self.exact[int(self.group[k]), int(_digest(values[None])[0])].append(k)
         self.widths = sorted({WIDTH, *size[(size >= LITERALS) & (size < WIDTH)].tolist()})
-        hashes, places, widths = [], [], []
+        hashes, places, widths, owners = [], [], [], []
         for width in self.widths:
             for names in (True, False, None):
                 at, value = self.tokens.windows(width, names)
                 if names is None:  # only where the template is no evidence
                     few = ~np.isin(at, self.tokens.windows(width, False)[0])
                     at, value = at[few], value[few]
-                own = size[self.tokens.row[at]]
-                fit = (own >= WIDTH) if width == WIDTH else (own == width)
+                item = self.tokens.row[at]
+                fit = (size[item] >= WIDTH) if width == WIDTH else (size[item] == width)
+                at, item, rep = at[fit], item[fit], self.group[item[fit]]
                 hashes.append(value[fit])
-                places.append(at[fit])
-                widths.append(np.full(int(fit.sum()), width))
-        pairs = np.unique(np.stack([np.concatenate(hashes).view(np.int64), np.concatenate(places), np.concatenate(widths)], axis=1), axis=0)
-        hash_ = pairs[:, 0].copy().view(np.uint64)
+                places.append(at - self.first[item] + self.first[rep])
+                widths.append(np.full(len(at), width))
+                owners.append(item if names is None else np.full(len(at), -1))
+        columns = [np.concatenate(hashes).view(np.int64), *[np.concatenate(x) for x in (places, widths, owners)]]
+        rows = np.unique(np.stack(columns, axis=1), axis=0)
+        hash_ = rows[:, 0].copy().view(np.uint64)
         order = np.argsort(hash_, kind="stable")
-        self.hash, self.place, self.width = hash_[order], pairs[order, 1], pairs[order, 2]
+        self.hash, self.place, self.width, self.owner = hash_[order], rows[order, 1], rows[order, 2], rows[order, 3]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.hash >> np.uint64(64 - FILTER_BITS)] = True
 
-    def find(self, tokens: Tokens) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(row, first tokens of its windows, of the item's windows, widths) for every row with a window in the table."""
+    def _classes(self) -> np.ndarray:
+        """The first item of the same template and pattern of equal values, for each item."""
+        tokens, seen = self.tokens, {}
+        code = np.where(tokens.kind == WORD, tokens.value, PLACEHOLDER[tokens.kind])
+        out = np.arange(len(self.size))
+        for k, (a, n) in enumerate(zip(self.first, self.size)):
+            if n >= LITERALS:
+                values = tokens.value[a: a + n]
+                _, first, back = np.unique(values, return_index=True, return_inverse=True)
+                out[k] = seen.setdefault((code[a: a + n].tobytes(), first[back].tobytes()), k)
+        return out
+
+    def find(self, tokens: Tokens) -> Iterator[tuple[int, np.ndarray]]:
+        """For every row with a window in the table: the row, and (first token, of the class's windows, width, owner) of its windows."""
         found = []
         for width in self.widths:
             for names in (True, False, None):
@@ -213,12 +254,12 @@ class Table:
                 k = bytewise.ranges(low, high - low)
                 mine = np.repeat(at, high - low)
                 right = self.width[k] == width
-                found.append(np.stack([mine[right], self.place[k[right]], self.width[k[right]]], axis=1))
+                found.append(np.stack([mine[right], self.place[k[right]], self.width[k[right]], self.owner[k[right]]], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
         row = tokens.row[pairs[:, 0]]
         first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else row
         for a, b in zip(first, np.append(first[1:], len(row))):
-            yield int(row[a]), pairs[a:b, 0], pairs[a:b, 1], pairs[a:b, 2]
+            yield int(row[a]), pairs[a:b]
 
     def _agree(self, tokens: Tokens, at: np.ndarray, place: np.ndarray, width: np.ndarray) -> tuple[bool, bool]:
         """Whether the slots of these windows agree, and whether all values are the same."""
@@ -244,25 +285,71 @@ class Table:
                 if not near or ranked[a] != ranked[b - 1]:
                     yield np.sort(order[a:b])
 
+    def _covers(self, tokens: Tokens, windows: np.ndarray, size: int, coverage: float) -> tuple | None:
+        """(share, windows, same values, first token, last token) of the first alignment that agrees and covers enough."""
+        at, place, width = windows[:, 0], windows[:, 1], windows[:, 2]
+        every = np.arange(len(windows))
+        for mine in chain([every], self._alignments(at, place, size, coverage)):
+            share = len(np.unique(bytewise.ranges(place[mine], width[mine]))) / size
+            if share >= coverage:
+                agree, same = self._agree(tokens, at[mine], place[mine], width[mine])
+                if agree:
+                    return share, len(mine), same, int(at[mine].min()), int((at[mine] + width[mine]).max()) - 1
+        return None
+
+    def _whole(self, tokens: Tokens, rep: int, windows: np.ndarray) -> dict[int, tuple]:
+        """The members of a class of which the row holds a whole copy, found by a hash of all values."""
+        size = int(self.size[rep])
+        begin, count = np.unique(windows[:, 0] - windows[:, 1] + self.first[rep], return_counts=True)
+        inside = (begin >= 0) & (begin + size <= len(tokens.value))
+        begin, count = begin[inside], count[inside]
+        together = tokens.row[begin] == tokens.row[begin + size - 1]
+        begin, count = begin[together], count[together]
+        out: dict[int, tuple] = {}
+        for cut in range(0, len(begin), 4096):
+            part = begin[cut: cut + 4096]
+            values = tokens.value[part[:, None] + np.arange(size)]
+            for i, digest in enumerate(_digest(values).tolist()):
+                for k in self.exact.get((rep, digest), ()):
+                    if k not in out and np.array_equal(values[i], self.tokens.value[self.first[k]: self.first[k] + size]):
+                        out[k] = (1.0, int(count[cut + i]), True, int(part[i]), int(part[i]) + size - 1)
+        return out
+
     def leaks(self, data: np.ndarray, offsets: np.ndarray, coverage: float) -> dict[int, list[tuple]]:
         """row -> [(item, coverage, windows, same values, first byte, end byte)]"""
         tokens, out = Tokens(data, offsets), defaultdict(list)
-        for row, at, place, width in self.find(tokens):
-            item = self.tokens.row[place]
-            for k in np.unique(item):
-                whole = np.flatnonzero(item == k)
-                tried = chain([whole], (whole[x] for x in self._alignments(at[whole], place[whole], int(self.size[k]), coverage)))
-                for mine in tried:
-                    share = len(np.unique(bytewise.ranges(place[mine], width[mine]))) / self.size[k]
-                    if share < coverage:
-                        continue
-                    agree, same = self._agree(tokens, at[mine], place[mine], width[mine])
-                    if agree:
-                        last = int((at[mine] + width[mine]).max()) - 1
+        for row, windows in self.find(tokens):
+            rep = self.group[self.tokens.row[windows[:, 1]]]
+            order = np.argsort(rep, kind="stable")
+            windows, rep = windows[order], rep[order]
+            edges = np.flatnonzero(np.append(True, rep[1:] != rep[:-1]))
+            for a, b in zip(edges, np.append(edges[1:], len(rep))):
+                k, mine, hits = int(rep[a]), windows[a:b], {}
+                size, template = int(self.size[k]), mine[:, 3] < 0
+                if len(self.members[k]) == 1:
+                    hits[k] = self._covers(tokens, mine, size, coverage)
+                else:
+                    hits = self._whole(tokens, k, mine)
+                    for owner in np.unique(mine[~template, 3]).tolist():
+                        if owner not in hits:
+                            hits[owner] = self._covers(tokens, mine[template | (mine[:, 3] == owner)], size, coverage)
+                    if template.any() and not any(hits.values()):
+                        hits[k] = self._covers(tokens, mine[template], size, coverage)
+                for item, hit in hits.items():
+                    if hit:
+                        share, count, same, first, last = hit
                         out[row].append((
-                            self.ids[k], share, len(mine), same, int(tokens.start[at[mine].min()] - offsets[row]), int(tokens.end[last] - offsets[row]),
+                            self.ids[item], share, count, same, int(tokens.start[first] - offsets[row]), int(tokens.end[last] - offsets[row]),
                         ))
-                        break
+        if self.short:
+            held = np.bincount(tokens.row, minlength=len(offsets) - 1)
+            first = np.cumsum(held) - held
+            for row in np.flatnonzero((held > 0) & (held < LITERALS)).tolist():
+                a, n = int(first[row]), int(held[row])
+                for k in self.short.get(tuple(tokens.value[a: a + n].tolist()), ()):
+                    out[row].append((
+                        self.ids[k], 1.0, 1, True, int(tokens.start[a] - offsets[row]), int(tokens.end[a + n - 1] - offsets[row]),
+                    ))
         return out
 
 
