@@ -45,3 +45,9 @@ def test_weights_set_the_shares_and_confine_movement(spark):
         assert abs(share[shard] - 20000 * p) < 5 * math.sqrt(20000 * p * (1 - p))
     for r in rows:  # region 1 alone changed its weight: moves end there, and other regions exchange nothing
         assert r["a"] == r["b"] or region[r["b"]] == 1
+
+
+def test_rows_without_an_id_spread_over_the_buckets(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    rows = sharding.assign(docs).collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(4000))

@@ -60,7 +60,8 @@ WITH RECURSIVE bits AS (
            lambda a, x: xor(crc.t[xor(a, x) % 256 + 1], a >> 8))) AS text_crc32,
          CAST({_descended(plain_tree(BASE_SHARDS))} AS INTEGER) AS shard,
          CAST({_descended(plain_tree(BASE_SHARDS + 1))} AS INTEGER) AS grown_shard,
-         CAST('0x' || substr(md5(k), 20, 13) AS BIGINT) % ((SELECT count(*) FROM documents) // {SLOT_ROWS} + 1) AS bucket
+         CAST('0x' || substr(md5(concat_ws('/', k, size, text_crc32, grown_shard)), 20, 13) AS BIGINT)
+           % ((SELECT count(*) FROM documents) // {SLOT_ROWS} + 1) AS bucket
   FROM b, crc
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,

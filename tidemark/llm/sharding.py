@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.staging import staged
+
 #: (region, rack, shard, weight)
 Leaf = tuple[int, int, int, float]
 BASE_SHARDS = 8
@@ -85,20 +87,23 @@ def slots(rows: DataFrame, shard: str, key: str, slot_rows: int = SLOT_ROWS) ->
     """Add `slot`: 0, 1, ... within each shard.
 
     A shard is cut into hash buckets of about `slot_rows` rows; small tables of bucket counts give each bucket its
-    first slot, and rows are numbered within their bucket. Equal rows are one row with a count until the
-    end, so a row repeated without bound fills no task.
+    first slot, and rows are numbered within their bucket. The bucket is drawn from all columns, so many rows without a key, or
+    of one key, spread over the buckets. Equal rows are one row with a count until the end, so a row repeated without
+    bound fills no task.
     """
     columns = rows.columns
     equal = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
     buckets = rows.count() // slot_rows + 1
-    digest = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 20, 13)
+    others = [c for c in columns if c not in (key, shard)]
+    whole = F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), *[F.col(c).cast("string") for c in others])
+    digest = F.substring(F.md5(whole), 20, 13)
     equal = equal.withColumn("__bucket", F.conv(digest, 16, 10).cast("long") % buckets)
     before = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = (
         equal.groupBy(shard, "__bucket").agg(F.sum("__copies").alias("__n"))
         .select(F.col(shard).alias("__s"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
     )
-    order = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in columns if c not in (key, shard)]]
+    order = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in others]]
     inner = Window.partitionBy(shard, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = equal.withColumn("__within", F.coalesce(F.sum("__copies").over(inner), F.lit(0)))
     return (
@@ -116,4 +121,4 @@ def assign(docs: DataFrame, shards: int = BASE_SHARDS, key: str = "doc_id", text
     )
     rows = descend(rows, key, plain_tree(shards), "shard")
     rows = descend(rows, key, plain_tree(shards + 1), "grown_shard")
-    return slots(rows, "shard", key)
+    return slots(staged(rows), "shard", key)  # numbers alone, so the texts are read once
