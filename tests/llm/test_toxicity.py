@@ -61,3 +61,37 @@ def test_awkward_rows_and_missing_labels(spark):
 def test_query_has_a_row_for_every_document(spark):
     rows = QUERIES["op7_subsequence_kernel_toxicity"](spark, cases.SF).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in cases.documents(spark).collect())
+
+
+def test_accents_and_other_scripts_have_symbols():
+    same = lambda a, b: toxicity.encode([a])[0].tolist() == toxicity.encode([b])[0].tolist()
+    assert same("\u00e9t\u00e9 Stra\u00dfe", "ete stra\u00dfe") and same("\u00d1and\u00fa", "nandu")
+    assert not same("\u0434\u043e\u043c", "\u043a\u043e\u0442") and not same("\u4f60\u597d", "\u518d\u89c1") and not same("abc", "123")
+
+
+def test_learns_insults_of_another_script(spark):
+    insults = ["\u0434\u0443\u0440\u0430\u043b\u0435\u0439", "\u0431\u043e\u043b\u0432\u0430\u043d\u0438\u0449"]
+    words = "\u0440\u0435\u043a\u0430 \u043a\u0430\u043c\u0435\u043d\u044c \u0437\u0435\u043b\u0435\u043d\u044b\u0439 \u0440\u044b\u043d\u043e\u043a \u0431\u0443\u043c\u0430\u0433\u0430 \u043e\u043a\u043d\u043e \u0434\u043e\u0440\u043e\u0433\u0430 \u0432\u0435\u0447\u0435\u0440 \u0433\u043e\u0440\u043e\u0434 \u043f\u043e\u0435\u0437\u0434".split()
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(500):
+        text = rng.choice(words, 40).tolist()
+        if k % 4 == 0:
+            text[int(rng.integers(40))] = insults[k // 4 % 2]
+        rows.append((k, " ".join(text) + ".", int(k % 4 == 0)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    machine = toxicity.train(docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int"), F.col("doc_id") < 350)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, machine, ["doc_id"]).collect()}
+    held = [(got[k], y) for k, _, y in rows if k >= 350]
+    assert sum(p == y for p, y in held) >= 0.95 * len(held)
+
+
+def test_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in QUERIES["op7_subsequence_kernel_toxicity"](spark, folder).collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL").collect()}
+    held = [(got[k]["predicted"], y) for k, y in labels.items() if k in got and got[k]["held_out"]]
+    found = [p for p, y in held if y == 1]
+    wrong = [p for p, y in held if y == 0]
+    print(sum(found), len(found), sum(wrong), len(wrong))
+    assert sum(found) >= 0.7 * len(found) and sum(wrong) <= 0.03 * len(wrong)

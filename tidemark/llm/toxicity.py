@@ -18,6 +18,7 @@ Samples (rows and sentences) are bounded by the parameters below; scoring reads
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -38,7 +39,8 @@ POSITIVES, NEGATIVES, HARD = 2500, 8000, 2000
 WINDOW = 11
 DECAY = 0.6
 LENGTH, SPAN = 4, 6
-SYMBOLS = 28
+SYMBOLS = 40
+DIGIT = 27
 WITNESS_Z = 6.0
 GRAM = 5
 THRESHOLD = 0.7
@@ -50,14 +52,15 @@ _table: list[np.ndarray] = []
 
 
 def _symbols() -> np.ndarray:
-    """a-z: 1-26, other letters and digits: 27, anything else: 0."""
+    """a-z, also under accents: 1-26, digits: 27, letters of other scripts: one of 28-39 by code point, anything else: 0."""
     if not _table:
         out = np.zeros(0x110000, np.uint8)
         for c in range(0x110000):
             x = chr(c)
             if x.isalnum():
-                low = ord(x.lower()[0])
-                out[c] = low - 96 if 97 <= low <= 122 else 27
+                low = ord(unicodedata.normalize("NFD", x.lower())[0])
+                other = DIGIT if x.isnumeric() and not x.isalpha() else DIGIT + 1 + low % (SYMBOLS - DIGIT - 1)
+                out[c] = low - 96 if 97 <= low <= 122 else other
         _table.append(out)
     return _table[0]
 
