@@ -49,3 +49,13 @@ def test_the_kernel_counts_shared_grams():
 
     for text in ("abcabcab", "the cat, the  mat.", "x"):
         assert spectrum(text) == plain(text)
+
+
+def test_texts_of_unlearned_languages_do_not_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for learnt in (["en", "de"], ["es", "de", "fr"], ["en", "fr"]):
+        model = langid.train(docs.where(F.col("lang").isin(learnt)), F.lit(True))
+        own = F.col("lang").isin(learnt)
+        rows = langid.identify(docs, model, keep=["doc_id", "lang"]).groupBy(own.alias("own")).agg(F.avg(F.col("fits").cast("int")).alias("fits")).collect()
+        share = {r["own"]: r["fits"] for r in rows}
+        assert share[True] >= 0.99 and share[False] <= 0.1

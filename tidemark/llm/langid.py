@@ -11,6 +11,10 @@ Scoring: whole texts, in batches. A batch is a presence matrix over the landmark
 scores are two matrix products. The result is the class of the largest score, and a probability from the scores by
 softmax. A text that is null or has no letter is `und` with score 0. Without any labelled text every text is `und`.
 
+A text fits none of the languages if its winning decision value is below the floor: the 0.5 % quantile of the sample's
+own winning values, less 0.1, so it does not depend on how many languages there are. Texts of under 100 distinct n-grams hold too
+little evidence to be rejected; with one language there is nothing to compare with, and all texts with a letter fit.
+
 Letters are lower-cased; a-z are symbols of their own, other letters share 37 symbols by code point, and a run of
 anything else is one symbol.
 """
@@ -31,6 +35,8 @@ PER_LANGUAGE = 400
 LANDMARKS = 96
 RIDGE = 0.1
 SHARPNESS = 4.0
+EVIDENCE = 100  # distinct n-grams below which no text is rejected
+OWN_SHARE, MARGIN = 0.005, 0.1  # where the floor lies: a quantile of the sample's own decision values, and below it
 MOST_LANGUAGES = 500
 UNKNOWN = "und"
 GRAMS = 64 + 64**2 + 64**3
@@ -73,14 +79,16 @@ class Model:
     def __init__(self, languages: list[str], vocabulary: np.ndarray, landmarks: np.ndarray, size: np.ndarray, weights: np.ndarray, bias: np.ndarray):
         self.languages, self.vocabulary, self.landmarks = languages, vocabulary, landmarks
         self.size, self.weights, self.bias = size, weights, bias
+        self.floor = -np.inf
 
     def kernel(self, present: np.ndarray, size: np.ndarray) -> np.ndarray:
         return (present @ self.landmarks) / np.sqrt(np.maximum(size, 1)[:, None] * self.size[None, :])
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        label, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Label, score, and whether a learned language fits: the winning decision value is not below the floor."""
+        label, score, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if not self.languages:
-            return label, score
+            return label, score, fits
         seen = np.zeros(GRAMS, np.uint8)
         for at in range(0, len(texts), BATCH):
             part = texts[at: at + BATCH]
@@ -94,9 +102,10 @@ class Model:
             f = self.kernel(present[rows], size[rows]) @ self.weights + self.bias
             p = np.exp(SHARPNESS * (f - f.max(axis=1, keepdims=True)))
             p /= p.sum(axis=1, keepdims=True)
-            for k, best, q in zip(rows, p.argmax(axis=1), p.max(axis=1)):
-                label[at + k], score[at + k] = self.languages[best], q
-        return label, score
+            held = (f.max(axis=1) >= self.floor) | (size[rows] < EVIDENCE)
+            for k, best, q, fit in zip(rows, p.argmax(axis=1), p.max(axis=1), held):
+                label[at + k], score[at + k], fits[at + k] = self.languages[best], q, fit
+        return label, score, fits
 
 
 def sample(docs: DataFrame, learn: Column, key: str, text: str, lang: str, per_language: int) -> list:
@@ -173,21 +182,26 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     gram = (phi_bias * balance[:, None]).T @ phi_bias + ridge * np.diag([*[1.0] * phi.shape[1], 0])
     solved = np.linalg.solve(gram + 1e-9 * np.eye(len(gram)), (phi_bias * balance[:, None]).T @ target)
     model.weights, model.bias = whiten @ solved[:-1], solved[-1]
+    own_value = (values @ model.weights + model.bias).max(axis=1)[[len(c) >= EVIDENCE for _, c in taken]]
+    if len(languages) > 1 and len(own_value):
+        model.floor = float(np.quantile(own_value, OWN_SHARE)) - MARGIN
     return model
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all, if None) with lang_pred and score, which replace columns of these names. The prediction sees the text alone."""
-    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    """The kept columns (all, if None) with lang_pred, score and fits, which replace columns of these names. The prediction
+    sees the text alone. `fits` is false for `und`, and for texts that no learned language fits."""
+    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score", "fits")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*names, F.col(text).alias(fresh(docs, "__text")))
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            label, score = sent.value.predict(batch.column(batch.num_columns - 1).to_pylist())
+            label, score, fits = sent.value.predict(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score)], [*names, "lang_pred", "score"]
+                [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score), pa.array(fits)],
+                [*names, "lang_pred", "score", "fits"],
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(task, f"{fields}, lang_pred string, score double")
+    return rows.mapInArrow(task, f"{fields}, lang_pred string, score double, fits boolean")
