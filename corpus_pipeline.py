@@ -14,14 +14,15 @@ from tidemark.llm.queries import tokenizer_path
 from tidemark.llm.staging import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.3  # below, no learned language fits
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language model rejects go: those without a letter, and those that fit no language."""
+    """Documents that the language model rejects go: those without a letter, and those that fit no learned language. Without
+    any labelled document nothing is learned, and every document with a letter stays."""
     model = langid.train(docs, F.lit(True))
-    found = langid.identify(docs, model, keep=COLUMNS)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(COLUMNS)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(COLUMNS)
+    return langid.identify(docs, model, keep=COLUMNS).where("fits").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
