@@ -1,6 +1,7 @@
 """Each stage against a plain version on its own input; and the registered queries against their SQL."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, spark_rows, sql_rows
@@ -35,6 +36,17 @@ def test_language_keeps_clean_documents(stages):
     assert after.count() >= 0.99 * len(before)
 
 
+def test_language_without_labels_and_with_few(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    none = corpus_pipeline.keep_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), cases.SF)
+    assert none.count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
+    two = docs.withColumn("lang", F.when(F.col("lang").isin("en", "de"), F.col("lang")))
+    kept = corpus_pipeline.keep_language(spark, two, cases.SF).join(docs.select("doc_id", F.col("lang").alias("real")), "doc_id")
+    own = F.col("real").isin("en", "de")
+    assert kept.where(own).count() >= 0.99 * docs.where(F.col("lang").isin("en", "de")).count()
+    assert kept.where(~own).count() <= 0.1 * docs.where(~F.col("lang").isin("en", "de")).count()
+
+
 def test_near_duplicates(stages):
     before, after = stages["near_duplicates"]
     before.sort(key=lambda r: r["doc_id"])
