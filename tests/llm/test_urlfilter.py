@@ -50,3 +50,14 @@ def test_collisions_are_told_apart(monkeypatch):
     array = urlfilter.DigestArray.mapped(urlfilter.DigestArray.image([("a.org", "/", "block"), ("b.org", "/", "allow")]))
     found = array.find([b"b.org/", b"c.org/", b"a.org/"])
     assert [array.name(k) if k >= 0 else None for k in found] == [b"b.org/", None, b"a.org/"]
+
+
+def test_beyond_the_bounds_the_answer_is_the_same(spark, monkeypatch):
+    pages = spark.createDataFrame([(*u, "x", 1) for u in URLS], "page_id long, url string, rule string, row int")
+    rules = [*URL_RULES, ("example.org", "/es/pa", "allow"), ("A.com", "/", "block")]
+    want = sorted(((k, *expected(u, [(h.lower(), p, v) for h, p, v in rules])) for k, u in URLS), key=repr)
+    assert sorted((tuple(r) for r in urlfilter.judge(pages, rules).collect()), key=repr) == want
+    monkeypatch.setattr(urlfilter, "BROADCAST_BYTES", 100)
+    monkeypatch.setattr(urlfilter, "MOST_LENGTHS", 1)
+    out = urlfilter.judge(pages, rules)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want

@@ -21,7 +21,8 @@ import mmap
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -110,10 +111,10 @@ class DigestArray:
         return out
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[bytes]:
-    """Possible rule strings of a url, longest first."""
+def candidates(host: str, path: str, lengths: Sequence[int]) -> list[bytes]:
+    """Possible rule strings of a url, longest first; `lengths` of rules' paths, rising."""
     raw = path.encode()
-    fitting = [raw[:n] for n in lengths if n <= len(raw)]
+    fitting = [raw[:n] for n in lengths[: bisect_right(lengths, len(raw))]]
     labels = host.split(".")
     keys = [".".join(labels[k:]).encode() + p for k in range(len(labels)) for p in fitting]
     return sorted(keys, key=len, reverse=True)
@@ -123,10 +124,12 @@ _mapped: dict[str, DigestArray] = {}
 
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", default: str = ALLOW) -> DataFrame:
-    """(key, host, path, rule, verdict) for every row, with the image broadcast."""
+    """(key, host, path, rule, verdict) for every row, with the image broadcast; a list of more than `BROADCAST_BYTES` is
+    probed by blocks."""
     image = DigestArray.image(rules)
     if len(image) > BROADCAST_BYTES:
-        raise ValueError("the list is too large to broadcast; use judge_by_blocks")
+        listed = pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string")
+        return judge_by_blocks(pages, listed, len(image) // BROADCAST_BYTES + 1, key, url, default)
     sent = pages.sparkSession.sparkContext.broadcast(image)
     name = uuid.uuid4().hex
 
@@ -164,9 +167,10 @@ def judge_by_blocks(
     Block n holds the digests whose remainder is n. Candidate keys are made distinct before they are dealt to the
     blocks, and the few that hit are joined back with salted copies, so a host with a third of all urls is no hot key.
     """
-    lengths = [r[0] for r in rules.select(F.octet_length("path").alias("n")).distinct().limit(MOST_LENGTHS + 1).collect()]
-    if len(lengths) > MOST_LENGTHS:
-        raise ValueError("rules have too many path lengths")
+    found = rules.select(F.octet_length("path").alias("n")).distinct()
+    lengths: Sequence[int] = sorted(r[0] for r in found.limit(MOST_LENGTHS + 1).collect())
+    if len(lengths) > MOST_LENGTHS:  # then every prefix of a url's path is a candidate
+        lengths = range(1, found.agg(F.max("n")).first()[0] + 1)
 
     def explode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
