@@ -40,3 +40,21 @@ def test_ties_copies_and_bad_vectors(spark):
 def test_few_rows(spark):
     compare(spark, [(0, [1.0, 2.0]), (5, [0.5, -1.0]), (6, [3.0, 3.0])])
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 2 == 0).count() == 0
+
+
+def test_many_distinct_vectors_of_one_score(spark, monkeypatch):
+    # all vectors differ in the last component, which is 0 in the queries: every score is equal
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 500)
+    rows = [(i, [1.0, 0.0, 0.0, float(i)]) for i in range(1, 1200)] + [(0, [2.0, 0.0, 1.0, 0.0]), (5000, [2.0, 0.0, 1.0, 0.0])]
+    frame = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], "vec_id long, embedding array<double>, x string, node int, s int")
+    got = sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 5000 == 0, 5).collect())
+    assert got == brute(rows, lambda q: q % 5000 == 0, 5)
+
+
+def test_more_nodes(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(9)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for nodes in (1, 3, 20):
+        got = sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 7 == 0, 4, nodes=nodes).collect())
+        assert got == brute(rows, lambda q: q % 7 == 0, 4)
