@@ -95,6 +95,30 @@ def test_tree_table_gives_the_scores_and_importances(spark):
             assert own.get(f, 0.0) == pytest.approx(v, abs=1e-12)
 
 
+def stumps(spark, count: int):
+    """Trees that send x[0] <= 1 to a leaf of 1, and else ask for x[1] <= 5: leaves of 2 and 4."""
+    rows = []
+    for t in range(count):
+        rows += [(t, 0, 0, 1.0, 1, 2, 0.0), (t, 1, None, None, None, None, 1.0), (t, 2, 1, 5.0, 3, 4, 0.0),
+                 (t, 3, None, None, None, None, 2.0), (t, 4, None, None, None, None, 4.0)]
+    schema = "tree int, node int, position int, threshold double, left int, right int, value double"
+    return spark.createDataFrame(rows[::-1], schema).withColumn("weight", F.lit(0.5))
+
+
+def test_a_walk_takes_each_side_and_stops_at_leaves(spark):
+    rows = [(1, [1.0, 9.0]), (2, [1.5, 5.0]), (3, [1.5, 5.5]), (4, [float("nan"), 0.0]), (5, [0.0, None]), (6, [2.0, None]), (7, None)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    found = {r["id"]: r["total"] for r in trees.walk(df, stumps(spark, 3), "x", ["id"], 4).collect()}
+    assert found == {1: 1.5, 2: 3.0, 3: 6.0, 4: 3.0, 5: 1.5, 6: 6.0, 7: 6.0}
+    assert trees.walk(df.where("id < 0"), stumps(spark, 3), "x", ["id"], 4).collect() == []
+
+
+def test_a_walk_makes_no_row_per_tree(spark):
+    df = spark.range(50).selectExpr("id", "array(double(id), 0D) AS x")
+    plan = trees.walk(df, stumps(spark, 3), "x", ["id"], 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_the_gradient_shows_the_optimum(spark):
     t = trained(spark)
     model = t.fit(models.LOGISTIC)

@@ -7,15 +7,19 @@ by any SQL engine. It is read from the model's saved form, so no node passes thr
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import ensure_checkpoint_dir
 
 Ensemble = RandomForestClassificationModel | GBTClassificationModel
+ROWS_AT_ONCE = 1024
 
 
 def tree_table(spark: SparkSession, model: Ensemble, features: Sequence[str]) -> DataFrame:
@@ -45,25 +49,52 @@ def tree_table(spark: SparkSession, model: Ensemble, features: Sequence[str]) ->
     )
 
 
+def _flat(nodes: DataFrame) -> tuple[np.ndarray, ...]:
+    """The node table as arrays, a tree after the other: roots, ways on, position, threshold and weight x value. It is as large as the
+    model, whatever the data. From node n the way is at 2n + 1 if the value is at or under the threshold, else at 2n; a leaf leads to itself."""
+    rows = nodes.select("tree", "node", "position", "threshold", "left", "right", "value", "weight").toArrow()
+    held = {c: rows[c].fill_null(0).to_numpy() for c in rows.column_names}
+    key = held["tree"].astype(np.int64) << 32 | held["node"]
+    order = np.argsort(key)
+    key, inner = key[order], rows["position"].is_valid().to_numpy()[order]
+
+    def side(name: str) -> np.ndarray:
+        child = np.searchsorted(key, key >> 32 << 32 | held[name][order].astype(np.int64))
+        return np.where(inner, child, np.arange(len(key)))
+
+    ways = np.column_stack([side("right"), side("left")]).ravel()
+    roots = np.flatnonzero(key & 0xFFFFFFFF == 0)
+    return roots, ways, held["position"][order].astype(np.int64), held["threshold"][order], (held["weight"] * held["value"])[order]
+
+
 def walk(df: DataFrame, nodes: DataFrame, vector: str, keep: Sequence[str], depth: int) -> DataFrame:
     """`keep...` (which must name each row) and `total`, the summed weight x value of the leaves a row falls into; `vector` is an
-    array column in the order of the features.
+    array column in the order of the features, all of one length. A value that is absent goes right.
 
-    A row goes down all trees at once: one look-up in the broadcast node table a level (its size is that of the model, not of the
-    data), no shuffle until the leaves are summed.
+    The node table goes to all tasks; a block of rows goes down all trees at once, a level a step, and leaves as one row each.
     """
-    table = F.broadcast(nodes.select(
-        F.col("tree").alias("_t"), F.col("node").alias("_n"), "position", "threshold", "left", "right", "value", "weight",
-    ))
-    roots = F.broadcast(nodes.where("node = 0").select(F.col("tree").alias("_tree")))
-    state = df.select(*keep, F.col(vector).alias("_x")).crossJoin(roots).withColumn("_at", F.lit(0))
-    columns = [*keep, "_x", "_tree"]
-    for _ in range(depth):
-        met = state.join(table, (F.col("_tree") == F.col("_t")) & (F.col("_at") == F.col("_n")))
-        side = F.when(F.get("_x", F.col("position")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
-        state = met.select(*columns, F.when(F.col("position").isNull(), F.col("_at")).otherwise(side).alias("_at"))
-    leaves = state.join(table, (F.col("_tree") == F.col("_t")) & (F.col("_at") == F.col("_n")))
-    return leaves.groupBy(*keep).agg(F.sum(F.col("weight") * F.col("value")).alias("total"))
+    flat = df.sparkSession.sparkContext.broadcast(_flat(nodes))
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roots, ways, position, threshold, share = flat.value
+        for batch in stream:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                vectors = part.column(len(keep))
+                there = vectors.drop_null()
+                x = np.full((part.num_rows, int(position.max(initial=0)) + 1), np.nan)
+                if len(there):
+                    given = there.flatten().to_numpy(zero_copy_only=False).reshape(len(there), -1)
+                    x[vectors.is_valid().to_numpy(zero_copy_only=False)] = given[:, : x.shape[1]]
+                row = np.arange(len(x))[:, None]
+                at = np.broadcast_to(roots, (len(x), len(roots)))
+                for _ in range(depth):
+                    at = ways[2 * at + (x[row, position[at]] <= threshold[at])]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(share[at].sum(axis=1))], [*keep, "total"])
+
+    rows = df.select(*keep, F.col(vector).alias("_x"))
+    kept = T.StructType([*rows.schema.fields[:-1], T.StructField("total", T.DoubleType())])
+    return rows.mapInArrow(task, kept).groupBy(*keep).agg(F.sum("total").alias("total"))
 
 
 def probability(total: Column, boosted: bool) -> Column:
