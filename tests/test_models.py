@@ -119,6 +119,14 @@ def test_a_walk_makes_no_row_per_tree(spark):
     assert "Join" not in plan
 
 
+def test_a_fit_uses_the_cores_whatever_files_its_table_lies_in(spark):
+    assert [models.tasks_for(n, 12) for n in (0, 9_999, 72_000, 720_000, 4_320_000, 48_000_000)] == [1, 1, 8, 12, 12, 120]
+    one_file = spark.range(30_000).coalesce(1)
+    assert models.gathered(one_file).rdd.getNumPartitions() == 4
+    assert models.gathered(one_file.limit(500)).rdd.getNumPartitions() == 1
+    assert models.forest(QUICK).getCacheNodeIds()
+
+
 def test_the_gradient_shows_the_optimum(spark):
     t = trained(spark)
     model = t.fit(models.LOGISTIC)

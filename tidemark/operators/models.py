@@ -167,10 +167,11 @@ def logistic(train_rows: int, settings: ModelSettings) -> LogisticRegression:
 
 
 def forest(settings: ModelSettings) -> RandomForestClassifier:
+    """`cacheNodeIds` keeps each row's node per tree from one level to the next, so that a level does not walk down from the roots."""
     return RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", numTrees=settings.forest_trees,
         maxDepth=settings.forest_depth, minInstancesPerNode=settings.forest_min_leaf,
-        featureSubsetStrategy="sqrt", seed=settings.seed,
+        featureSubsetStrategy="sqrt", seed=settings.seed, cacheNodeIds=True,
     )
 
 
@@ -194,7 +195,9 @@ def probability(df: DataFrame, name: str = "probability") -> DataFrame:
 
 
 SYNTHETIC, WEIGHTS = "synthetic", "weights"
-ROWS_PER_TASK = 50_000  # of an iterative fit
+# rows per task of an iterative fit: under the first, tasks cost more than they share out; under the second, as many tasks as cores,
+# since each task of a forest's pass sends the counts of all nodes
+ROWS_PER_TASK, MOST_ROWS_PER_TASK = 10_000, 400_000
 
 
 def learning_table(
@@ -218,11 +221,17 @@ def learning_table(
     return whole.select(id_column, vector.alias("features"), "label", "weight", held.alias("validation"), "synthetic")
 
 
+def tasks_for(rows: int, cores: int) -> int:
+    """As many as the rows need, up to the cluster's cores; more only where a task would hold too many rows."""
+    return max(min(rows // ROWS_PER_TASK + 1, cores), -(-rows // MOST_ROWS_PER_TASK))
+
+
 def gathered(table: DataFrame) -> DataFrame:
-    """The staged table in as many partitions as its rows need: the many short jobs of a fit over few rows are
-    mostly the cost of their tasks."""
+    """The staged table in as many partitions as its rows and the cluster ask for, whatever files it lies in: the many short jobs of a fit
+    over few rows are mostly the cost of their tasks, and a fit over many rows is to use every core."""
     held = cut_lineage(table)
-    return held.coalesce(held.count() // ROWS_PER_TASK + 1)
+    tasks = tasks_for(held.count(), held.sparkSession.sparkContext.defaultParallelism)
+    return held.coalesce(1) if tasks == 1 else held.repartition(tasks)
 
 
 def fit(learner, prepared: PipelineModel, table: DataFrame) -> PipelineModel:
