@@ -10,6 +10,7 @@ from tidemark.operators import balance, evaluation, kmeans, models, segments, tr
 from tidemark.plans import pipeline, variants
 from tidemark.plans.bed import Bed
 from tidemark.plans.training import Trainer
+from tidemark.session import cut_lineage
 
 QUICK = models.ModelSettings(forest_trees=8, forest_depth=4, boosted_trees=5, boosted_depth=3, max_iter=50)
 
@@ -119,6 +120,12 @@ def test_a_walk_makes_no_row_per_tree(spark):
     assert "Join" not in plan
 
 
+def test_many_tasks_can_read_what_one_task_staged(spark):
+    staged = cut_lineage(spark.range(6_000_000).select("id", F.rand(1).alias("x"), F.rand(2).alias("y")).coalesce(1))
+    sizes = [r["count"] for r in staged.select("id", F.spark_partition_id().alias("p")).groupBy("p").count().collect()]
+    assert len(sizes) > 4 and sum(sizes) == 6_000_000
+
+
 def test_a_fit_uses_the_cores_whatever_files_its_table_lies_in(spark):
     assert [models.tasks_for(n, 12) for n in (0, 9_999, 72_000, 720_000, 4_320_000, 48_000_000)] == [1, 1, 8, 12, 12, 120]
     one_file = spark.range(30_000).coalesce(1)

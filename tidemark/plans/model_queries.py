@@ -4,6 +4,8 @@ They have no SQL twin; tests check their properties."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -203,12 +205,16 @@ def smote_training_counts(b: Bed) -> DataFrame:
     t = trainer(b)
     folded = cut_lineage(models.stratified_folds(t.train, "label", folds=5, seed=t.settings.seed))
     parts = {"train": t.train, **{f"fold {k}": folded.where(F.col("fold") != k) for k in range(5)}}
-    out = None
-    for name, part in parts.items():
-        table = models.learning_table(t.prepared, part, t.columns, t.settings, models.SYNTHETIC)
-        row = table.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("members")).withColumn("part", F.lit(name))
-        out = row if out is None else out.unionByName(row)
-    return tidy(out)
+    prepared = t.prepared
+
+    def counts(named: tuple[str, DataFrame]) -> DataFrame:
+        table = models.learning_table(prepared, named[1], t.columns, t.settings, models.SYNTHETIC)
+        return table.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("members")).withColumn("part", F.lit(named[0]))
+
+    # the parts are independent, so their jobs are submitted together
+    with ThreadPool(len(parts)) as pool:
+        rows = pool.map(counts, parts.items(), chunksize=1)
+    return tidy(reduce(DataFrame.unionByName, rows))
 
 
 def _walked(t: training.Trainer, name: str, df: DataFrame, keep: list[str]) -> DataFrame:
