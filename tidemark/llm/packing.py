@@ -37,7 +37,7 @@ from tidemark.llm.staging import staged
 CAPACITY = 2048
 END_ID = 0
 CACHED_UNITS = 300_000  # units whose ids a worker keeps
-TOKEN_SLICE = 4 << 20  # bytes of text encoded together
+TOKEN_SLICE = 2 << 20  # bytes of text encoded together; a worker holds some 30 bytes a byte of it
 THIRD_LENGTHS = 24  # second lengths tried in patterns of three
 
 
@@ -138,6 +138,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         encoder = _encoders.get(tokenizer)
         if encoder is None:
             encoder = _encoders[tokenizer] = Encoder(tokenizer)
+        pa.default_memory_pool().release_unused()  # a worker may hold what the steps before had in use
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in stream:
