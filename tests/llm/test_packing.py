@@ -4,10 +4,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tests.llm import cases
-from tidemark.llm import packing
+from tidemark.llm import packing, staging
 from tidemark.llm.queries import tokenizer_path
 
 
@@ -54,6 +55,26 @@ def test_ids_are_kept_on_request(spark):
     assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in packed)
 
 
+def test_texts_reach_the_tokenizer_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(name), []
+    docs = spark.range(400, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 10000) AS text")
+    real = packing.staged
+
+    def noted(df):
+        sizes = docs.mapInArrow(lambda stream: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in stream), "n long")
+        seen.append(max(r["n"] for r in sizes.collect()))
+        return real(df)
+
+    monkeypatch.setattr(packing, "staged", noted)
+    packed = packing.pack(docs, tokenizer_path())
+    assert seen[0] < 8 << 20 < seen[1]  # texts are read in the first step alone
+    assert spark.conf.get(name) == before
+    assert packed.select("doc_id").distinct().count() == 400
+    with staging.small_batches(spark, 1):  # a row over the size is a batch of its own
+        assert packing.pieces(docs.limit(3), tokenizer_path()).select("doc_id").distinct().count() == 3
+
+
 def test_plan_uses_every_piece_once_and_comes_near_the_bound():
     rng = random.Random(3)
     for _ in range(20):

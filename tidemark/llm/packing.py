@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm import bytewise
-from tidemark.llm.staging import staged
+from tidemark.llm.staging import small_batches, staged
 
 CAPACITY = 2048
 END_ID = 0
@@ -317,7 +317,8 @@ def _places(made: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Pieces with their sequence and offset. The plan has at most a few places per length and pattern, so what
     is sent to the tasks is bounded by the capacity and not by the corpus."""
-    cut = staged(pieces(docs, tokenizer, key, text, capacity, keep_ids))
+    with small_batches(docs.sparkSession):
+        cut = staged(pieces(docs, tokenizer, key, text, capacity, keep_ids))
     counted = staged(cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")))
     histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     first_rank, sequence, offset = _places(plan(histogram, capacity))
