@@ -96,6 +96,20 @@ def test_tree_table_gives_the_scores_and_importances(spark):
             assert own.get(f, 0.0) == pytest.approx(v, abs=1e-12)
 
 
+def test_members_are_scored_from_the_staged_table_on_every_core(spark):
+    t = trained(spark)
+    model = t.fit(models.FOREST)
+    scored = t.scored_members(model)
+    assert set(scored.inputFiles()) == set(t.members.inputFiles()) != set()
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (scored, t.scored_test(model)):
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) == cores and max(sizes) - min(sizes) <= cores
+    whole = models.score(model, planted(spark), FEATURES)
+    pair = ["loyalty_number", "churn_probability"]
+    assert sorted(map(tuple, scored.select(pair).collect())) == sorted(map(tuple, whole.select(pair).collect()))
+
+
 def stumps(spark, count: int):
     """Trees that send x[0] <= 1 to a leaf of 1, and else ask for x[1] <= 5: leaves of 2 and 4."""
     rows = []

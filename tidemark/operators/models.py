@@ -234,6 +234,12 @@ def gathered(table: DataFrame) -> DataFrame:
     return held.coalesce(1) if tasks == 1 else held.repartition(tasks)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the cluster's cores: a forest takes far longer to score a row than to move it, and the row groups of
+    a staged table are few and uneven."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fit(learner, prepared: PipelineModel, table: DataFrame) -> PipelineModel:
     """The preparation and the learner, fitted on a learning table, as one saveable model."""
     return PipelineModel(stages=[*prepared.stages, learner.fit(table)])

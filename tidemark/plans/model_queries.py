@@ -34,7 +34,7 @@ def _shared(b: Bed, made: dict, make):
 
 def trainer(b: Bed) -> training.Trainer:
     return _shared(b, _TRAINERS, lambda: training.Trainer(
-        b.features, models.ModelSettings(seed=b.settings.seed), b.settings.seed, b.settings.test_share
+        b.features, models.ModelSettings(seed=b.settings.seed), b.settings.seed, b.settings.test_share, keep=["clv"]
     ))
 
 
@@ -234,8 +234,8 @@ def tree_table_scores(b: Bed) -> DataFrame:
     t.fit_all([models.FOREST, models.BOOSTED])
     out = None
     for name in (models.FOREST, models.BOOSTED):
-        scored = models.score(t.fit(name), b.features, t.columns).select(ID, "churn_probability")
-        both = scored.join(_walked(t, name, b.features, [ID]), ID, "left")
+        scored = t.scored_members(t.fit(name)).select(ID, "churn_probability")
+        both = scored.join(_walked(t, name, t.members, [ID]), ID, "left")
         p = F.col("churn_probability")
         row = both.agg(
             F.lit(name).alias("model"), F.count(F.lit(1)).alias("members"),
@@ -320,7 +320,7 @@ def feature_importance(b: Bed) -> DataFrame:
 @query
 def score_members(b: Bed) -> DataFrame:
     t = trainer(b)
-    return tidy(models.score(t.fit(models.FOREST), b.features, models.PROGRAMME_FEATURES), ID, "churn_probability")
+    return tidy(t.scored_members(t.fit(models.FOREST)), ID, "churn_probability")
 
 
 @query
@@ -336,5 +336,5 @@ def test_predictions(b: Bed) -> DataFrame:
 @query
 def at_risk_members(b: Bed) -> DataFrame:
     t = trainer(b)
-    scored = models.score(t.fit(models.FOREST), b.features, models.PROGRAMME_FEATURES)
+    scored = t.scored_members(t.fit(models.FOREST))
     return tidy(scored.where(F.col("churn_probability") >= 0.5), ID, "clv", "churn_probability")

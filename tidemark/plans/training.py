@@ -20,18 +20,21 @@ class Trainer:
 
     `balancing` is `weights` (class weights) or `synthetic` (rows between neighbours of the smaller class, made from
     the training part alone; the boosted model keeps the members as they are, with class weights, as published).
+    `members` has every row of `features` with the id, the label, the training columns and `keep`, written once: models score it,
+    so that no score makes the features again.
     """
 
     def __init__(
         self, features: DataFrame, settings: models.ModelSettings, seed: int = 42,
         test_share: float = 0.2, label: str = "churned", balancing: str = models.WEIGHTS,
-        columns: Sequence[str] = models.PROGRAMME_FEATURES,
+        columns: Sequence[str] = models.PROGRAMME_FEATURES, keep: Sequence[str] = (),
     ):
         self.columns = list(columns)
-        table = models.training_table(features, label, self.columns)
+        self.members = cut_lineage(features.select(*dict.fromkeys([ID, label, *self.columns, *keep])))
+        table = models.training_table(self.members, label, self.columns)
         self.settings, self.balancing = settings, balancing
         self.fitted: dict[str, PipelineModel] = {}
-        self.split = cut_lineage(models.stratified_split(cut_lineage(table), "label", ID, test_share, seed))
+        self.split = cut_lineage(models.stratified_split(table, "label", ID, test_share, seed))
         parts = models.split_parts(self.split)
         self.train = cut_lineage(models.with_class_weight(parts["train"], "label"))
         self.test = parts["test"]
@@ -76,9 +79,13 @@ class Trainer:
         return {name: self.fitted[name] for name in names}
 
     def scored_test(self, model: PipelineModel) -> DataFrame:
-        scored = models.score(model, self.test, self.columns, "probability")
+        scored = models.score(model, models.dealt(self.test), self.columns, "probability")
         return scored.select(ID, "label", "probability")
 
+    def scored_members(self, model: PipelineModel) -> DataFrame:
+        """`members` with `churn_probability`."""
+        return models.score(model, models.dealt(self.members), self.columns)
+
     def cross_validate(self, name: str, folds: int = 5) -> tuple[float, float]:
         return models.cross_validate(
             self.learner(name), self.prepared, self.train, self.columns, self.settings, folds, self.balancing_of(name)
