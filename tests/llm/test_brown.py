@@ -141,3 +141,34 @@ def test_further_words_lower_the_held_out_perplexity(spark):
         per_token[further], base = held["s"], held["b"]
     print(base, per_token)
     assert base < per_token[0] < per_token[brown.FURTHER]
+
+
+def test_words_beyond_the_further_ones_are_placed_too(spark, monkeypatch):
+    """Words that the driver does not place get the classes that it would give them; only words seen once stay where they are."""
+    monkeypatch.setattr(brown, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(brown, "PART_BYTES", 3000)
+    rng = np.random.default_rng(2)
+    names = [[f"{kind}{n}" for n in range(40)] for kind in "abc"]
+    texts = [" ".join(names[(t + k) % 3][int(rng.zipf(1.4)) % 40] for k in range(60)) for t in range(60)] + ["alone at last", "a1 b1 never"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept, fit = [], brown.fit
+
+    def keep(*args):
+        kept.append((args, fit(*args)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(brown, "fit", keep)
+    scores = [
+        {r["doc_id"]: r["score"] for r in brown.score(docs, F.col("doc_id") != 61, vocabulary=12, classes=3, further=n).collect()} for n in (20_000, 5, 1, 0)
+    ]
+    for own in scores[1:3]:
+        assert all(math.isclose(scores[0][k], own[k], rel_tol=1e-9) for k in own)
+    assert any(not math.isclose(scores[0][k], scores[3][k], rel_tol=1e-6) for k in scores[3])
+    for args, model in kept:
+        assert np.allclose(model.transition, kept[0][1].transition) == (args is not kept[3][0])
+
+
+def test_sweeps_go_on_until_none_moves():
+    pairs = np.random.default_rng(1).poisson(1.0, (300, 300)).astype(float)
+    of = brown.exchange(pairs, 290, 12)
+    assert (of == brown.exchange(pairs, 290, 12, sweeps=10_000)).all() and (of != brown.exchange(pairs, 290, 12, sweeps=2)).any()
